@@ -35,6 +35,11 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+def extend(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType:
+    """A copy of ``schema`` with more nullable fields (``StructType.add`` mutates)."""
+    return T.StructType(list(schema.fields) + [T.StructField(n, t, True) for n, t in fields])
+
+
 # --- landing files -----------------------------------------------------------
 # transactions_DDMMYYYY.txt: ';'-separated with a header. The amount is read as
 # text and normalised (a decimal comma is accepted) before the decimal cast.
@@ -75,6 +80,9 @@ FACT_TRANSACTIONS = _struct(
     ("trans_id", S), ("trans_date", TS), ("card_num", S), ("opertype", S),
     ("amt", AMT), ("oper_result", S), ("terminal", S))
 
+FACT_TRANSACTIONS_STORED = extend(FACT_TRANSACTIONS, ("trans_dt", D), ("load_dt", D))
+FACT_BLACKLIST_STORED = extend(FACT_BLACKLIST, ("load_dt", D))
+
 REP_FRAUD = _struct(("event_dt", TS), ("passport", S), ("fio", S), ("phone", S),
                     ("event_type", S), ("report_dt", TS))
 META_LOG = _struct(("event_dt", TS), ("event_type", S), ("event_desription", S))
