@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import day_of, full_name
 from ..schemas import VIEW_COLUMNS
+from .joins import broadcast_if_small
 
 HISTORY_ALL = "all"      # every dimension version joins (source-compatible fan-out)
 HISTORY_AS_OF = "as_of"  # only the version valid at the transaction time
@@ -52,11 +53,30 @@ def _on(key_left: str, key_right: str, prefix: str, history: str) -> Column:
     return cond
 
 
+def owner_dim(cards: DataFrame, accounts: DataFrame, clients: DataFrame, *,
+              fio_parts: tuple[str, ...] = ("last_name", "first_name", "patronymic")
+              ) -> DataFrame:
+    """Card -> account -> client attributes joined dimension-side, keyed by
+    ``_k_card``. ``(F LEFT JOIN K) LEFT JOIN A`` equals ``F LEFT JOIN (K LEFT
+    JOIN A)`` when the second condition only involves K and A, so the fact is
+    joined (and, when this is too big to broadcast, shuffled) once, not three
+    times."""
+    k = _versions(cards, "_k", {"_k_card": "card_num", "_k_account": "account"}, HISTORY_ALL)
+    a = _versions(accounts, "_a", {"_a_account": "account", "valid_to": "valid_to",
+                                   "client": "client"}, HISTORY_ALL)
+    c = _versions(clients, "_c", {"_c_client": "client_id", "passport_num": "passport_num",
+                                  "passport_valid_to": "passport_valid_to",
+                                  "fio": full_name(*fio_parts), "phone": "phone"}, HISTORY_ALL)
+    return (k.join(a, F.col("_k_account") == F.col("_a_account"), "left")
+             .join(c, F.col("client") == F.col("_c_client"), "left")
+             .drop("_k_account", "_c_client"))
+
+
 def report_view(facts: DataFrame, cards: DataFrame, accounts: DataFrame,
                 clients: DataFrame, terminals: DataFrame, *,
                 day: str | dt.date | None = "latest", history: str = HISTORY_ALL,
                 fio_parts: tuple[str, ...] = ("last_name", "first_name", "patronymic"),
-                distinct: bool = True) -> DataFrame:
+                distinct: bool = True, broadcast_rows: int | None = None) -> DataFrame:
     """Transactions of one business day with owner and terminal attributes.
 
     Every join is LEFT OUTER, so a transaction with an unknown card, account,
@@ -65,25 +85,33 @@ def report_view(facts: DataFrame, cards: DataFrame, accounts: DataFrame,
     city changed yields one row per distinct city); ``history="as_of"`` joins
     the live version at ``trans_date`` only.
 
-    Join strategy is left to Catalyst/AQE: dimensions under the broadcast
-    threshold (measured at run time) are broadcast, larger ones (clients and
-    cards at a real bank) are sort-merge joined, with AQE splitting skewed keys.
+    Dimensions are broadcast only when a bounded count proves them at most
+    ``broadcast_rows`` rows (see :func:`broadcast_if_small`); larger ones are
+    shuffle-joined and AQE re-plans from runtime sizes, splitting skewed keys.
     """
     f = restrict_day(facts, day).select(
         "trans_id", "trans_date", "oper_result", "card_num", "amt", "opertype",
         F.col("terminal").alias("_f_terminal"))
-    k = _versions(cards, "_k", {"_k_card": "card_num", "_k_account": "account"}, history)
-    a = _versions(accounts, "_a", {"_a_account": "account", "valid_to": "valid_to",
-                                   "client": "client"}, history)
-    c = _versions(clients, "_c", {"_c_client": "client_id", "passport_num": "passport_num",
-                                  "passport_valid_to": "passport_valid_to",
-                                  "fio": full_name(*fio_parts), "phone": "phone"}, history)
     t = _versions(terminals, "_t", {"_t_id": "terminal_id",
                                     "terminal_city": "terminal_city"}, history)
-    joined = (f.join(k, _on("card_num", "_k_card", "_k", history), "left")
-               .join(a, _on("_k_account", "_a_account", "_a", history), "left")
-               .join(c, _on("client", "_c_client", "_c", history), "left")
-               .join(t, _on("_f_terminal", "_t_id", "_t", history), "left"))
+    t = broadcast_if_small(t, broadcast_rows)
+    if history == HISTORY_ALL:
+        owner = broadcast_if_small(owner_dim(cards, accounts, clients, fio_parts=fio_parts),
+                                   broadcast_rows)
+        joined = f.join(owner, F.col("card_num") == F.col("_k_card"), "left")
+    else:
+        k = _versions(cards, "_k", {"_k_card": "card_num", "_k_account": "account"}, history)
+        a = _versions(accounts, "_a", {"_a_account": "account", "valid_to": "valid_to",
+                                       "client": "client"}, history)
+        c = _versions(clients, "_c", {"_c_client": "client_id",
+                                      "passport_num": "passport_num",
+                                      "passport_valid_to": "passport_valid_to",
+                                      "fio": full_name(*fio_parts), "phone": "phone"}, history)
+        k, a, c = (broadcast_if_small(x, broadcast_rows) for x in (k, a, c))
+        joined = (f.join(k, _on("card_num", "_k_card", "_k", history), "left")
+                   .join(a, _on("_k_account", "_a_account", "_a", history), "left")
+                   .join(c, _on("client", "_c_client", "_c", history), "left"))
+    joined = joined.join(t, _on("_f_terminal", "_t_id", "_t", history), "left")
     out = joined.select(*[F.col(n) for n in VIEW_COLUMNS if n != "account"],
                         F.col("_a_account").alias("account")).select(*VIEW_COLUMNS)
     return out.distinct() if distinct else out

@@ -18,6 +18,7 @@ from ..functions import elapsed, seconds, shift_days
 from ..schemas import (CHAIN_LENGTH, EVENT_ACCOUNT, EVENT_BRUTE_FORCE, EVENT_CITIES,
                        EVENT_PASSPORT, GRACE_DAYS, GUESS_OPERTYPES, MAX_CHAIN_SPAN_SECONDS,
                        MAX_CITY_GAP_SECONDS, REPORT_COLUMNS, RESULT_FAIL, RESULT_OK)
+from .joins import broadcast_if_small
 from .windows import with_lags
 
 
@@ -56,7 +57,8 @@ def rule_passport(view: DataFrame, blacklist: DataFrame, *, grace_days: int = GR
 
     ``isin(DataFrame)`` is an IN-subquery: Catalyst plans it as an existence
     join (broadcast when the blacklist is measured small, else sort-merge)."""
-    listed = F.col("passport_num").isin(blacklist.select("passport_num"))
+    listed = F.col("passport_num").isin(
+        broadcast_if_small(blacklist.select("passport_num").distinct()))
     hits = view.filter(expired("trans_date", "passport_valid_to", grace_days)
                        | (listed & (F.col("oper_result") == ok)))
     return first_per_passport(hits, EVENT_PASSPORT)
