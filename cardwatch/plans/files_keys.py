@@ -76,8 +76,8 @@ def q_pending_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = (fx.table(spark, sf_dir, "events")
             .select(day_of("ts").alias("business_date")).distinct()
             .filter(F.col("business_date") <= F.lit(dt.date(2024, 1, 10))))
-    done.select("business_date", F.lit(0).alias("terminals_version"),
-                F.localtimestamp().alias("processed_at")).write.mode("append").parquet(wh.ledger)
+    done.select(F.lit(0).alias("terminals_version"), F.localtimestamp().alias("processed_at"),
+                "business_date").write.partitionBy("business_date").parquet(wh.ledger)
     return pipeline.pending_dates(spark, wh, root)
 
 

@@ -86,7 +86,7 @@ FACT_BLACKLIST_STORED = extend(FACT_BLACKLIST, ("load_dt", D))
 REP_FRAUD = _struct(("event_dt", TS), ("passport", S), ("fio", S), ("phone", S),
                     ("event_type", S), ("report_dt", TS))
 META_LOG = _struct(("event_dt", TS), ("event_type", S), ("event_desription", S))
-LEDGER = _struct(("business_date", D), ("terminals_version", I), ("processed_at", TS))
+LEDGER = _struct(("terminals_version", I), ("processed_at", TS), ("business_date", D))
 
 REPORT_COLUMNS = ("event_dt", "passport", "fio", "phone", "event_type")
 VIEW_COLUMNS = ("trans_id", "trans_date", "oper_result", "card_num", "amt", "opertype",
