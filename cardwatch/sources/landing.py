@@ -38,6 +38,11 @@ def _glob(root: str, kind: str, day: dt.date | None, ext: str) -> str:
     return f"{root.rstrip('/')}/*{kind}_{stamp}.{ext}"
 
 
+def _is_missing(exc: Exception) -> bool:
+    text = str(exc)
+    return "PATH_NOT_FOUND" in text or "does not exist" in text
+
+
 def _csv(spark: SparkSession, schema, path: str) -> DataFrame:
     return (spark.read.schema(schema).option("sep", SEP).option("header", True)
             .option("timestampNTZFormat", TIMESTAMP_FORMAT).option("mode", "PERMISSIVE")
@@ -54,9 +59,18 @@ def read_transactions(spark: SparkSession, root: str, day: dt.date | None = None
 
 
 def _snapshot(spark: SparkSession, root: str, kind: str, schema, day, fmt: str) -> DataFrame:
+    """A snapshot file; a missing one reads as empty (the caller refuses an
+    empty terminal snapshot, an empty blacklist adds nothing)."""
+    from pyspark.errors import AnalysisException
     path = _glob(root, kind, day, EXT[fmt])
-    raw = (spark.read.schema(schema).parquet(path) if fmt == "parquet"
-           else _csv(spark, schema, path))
+    try:
+        raw = (spark.read.schema(schema).parquet(path) if fmt == "parquet"
+               else _csv(spark, schema, path))
+    except AnalysisException as exc:
+        if not _is_missing(exc):
+            raise
+        return spark.createDataFrame([], schema).withColumn("file_date",
+                                                            F.lit(None).cast("date"))
     return raw.withColumn("file_date", file_date(F.col("_metadata.file_path")))
 
 
