@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_timestamp, open_end, prev_second
+from .joins import broadcast_if_small
 
 NEW, CHANGED, DELETED = "new", "changed", "deleted"
 
@@ -87,16 +88,23 @@ def scd2_merge(hist: DataFrame, snapshot: DataFrame, key: str, attrs: Sequence[s
     current = dim_current(hist, as_of)
     diff = scd2_diff(current, snapshot, key, attrs, null_safe=null_safe)
     closing_types = [CHANGED, DELETED] + ([NEW] if close_tombstones else [])
-    closing = (diff.filter(F.col("change_type").isin(closing_types))
-                   .select(F.col(key).alias("_close_key")).distinct())
+    # The day's changed/deleted keys: small next to the dimension, so broadcast
+    # behind a bounded count and the open rows are not shuffled for the update.
+    closing = broadcast_if_small(
+        diff.filter(F.col("change_type").isin(closing_types))
+            .select(F.col(key).alias("_close_key")).distinct())
     cols = hist.columns
-    old = (hist.join(closing, F.col(key) == F.col("_close_key"), "left")
-               .withColumn("effective_to",
-                           F.when(F.col("_close_key").isNotNull()
-                                  & (F.col("effective_to") == open_end()),
-                                  prev_second(d))
-                            .otherwise(F.col("effective_to")))
-               .select(*cols))
+    # Only open rows (effective_to = OPEN_END) can be closed; every closed
+    # version passes through untouched, without a shuffle or a join.
+    is_open = F.coalesce(F.col("effective_to") == open_end(), F.lit(False))
+    closed_rows = hist.filter(~is_open)
+    reclosed = (hist.filter(is_open)
+                    .join(closing, F.col(key) == F.col("_close_key"), "left")
+                    .withColumn("effective_to",
+                                F.when(F.col("_close_key").isNotNull(), prev_second(d))
+                                 .otherwise(F.col("effective_to")))
+                    .select(*cols))
+    old = closed_rows.unionByName(reclosed)
     extra = [c for c in cols if c not in (key, *attrs, "effective_from", "effective_to",
                                           "deleted_flg")]
     fillers = [F.lit(None).cast(hist.schema[c].dataType).alias(c) for c in extra]
