@@ -79,10 +79,14 @@ def chain_lags(view: DataFrame, chain: int, lookback_seconds: int | None) -> Dat
     return with_lags(view, lags, lookback_seconds=lookback_seconds)
 
 
-def _city_hits(lagged: DataFrame, max_gap_seconds: int) -> DataFrame:
+def _city_condition(max_gap_seconds: int):
     # `city <> previous city` is NULL when either is NULL: no hit (as in SQL).
-    return lagged.filter((F.col("terminal_city") != F.col("_prev_city"))
-                         & (elapsed("trans_date", "_prev_date") < seconds(max_gap_seconds)))
+    return ((F.col("terminal_city") != F.col("_prev_city"))
+            & (elapsed("trans_date", "_prev_date") < seconds(max_gap_seconds)))
+
+
+def _city_hits(lagged: DataFrame, max_gap_seconds: int) -> DataFrame:
+    return lagged.filter(_city_condition(max_gap_seconds))
 
 
 def rule_cities(view: DataFrame, *, max_gap_seconds: int = MAX_CITY_GAP_SECONDS,
@@ -94,8 +98,8 @@ def rule_cities(view: DataFrame, *, max_gap_seconds: int = MAX_CITY_GAP_SECONDS,
     return first_per_passport(_city_hits(lagged, max_gap_seconds), EVENT_CITIES)
 
 
-def _chain_hits(lagged: DataFrame, chain: int, max_span_seconds: int, fail: str, ok: str,
-                opertypes: Sequence[str]) -> DataFrame:
+def _chain_condition(chain: int, max_span_seconds: int, fail: str, ok: str,
+                     opertypes: Sequence[str]):
     amounts = [F.col(f"_amt_{b}") for b in range(chain - 1, 0, -1)] + [F.col("amt")]
     results = [F.col(f"_res_{b}") for b in range(chain - 1, 0, -1)]
     cond = F.col("oper_result") == ok
@@ -103,9 +107,13 @@ def _chain_hits(lagged: DataFrame, chain: int, max_span_seconds: int, fail: str,
         cond = cond & (before > after)
     for r in results:
         cond = cond & (r == fail)
-    cond = (cond & F.col("opertype").isin(list(opertypes))
+    return (cond & F.col("opertype").isin(list(opertypes))
             & (elapsed("trans_date", f"_date_{chain - 1}") < seconds(max_span_seconds)))
-    return lagged.filter(cond)
+
+
+def _chain_hits(lagged: DataFrame, chain: int, max_span_seconds: int, fail: str, ok: str,
+                opertypes: Sequence[str]) -> DataFrame:
+    return lagged.filter(_chain_condition(chain, max_span_seconds, fail, ok, opertypes))
 
 
 def rule_brute_force(view: DataFrame, *, chain: int = CHAIN_LENGTH,
@@ -151,12 +159,24 @@ def fraud_report(view: DataFrame, blacklist: DataFrame, *,
         lags[f"_res_{back}"] = ("oper_result", back)
     lags[f"_date_{chain - 1}"] = ("trans_date", chain - 1)
     lagged = with_lags(view, lags, lookback_seconds=lookback)
+    # Tag CITIES and BRUTE_FORCE hits in one pass over one window: both
+    # branches below then start from the same plan, so the window's exchange
+    # is shared (separately pruned windows would shuffle the view twice).
+    rule = F.explode(F.array(
+        F.when(_city_condition(max_gap_seconds), F.lit(EVENT_CITIES)),
+        F.when(_chain_condition(chain, max_span_seconds, fail, ok, opertypes),
+               F.lit(EVENT_BRUTE_FORCE)))).alias("_rule")
+    tagged = (lagged.select("trans_date", "trans_id", "passport_num", "fio", "phone", rule)
+                    .filter(F.col("_rule").isNotNull()))
+    cities = first_per_passport(tagged.filter(F.col("_rule") == EVENT_CITIES), EVENT_CITIES)
+    guesses = tagged.filter(F.col("_rule") == EVENT_BRUTE_FORCE).select(
+        F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"),
+        "fio", "phone", F.col("_rule").alias("event_type"))
     parts = [
         rule_account(view, grace_days=grace_days, ok=ok),
         rule_passport(view, blacklist, grace_days=grace_days, ok=ok),
-        rule_cities(view, max_gap_seconds=max_gap_seconds, lagged=lagged),
-        rule_brute_force(view, chain=chain, max_span_seconds=max_span_seconds, fail=fail,
-                         ok=ok, opertypes=opertypes, lagged=lagged),
+        cities,
+        guesses,
     ]
     out = parts[0]
     for p in parts[1:]:
