@@ -32,7 +32,7 @@ def main() -> None:
     from cardwatch.plans.registry import queries
 
     spark = build_session(f"local[{cpus}]", app="cardwatch-bench",
-                          shuffle_partitions=cpus * 2,
+                          shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g"})
     qs = queries()
     times, cold = {}, {}

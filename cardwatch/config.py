@@ -67,6 +67,15 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_root(spark), "cardwatch", *parts, uuid.uuid4().hex])
 
 
+def materialize(df, name: str = "materialized"):
+    """Write ``df`` once to a fresh folder under the shared scratch root and
+    read it back: lineage is cut (an executor loss re-reads files instead of
+    recomputing joins) and every later reader still gets column pruning."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local filesystem checks in tests."""
     return path[5:] if path.startswith("file:") else path
@@ -82,5 +91,5 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-__all__ = ["build_session", "shared_root", "scratch_path", "table_exists",
+__all__ = ["build_session", "shared_root", "scratch_path", "table_exists", "materialize",
            "local_path", "SESSION_DEFAULTS"]

@@ -19,7 +19,7 @@ from ..schemas import (CHAIN_LENGTH, EVENT_ACCOUNT, EVENT_BRUTE_FORCE, EVENT_CIT
                        EVENT_PASSPORT, GRACE_DAYS, GUESS_OPERTYPES, MAX_CHAIN_SPAN_SECONDS,
                        MAX_CITY_GAP_SECONDS, REPORT_COLUMNS, RESULT_FAIL, RESULT_OK)
 from .joins import broadcast_if_small
-from .windows import with_lags
+from .windows import with_exact_lags, with_lags
 
 
 def first_per_passport(hits: DataFrame, event_type: str) -> DataFrame:
@@ -131,9 +131,15 @@ def rule_brute_force(view: DataFrame, *, chain: int = CHAIN_LENGTH,
                        F.lit(EVENT_BRUTE_FORCE).alias("event_type"))
 
 
-def lag_chain(view: DataFrame, chain: int = CHAIN_LENGTH) -> DataFrame:
-    """The raw look-back columns of the amount rule, exact (unbounded) lags."""
-    lagged = chain_lags(view, chain, None)
+def lag_chain(view: DataFrame, chain: int = CHAIN_LENGTH, hot_rows: int | None = None
+              ) -> DataFrame:
+    """The raw look-back columns of the amount rule: exact, unbounded lags,
+    with hot accounts split (see :func:`with_exact_lags`)."""
+    lags = {}
+    for back in range(chain - 1, 0, -1):
+        lags[f"_amt_{back}"] = ("amt", back)
+        lags[f"_res_{back}"] = ("oper_result", back)
+    lagged = with_exact_lags(view, lags, hot_rows=hot_rows)
     cols = [F.col(f"_amt_{b}").alias(f"oper_{chain - b}") for b in range(chain - 1, 0, -1)]
     cols.append(F.col("amt").alias(f"oper_{chain}"))
     cols += [F.col(f"_res_{b}").alias(f"res_{chain - b}") for b in range(chain - 1, 0, -1)]

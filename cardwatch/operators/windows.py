@@ -69,3 +69,103 @@ def with_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
     # leading NULLs they can never satisfy a time-bounded rule.
     keep = keep | (F.col("_bucket").isNull() & F.col("_own_bucket").isNull())
     return out.filter(keep).drop("_bucket", "_own_bucket")
+
+
+# --- exact look-back for any distance, hot keys split ----------------------------------
+# A key with more rows than this (per call) is split into time buckets of about
+# this many rows each. Override with `cardwatch.window.hotRows`.
+DEFAULT_HOT_ROWS = 2_000_000
+HOT_ROWS_CONF = "cardwatch.window.hotRows"
+
+
+def _hot_rows(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get(HOT_ROWS_CONF, None)
+    return int(value) if value is not None else DEFAULT_HOT_ROWS
+
+
+def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
+                    partition: Sequence[str] = ("account",),
+                    order: Sequence[str] = ("trans_date", "trans_id"),
+                    ts: str = "trans_date", hot_rows: int | None = None) -> DataFrame:
+    """``lag`` columns identical to an unsplit ``Window.partitionBy(partition)``,
+    without sending a hot key to one task.
+
+    1. A pre-aggregated count per key finds hot keys (more than ``hot_rows``
+       rows); only those are split into time buckets of ~``hot_rows`` rows.
+       The hot-key table is broadcast behind a bounded count.
+    2. Lags are computed inside each (key, bucket); every other key is one
+       group, so for it nothing else happens.
+    3. Only the first K rows of a hot bucket (K = largest offset) can look
+       past the bucket start. The last K rows of every hot bucket form a small
+       "tails" table (K rows per bucket, independent of how many rows a bucket
+       has); a lag over the tails gives, for each bucket, the K rows just
+       before it, and those patch the first K rows.
+    """
+    from .joins import broadcast_if_small
+
+    hot = hot_rows or _hot_rows(df)
+    k = max(off for _, off in lags.values())
+    part = list(partition)
+    sources: dict[str, Column] = {}
+    lag_src: dict[str, tuple[str, int]] = {}
+    for name, (c, off) in lags.items():
+        col = F.col(c) if isinstance(c, str) else c
+        key = f"_src_{len(sources)}"
+        for kk, vv in sources.items():
+            if str(vv) == str(col):
+                key = kk
+                break
+        sources.setdefault(key, col)
+        lag_src[name] = (key, off)
+
+    base = df.select("*", *[c.alias(n) for n, c in sources.items()],
+                     epoch_second(ts).alias("_sec"))
+    stats = (base.groupBy(*part)
+                 .agg(F.count(F.lit(1)).alias("_n"), F.min("_sec").alias("_lo"),
+                      F.max("_sec").alias("_hi"))
+                 .filter(F.col("_n") > hot)
+                 .select(*[F.col(c).alias(f"_h_{c}") for c in part], "_lo",
+                         F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1)
+                                                     / F.ceil(F.col("_n") / hot)))
+                          .alias("_width")))
+    stats = broadcast_if_small(stats)
+    on = None
+    for c in part:
+        e = F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+        on = e if on is None else on & e
+    tagged = (base.join(stats, on, "left")
+                  .withColumn("_hot", F.col("_width").isNotNull())
+                  .withColumn("_bucket", F.when(F.col("_hot"), F.floor(
+                      (F.col("_sec") - F.col("_lo")) / F.col("_width"))).otherwise(F.lit(0)))
+                  .drop(*[f"_h_{c}" for c in part], "_lo", "_width"))
+    w = Window.partitionBy(*part, "_bucket").orderBy(*order)
+    rows = tagged.select(
+        "*", *[F.lag(src, off).over(w).alias(name) for name, (src, off) in lag_src.items()],
+        F.row_number().over(w).alias("_rn"),
+        F.count(F.lit(1)).over(Window.partitionBy(*part, "_bucket")).alias("_cnt"))
+
+    is_head = F.col("_hot") & (F.col("_rn") <= k)
+    tails = rows.filter(F.col("_hot") & (F.col("_rn") > F.col("_cnt") - k)).select(
+        *part, "_bucket", *order, *sources)
+    wt = Window.partitionBy(*part).orderBy("_bucket", *order)
+    wb = Window.partitionBy(*part, "_bucket").orderBy(*order)
+    ctx_cols = [F.lag(src, j).over(wt).alias(f"_ctx{src}_{j}")
+                for src in sources for j in range(1, k + 1)]
+    ctx = (tails.select(*[F.col(c).alias(f"_x_{c}") for c in part],
+                        F.col("_bucket").alias("_x_bucket"),
+                        F.row_number().over(wb).alias("_trn"), *ctx_cols)
+                .filter(F.col("_trn") == 1).drop("_trn"))
+    on = F.col("_bucket").eqNullSafe(F.col("_x_bucket"))
+    for c in part:
+        on = on & F.col(c).eqNullSafe(F.col(f"_x_{c}"))
+    head = rows.filter(is_head).join(ctx, on, "left")
+    fixed = []
+    for name, (src, off) in lag_src.items():
+        ctx_arr = F.array(*[F.col(f"_ctx{src}_{j}") for j in range(1, k + 1)])
+        fixed.append(F.when(F.col("_rn") > off, F.col(name))
+                      .otherwise(F.element_at(ctx_arr, (F.lit(off) - F.col("_rn") + 1).cast("int")))
+                      .alias(name))
+    keep = [c for c in rows.columns if c not in lag_src]
+    head = head.select(*keep, *fixed)
+    out = rows.filter(~is_head).unionByName(head.select(*rows.columns))
+    return out.drop(*sources, "_sec", "_hot", "_bucket", "_rn", "_cnt")

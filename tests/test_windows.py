@@ -66,3 +66,17 @@ def test_split_keeps_every_row_once(spark):
     out = with_lags(v, {"_p": ("amt", 1)}, lookback_seconds=3600, bucket_seconds=3600)
     assert out.count() == v.count()
     assert out.select("trans_id").distinct().count() == v.count()
+
+
+def test_exact_lags_with_hot_key_split_equal_plain_window(spark):
+    from cardwatch.operators.windows import with_exact_lags
+    v = random_view(spark, n=1200, seed=5)
+    lags = {"p1": ("amt", 1), "p2": ("amt", 2), "p3": ("amt", 3), "r3": ("oper_result", 3),
+            "d1": ("trans_date", 1)}
+    exact = with_lags(v, lags)
+    cols = ["trans_id", *lags]
+    want = sorted(tuple(r) for r in exact.select(*cols).collect())
+    for hot in (5, 40, 10**9):
+        got = with_exact_lags(v, lags, hot_rows=hot)
+        assert got.count() == v.count()
+        assert sorted(tuple(r) for r in got.select(*cols).collect()) == want
