@@ -19,19 +19,27 @@ from ..schemas import (CHAIN_LENGTH, EVENT_ACCOUNT, EVENT_BRUTE_FORCE, EVENT_CIT
                        EVENT_PASSPORT, GRACE_DAYS, GUESS_OPERTYPES, MAX_CHAIN_SPAN_SECONDS,
                        MAX_CITY_GAP_SECONDS, REPORT_COLUMNS, RESULT_FAIL, RESULT_OK)
 from .joins import broadcast_if_small
-from .windows import with_exact_lags, with_lags
+from .windows import with_exact_lags
+
+
+def _earliest(hits: DataFrame) -> DataFrame:
+    """One row per passport: ``_first`` = the earliest hit as a struct."""
+    first = F.min(F.struct("trans_date", "trans_id", "fio", "phone")).alias("_first")
+    return hits.groupBy("passport_num").agg(first)
+
+
+def _report_first(earliest: DataFrame, event_type: str) -> DataFrame:
+    return earliest.select(F.col("_first.trans_date").alias("event_dt"),
+                           F.col("passport_num").alias("passport"),
+                           F.col("_first.fio").alias("fio"),
+                           F.col("_first.phone").alias("phone"),
+                           F.lit(event_type).alias("event_type"))
 
 
 def first_per_passport(hits: DataFrame, event_type: str) -> DataFrame:
     """Earliest hit per passport (ties broken by ``trans_id``); ``fio`` and
     ``phone`` come from that same row. NULL passports form one group."""
-    first = F.min(F.struct("trans_date", "trans_id", "fio", "phone")).alias("_first")
-    return (hits.groupBy("passport_num").agg(first)
-                .select(F.col("_first.trans_date").alias("event_dt"),
-                        F.col("passport_num").alias("passport"),
-                        F.col("_first.fio").alias("fio"),
-                        F.col("_first.phone").alias("phone"),
-                        F.lit(event_type).alias("event_type")))
+    return _report_first(_earliest(hits), event_type)
 
 
 def expired(ts: str, valid_to: str, grace_days: int = GRACE_DAYS):
@@ -55,28 +63,43 @@ def rule_passport(view: DataFrame, blacklist: DataFrame, *, grace_days: int = GR
     """Operation with an expired passport (any result), or a successful one with
     a blacklisted passport. Membership ignores the blacklist entry date.
 
-    ``isin(DataFrame)`` is an IN-subquery: Catalyst plans it as an existence
-    join (broadcast when the blacklist is measured small, else sort-merge)."""
-    listed = F.col("passport_num").isin(
-        broadcast_if_small(blacklist.select("passport_num").distinct()))
-    hits = view.filter(expired("trans_date", "passport_valid_to", grace_days)
-                       | (listed & (F.col("oper_result") == ok)))
-    return first_per_passport(hits, EVENT_PASSPORT)
+    ``min`` is duplicate-insensitive, so the earliest hit of the disjunction is
+    the earlier of the two branch minima. The blacklist branch is reduced to
+    one candidate row per passport (map-side partial aggregation) *before* it
+    meets the blacklist in a semi join, so neither all view rows nor a hot
+    passport are shuffled for the membership test; NULL passports cannot be
+    listed and are dropped from that branch."""
+    lapsed = _earliest(view.filter(expired("trans_date", "passport_valid_to", grace_days)))
+    listed = broadcast_if_small(blacklist.select(F.col("passport_num").alias("_listed"))
+                                .filter(F.col("_listed").isNotNull()).distinct())
+    candidates = _earliest(view.filter((F.col("oper_result") == ok)
+                                       & F.col("passport_num").isNotNull()))
+    blacklisted = candidates.join(listed, F.col("passport_num") == F.col("_listed"),
+                                  "left_semi")
+    both = lapsed.unionByName(blacklisted).groupBy("passport_num").agg(
+        F.min("_first").alias("_first"))
+    return _report_first(both, EVENT_PASSPORT)
 
 
-def city_lags(view: DataFrame, lookback_seconds: int | None) -> DataFrame:
-    return with_lags(view, {"_prev_city": ("terminal_city", 1),
-                            "_prev_date": ("trans_date", 1)},
-                     lookback_seconds=lookback_seconds)
+CITY_LAGS = {"_prev_city": ("terminal_city", 1), "_prev_date": ("trans_date", 1)}
 
 
-def chain_lags(view: DataFrame, chain: int, lookback_seconds: int | None) -> DataFrame:
+def _chain_lag_spec(chain: int) -> dict:
     lags = {}
     for back in range(chain - 1, 0, -1):
         lags[f"_amt_{back}"] = ("amt", back)
         lags[f"_res_{back}"] = ("oper_result", back)
     lags[f"_date_{chain - 1}"] = ("trans_date", chain - 1)
-    return with_lags(view, lags, lookback_seconds=lookback_seconds)
+    return lags
+
+
+def city_lags(view: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """Previous city and time per account (hot accounts split by row count)."""
+    return with_exact_lags(view, CITY_LAGS, hot_rows=hot_rows)
+
+
+def chain_lags(view: DataFrame, chain: int, hot_rows: int | None = None) -> DataFrame:
+    return with_exact_lags(view, _chain_lag_spec(chain), hot_rows=hot_rows)
 
 
 def _city_condition(max_gap_seconds: int):
@@ -94,7 +117,7 @@ def rule_cities(view: DataFrame, *, max_gap_seconds: int = MAX_CITY_GAP_SECONDS,
     """Operation in a different city than the account's previous operation,
     less than ``max_gap_seconds`` later, whatever the result. Reported once per
     passport at the earliest such (second) operation."""
-    lagged = lagged if lagged is not None else city_lags(view, max_gap_seconds)
+    lagged = lagged if lagged is not None else city_lags(view)
     return first_per_passport(_city_hits(lagged, max_gap_seconds), EVENT_CITIES)
 
 
@@ -124,7 +147,7 @@ def rule_brute_force(view: DataFrame, *, chain: int = CHAIN_LENGTH,
     """Amount guessing: ``chain-1`` rejected operations then a successful one,
     amounts strictly falling, the last a withdrawal or payment, first to last
     less than ``max_span_seconds``. One report row per hit (not grouped)."""
-    lagged = lagged if lagged is not None else chain_lags(view, chain, max_span_seconds)
+    lagged = lagged if lagged is not None else chain_lags(view, chain)
     hits = _chain_hits(lagged, chain, max_span_seconds, fail, ok, opertypes)
     return hits.select(F.col("trans_date").alias("event_dt"),
                        F.col("passport_num").alias("passport"), "fio", "phone",
@@ -135,10 +158,7 @@ def lag_chain(view: DataFrame, chain: int = CHAIN_LENGTH, hot_rows: int | None =
               ) -> DataFrame:
     """The raw look-back columns of the amount rule: exact, unbounded lags,
     with hot accounts split (see :func:`with_exact_lags`)."""
-    lags = {}
-    for back in range(chain - 1, 0, -1):
-        lags[f"_amt_{back}"] = ("amt", back)
-        lags[f"_res_{back}"] = ("oper_result", back)
+    lags = {k: v for k, v in _chain_lag_spec(chain).items() if not k.startswith("_date")}
     lagged = with_exact_lags(view, lags, hot_rows=hot_rows)
     cols = [F.col(f"_amt_{b}").alias(f"oper_{chain - b}") for b in range(chain - 1, 0, -1)]
     cols.append(F.col("amt").alias(f"oper_{chain}"))
@@ -157,14 +177,8 @@ def fraud_report(view: DataFrame, blacklist: DataFrame, *,
     """ACCOUNT, PASSPORT, CITIES and BRUTE_FORCE hits as one multiset.
 
     CITIES and BRUTE_FORCE read one shared lagged frame (one window, one
-    shuffle); its halo is wide enough for both thresholds."""
-    lookback = max(max_gap_seconds, max_span_seconds)
-    lags = {"_prev_city": ("terminal_city", 1), "_prev_date": ("trans_date", 1)}
-    for back in range(chain - 1, 0, -1):
-        lags[f"_amt_{back}"] = ("amt", back)
-        lags[f"_res_{back}"] = ("oper_result", back)
-    lags[f"_date_{chain - 1}"] = ("trans_date", chain - 1)
-    lagged = with_lags(view, lags, lookback_seconds=lookback)
+    shuffle)."""
+    lagged = with_exact_lags(view, {**CITY_LAGS, **_chain_lag_spec(chain)})
     # Tag CITIES and BRUTE_FORCE hits in one pass over one window: both
     # branches below then start from the same plan, so the window's exchange
     # is shared (separately pruned windows would shuffle the view twice).

@@ -1,16 +1,12 @@
-"""Ordered look-back (``lag``) per account, split so that a hot account does
-not land in a single task.
+"""Ordered look-back (``lag``) per account without sending a hot account to
+one task.
 
 A plain ``Window.partitionBy(account)`` sends every row of an account to one
 task; the NULL account (all unknown cards) or one busy merchant account can
-hold a large share of a day. When the caller only needs look-backs that are
-at most ``lookback_seconds`` older than the current row (both time-bounded
-rules are), rows are partitioned by ``(account, time bucket)`` and the last
-``lookback_seconds`` of each bucket are copied into the next bucket as context
-("halo") rows. Halo rows feed the ``lag`` values but are dropped from the
-output. For any row whose looked-back rows lie within ``lookback_seconds``
-the lags are exactly those of the unsplit window; for any other row a lag may
-be NULL instead of an older value, which the time-bounded rule rejects anyway.
+hold a large share of a day. :func:`with_exact_lags` splits only such hot keys
+(by row count, into time buckets) and stitches the bucket borders, giving
+exactly the lags of the unsplit window. :func:`with_lags` is the plain window,
+kept as the reference the split version is tested against.
 """
 
 from __future__ import annotations
@@ -22,53 +18,14 @@ from pyspark.sql import functions as F
 
 from ..functions import epoch_second
 
-# A bucket is at least six hours and at least four look-back spans wide, so a
-# halo only ever reaches back into the previous bucket and adds at most a
-# quarter of the rows.
-MIN_BUCKET_SECONDS = 6 * 3600
-BUCKET_SPANS = 4
-
-
-def order_spec(partition: Sequence[str], order: Sequence[str]):
-    return Window.partitionBy(*partition).orderBy(*order)
-
 
 def with_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
               partition: Sequence[str] = ("account",),
-              order: Sequence[str] = ("trans_date", "trans_id"),
-              ts: str = "trans_date",
-              lookback_seconds: int | None = None,
-              bucket_seconds: int | None = None) -> DataFrame:
-    """Add ``name = lag(expr, offset)`` columns over one shared window.
-
-    All lags share one window specification, so the plan has one Exchange, one
-    Sort and one Window operator. ``lookback_seconds=None`` gives the exact,
-    unbounded look-back of a plain window.
-    """
-    def lag_cols(w):
-        return [F.lag(c, n).over(w).alias(name) for name, (c, n) in lags.items()]
-
-    if lookback_seconds is None:
-        return df.select("*", *lag_cols(order_spec(partition, order)))
-
-    span = int(lookback_seconds)
-    width = int(bucket_seconds or max(MIN_BUCKET_SECONDS, BUCKET_SPANS * span))
-    if width < span:
-        raise ValueError("bucket_seconds must be at least lookback_seconds")
-    sec = epoch_second(ts)
-    own = F.floor(sec / F.lit(width))
-    # One extra second covers the fractional part dropped by epoch_second.
-    near_end = sec >= (own + 1) * F.lit(width) - F.lit(span + 1)
-    split = (df.withColumn("_own_bucket", own)
-               .withColumn("_bucket", F.explode(
-                   F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own)))))
-    w = order_spec([*partition, "_bucket"], order)
-    out = split.select("*", *lag_cols(w))
-    keep = F.col("_bucket") == F.col("_own_bucket")
-    # NULL timestamps form their own (NULL) bucket, like the unsplit window's
-    # leading NULLs they can never satisfy a time-bounded rule.
-    keep = keep | (F.col("_bucket").isNull() & F.col("_own_bucket").isNull())
-    return out.filter(keep).drop("_bucket", "_own_bucket")
+              order: Sequence[str] = ("trans_date", "trans_id")) -> DataFrame:
+    """``name = lag(expr, offset)`` over one unsplit window (reference form:
+    all lags share one Exchange, one Sort and one Window operator)."""
+    w = Window.partitionBy(*partition).orderBy(*order)
+    return df.select("*", *[F.lag(c, n).over(w).alias(name) for name, (c, n) in lags.items()])
 
 
 # --- exact look-back for any distance, hot keys split ----------------------------------

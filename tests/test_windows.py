@@ -1,6 +1,5 @@
-"""The split (account, time bucket) look-back equals the unsplit window on
-every rule hit, including chains that cross bucket boundaries and a hot
-account that holds most rows."""
+"""The hot-key split look-back equals the unsplit window: on the lag values
+themselves and on every rule hit, with a 60 % hot account and NULL accounts."""
 
 from __future__ import annotations
 
@@ -9,8 +8,9 @@ import random
 
 from conftest import view_rows
 
-from cardwatch.operators.rules import (_chain_hits, _city_hits, chain_lags, city_lags)
-from cardwatch.operators.windows import with_lags
+from cardwatch.operators.rules import (CITY_LAGS, _chain_hits, _chain_lag_spec, _city_hits,
+                                       chain_lags, city_lags)
+from cardwatch.operators.windows import with_exact_lags, with_lags
 
 
 def random_view(spark, n=1500, seed=7):
@@ -20,8 +20,11 @@ def random_view(spark, n=1500, seed=7):
     for i in range(n):
         account = "HOT" if rnd.random() < 0.6 else (None if rnd.random() < 0.1
                                                    else f"A{rnd.randint(1, 5)}")
-        t = t0 + dt.timedelta(seconds=rnd.randint(0, 3 * 86400), microseconds=rnd.randint(0, 999999))
-        rows.append(dict(trans_id=f"{i:06d}", trans_date=t.isoformat(sep=" "),
+        t = t0 + dt.timedelta(seconds=rnd.randint(0, 3 * 86400),
+                              microseconds=rnd.randint(0, 999999))
+        if rnd.random() < 0.01:
+            t = None
+        rows.append(dict(trans_id=f"{i:06d}", trans_date=t,
                          oper_result=rnd.choice(["SUCCESS", "REJECT", "REJECT"]),
                          opertype=rnd.choice(["PAYMENT", "WITHDRAW", "DEPOSIT"]),
                          account=account, passport_num=account, fio="f", phone="p",
@@ -36,46 +39,27 @@ def ids(df):
 
 def test_city_hits_equal_unsplit(spark):
     v = random_view(spark)
-    exact = _city_hits(city_lags(v, None), 3600)
-    for bucket in (3600, 7200, 6 * 3600):
-        split = _city_hits(with_lags(v, {"_prev_city": ("terminal_city", 1),
-                                         "_prev_date": ("trans_date", 1)},
-                                     lookback_seconds=3600, bucket_seconds=bucket), 3600)
-        assert ids(split) == ids(exact)
+    exact = _city_hits(with_lags(v, CITY_LAGS), 3600)
     assert len(ids(exact)) > 10
+    for hot in (7, 50, 10**9):
+        assert ids(_city_hits(city_lags(v, hot_rows=hot), 3600)) == ids(exact)
 
 
 def test_chain_hits_equal_unsplit(spark):
     v = random_view(spark, n=2500, seed=11)
     span = 5400
-    exact = _chain_hits(chain_lags(v, 4, None), 4, span, "REJECT", "SUCCESS",
-                        ("WITHDRAW", "PAYMENT"))
-    for bucket in (span, 2 * span):
-        lags = {}
-        for back in (3, 2, 1):
-            lags[f"_amt_{back}"] = ("amt", back)
-            lags[f"_res_{back}"] = ("oper_result", back)
-        lags["_date_3"] = ("trans_date", 3)
-        split = _chain_hits(with_lags(v, lags, lookback_seconds=span, bucket_seconds=bucket),
-                            4, span, "REJECT", "SUCCESS", ("WITHDRAW", "PAYMENT"))
-        assert ids(split) == ids(exact)
-
-
-def test_split_keeps_every_row_once(spark):
-    v = random_view(spark, n=800, seed=3)
-    out = with_lags(v, {"_p": ("amt", 1)}, lookback_seconds=3600, bucket_seconds=3600)
-    assert out.count() == v.count()
-    assert out.select("trans_id").distinct().count() == v.count()
+    args = (4, span, "REJECT", "SUCCESS", ("WITHDRAW", "PAYMENT"))
+    exact = _chain_hits(with_lags(v, _chain_lag_spec(4)), *args)
+    for hot in (9, 100):
+        assert ids(_chain_hits(chain_lags(v, 4, hot_rows=hot), *args)) == ids(exact)
 
 
 def test_exact_lags_with_hot_key_split_equal_plain_window(spark):
-    from cardwatch.operators.windows import with_exact_lags
     v = random_view(spark, n=1200, seed=5)
     lags = {"p1": ("amt", 1), "p2": ("amt", 2), "p3": ("amt", 3), "r3": ("oper_result", 3),
             "d1": ("trans_date", 1)}
-    exact = with_lags(v, lags)
     cols = ["trans_id", *lags]
-    want = sorted(tuple(r) for r in exact.select(*cols).collect())
+    want = sorted(tuple(r) for r in with_lags(v, lags).select(*cols).collect())
     for hot in (5, 40, 10**9):
         got = with_exact_lags(v, lags, hot_rows=hot)
         assert got.count() == v.count()
