@@ -40,13 +40,20 @@ def build_session(master: str | None = None, app: str = "cardwatch",
     return spark
 
 
+_roots: dict[int, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster-wide scratch folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder is
-    created and registered as the checkpoint directory.
+    Read from the session (once per SparkContext); only when it is unset
+    (local tests) a folder is created and registered as the checkpoint
+    directory.
     """
     sc = spark.sparkContext
+    cached = _roots.get(id(sc))
+    if cached:
+        return cached
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
@@ -59,7 +66,8 @@ def shared_root(spark: SparkSession) -> str:
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
-    return root.rstrip("/")
+    _roots[id(sc)] = root.rstrip("/")
+    return _roots[id(sc)]
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

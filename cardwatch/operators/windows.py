@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import broadcast
 
 from ..functions import epoch_second
 
@@ -49,7 +50,8 @@ def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
 
     1. A pre-aggregated count per key finds hot keys (more than ``hot_rows``
        rows); only those are split into time buckets of ~``hot_rows`` rows.
-       The hot-key table is broadcast behind a bounded count.
+       The hot-key table is broadcast behind a bounded count; when that count
+       is zero the plain window is used (every key is then one group).
     2. Lags are computed inside each (key, bucket); every other key is one
        group, so for it nothing else happens.
     3. Only the first K rows of a hot bucket (K = largest offset) can look
@@ -58,8 +60,6 @@ def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
        has); a lag over the tails gives, for each bucket, the K rows just
        before it, and those patch the first K rows.
     """
-    from .joins import broadcast_if_small
-
     hot = hot_rows or _hot_rows(df)
     k = max(off for _, off in lags.values())
     part = list(partition)
@@ -85,7 +85,15 @@ def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
                          F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1)
                                                      / F.ceil(F.col("_n") / hot)))
                           .alias("_width")))
-    stats = broadcast_if_small(stats)
+    from .joins import bounded_count, broadcast_limit
+    limit = broadcast_limit(df)
+    n_hot = bounded_count(stats, limit)
+    if n_hot == 0:
+        # Measured: no key is hot, every key is one group -> the plain window
+        # is already exact and balanced.
+        return with_lags(df, lags, partition=part, order=order)
+    if n_hot <= limit:
+        stats = broadcast(stats)
     on = None
     for c in part:
         e = F.col(c).eqNullSafe(F.col(f"_h_{c}"))
