@@ -16,6 +16,7 @@ from ..operators import load_transactions
 from ..sources import fixtures as fx
 from ..sources import landing
 from . import pipeline
+from .oracle import FIXTURE_SPAN
 
 
 def _stage_transactions(spark: SparkSession, sf_dir: str, file_day: F.Column | None = None
@@ -131,16 +132,10 @@ def q_daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = pipeline.Warehouse(config.scratch_path(spark, "warehouse"))
     build_landing(spark, sf_dir, root)
     pipeline.bootstrap(spark, wh, *seeds(spark, sf_dir))
-    pipeline.backfill(spark, wh, root,
-                      pipeline.RuleParams(max_span_seconds=fx_span()))
+    pipeline.backfill(spark, wh, root, pipeline.RuleParams(max_span_seconds=FIXTURE_SPAN))
     return spark.read.parquet(wh.report)
 
 
-def fx_span() -> int:
-    from .oracle import FIXTURE_SPAN
-    return FIXTURE_SPAN
-
-
 FILE_KEYS = {
     "load_transactions": q_load_transactions,
     "load_terminals": q_load_terminals,
