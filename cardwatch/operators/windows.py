@@ -6,7 +6,7 @@ task; the NULL account (all unknown cards) or one busy merchant account can
 hold a large share of a day. :func:`with_exact_lags` splits only such hot keys
 (by row count, into time buckets) and stitches the bucket borders, giving
 exactly the lags of the unsplit window. :func:`with_lags` is the plain window,
-kept as the reference the split version is tested against.
+kept as the baseline the split version is tested against.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from ..functions import epoch_second
 def with_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
               partition: Sequence[str] = ("account",),
               order: Sequence[str] = ("trans_date", "trans_id")) -> DataFrame:
-    """``name = lag(expr, offset)`` over one unsplit window (reference form:
+    """``name = lag(expr, offset)`` over one unsplit window (baseline form:
     all lags share one Exchange, one Sort and one Window operator)."""
     w = Window.partitionBy(*partition).orderBy(*order)
     return df.select("*", *[F.lag(c, n).over(w).alias(name) for name, (c, n) in lags.items()])

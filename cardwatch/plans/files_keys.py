@@ -15,7 +15,7 @@ from ..functions import day_of
 from ..operators import load_transactions
 from ..sources import fixtures as fx
 from ..sources import landing
-from . import pipeline
+from . import daily as pipeline
 from .oracle import FIXTURE_SPAN
 
 

@@ -138,7 +138,7 @@ def q_blacklist_new(spark, sf_dir):
 def q_fact_append(spark, sf_dir):
     """Two overlapping loads appended to a fresh fact table and read back: the
     rows of the shared day are stored twice (no de-duplication)."""
-    from .pipeline import read_facts, write_facts
+    from .daily import read_facts, write_facts
     stg = fx.event_staging(spark, sf_dir)
     path = config.scratch_path(spark, "fact_append")
     day = F.to_date("transaction_date")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans import pipeline
+from ..plans import daily as pipeline
 
 # The fixed schema of Spark's binaryFile source (a stream needs it up front).
 BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, "

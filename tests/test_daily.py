@@ -9,7 +9,7 @@ import os
 import pytest
 
 from cardwatch import config
-from cardwatch.plans import pipeline
+from cardwatch.plans import daily as pipeline
 from cardwatch.sources import landing
 
 DAYS = (dt.date(2021, 1, 31), dt.date(2021, 2, 1), dt.date(2021, 2, 2))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-
 from cardwatch import config
 from cardwatch.functions import (amount, elapsed, file_date, full_name, prev_second, seconds,
                                  shift_days)

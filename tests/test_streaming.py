@@ -3,10 +3,10 @@ order whatever the file arrival order, and a second run finds nothing new."""
 
 from __future__ import annotations
 
-from test_pipeline import DAYS, build_landing, seeds
+from test_daily import DAYS, build_landing, seeds
 
 from cardwatch import config
-from cardwatch.plans import pipeline
+from cardwatch.plans import daily as pipeline
 from cardwatch.streaming import start_ingest
 
 
