@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import day_of, full_name
 from ..schemas import VIEW_COLUMNS
-from .joins import broadcast_if_small
+from .joins import bounded_count, broadcast_if_small, broadcast_limit
 
 HISTORY_ALL = "all"      # every dimension version joins (source-compatible fan-out)
 HISTORY_AS_OF = "as_of"  # only the version valid at the transaction time
@@ -96,8 +96,13 @@ def report_view(facts: DataFrame, cards: DataFrame, accounts: DataFrame,
                                     "terminal_city": "terminal_city"}, history)
     t = broadcast_if_small(t, broadcast_rows)
     if history == HISTORY_ALL:
-        owner = broadcast_if_small(owner_dim(cards, accounts, clients, fio_parts=fio_parts),
-                                   broadcast_rows)
+        owner = owner_dim(cards, accounts, clients, fio_parts=fio_parts)
+        # The owner dimension has at least as many rows as the card table: a
+        # cheap bounded scan of cards rules out a broadcast before the owner
+        # joins would have to run just to be counted.
+        limit = broadcast_limit(owner) if broadcast_rows is None else broadcast_rows
+        if limit > 0 and bounded_count(cards.select("card_num"), limit) <= limit:
+            owner = broadcast_if_small(owner, limit)
         joined = f.join(owner, F.col("card_num") == F.col("_k_card"), "left")
     else:
         k = _versions(cards, "_k", {"_k_card": "card_num", "_k_account": "account"}, history)

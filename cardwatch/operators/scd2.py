@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions import as_timestamp, open_end, prev_second
 from .joins import broadcast_if_small
 
@@ -86,7 +87,10 @@ def scd2_merge(hist: DataFrame, snapshot: DataFrame, key: str, attrs: Sequence[s
     else:
         d = as_timestamp(snapshot_date)
     current = dim_current(hist, as_of)
-    diff = scd2_diff(current, snapshot, key, attrs, null_safe=null_safe)
+    # The day's delta is small next to the dimension and is read three times
+    # (closing keys, inserts, tombstones): written once, joined once.
+    diff = config.materialize(scd2_diff(current, snapshot, key, attrs, null_safe=null_safe),
+                              "scd2_diff")
     closing_types = [CHANGED, DELETED] + ([NEW] if close_tombstones else [])
     # The day's changed/deleted keys: small next to the dimension, so broadcast
     # behind a bounded count and the open rows are not shuffled for the update.

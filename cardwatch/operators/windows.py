@@ -85,9 +85,13 @@ def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
                          F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1)
                                                      / F.ceil(F.col("_n") / hot)))
                           .alias("_width")))
-    from .joins import bounded_count, broadcast_limit
+    from .. import config
+    from .joins import broadcast_limit
     limit = broadcast_limit(df)
-    n_hot = bounded_count(stats, limit)
+    # Hot keys are few (at most rows / hot_rows): written once to the shared
+    # scratch folder, so the aggregation is not recomputed by the join below.
+    stats = config.materialize(stats, "hot_keys")
+    n_hot = stats.limit(limit + 1).count()
     if n_hot == 0:
         # Measured: no key is hot, every key is one group -> the plain window
         # is already exact and balanced.
