@@ -160,7 +160,8 @@ def run_day(spark: SparkSession, wh: Warehouse, landing_root: str, day: dt.date,
     # 2. terminals: SCD2 merge into a new version, from the committed version
     version = committed_terminal_version(spark, wh, before=day)
     hist = terminals_hist(spark, wh, version)
-    if term_stg.isEmpty():
+    n_terminals = term_stg.count()      # a snapshot file: small, read once more
+    if n_terminals == 0:
         # An empty snapshot would close every terminal (source bug): refuse it.
         log.append(("SKIP_TERMINALS", "Empty terminal snapshot refused"))
         new_version = version
@@ -177,8 +178,8 @@ def run_day(spark: SparkSession, wh: Warehouse, landing_root: str, day: dt.date,
     # 3. blacklist: only passports not yet in the fact (state before this date)
     known = _read(spark, wh.blacklist, FACT_BLACKLIST_STORED)
     known = known.filter(F.col("load_dt") < F.lit(day))
-    fresh = append_new(known, bl_stg)
-    bl_obs = Observation("blacklist")
+    staged_obs, bl_obs = Observation("staged_blacklist"), Observation("blacklist")
+    fresh = append_new(known, bl_stg.observe(staged_obs, F.count(F.lit(1)).alias("rows")))
     _partitioned_write(fresh.observe(bl_obs, F.count(F.lit(1)).alias("rows"))
                             .withColumn("load_dt", F.lit(day)), wh.blacklist, "load_dt")
 
@@ -186,9 +187,11 @@ def run_day(spark: SparkSession, wh: Warehouse, landing_root: str, day: dt.date,
     txn_obs = Observation("transactions")
     write_facts(load_transactions(txn_stg).observe(txn_obs, F.count(F.lit(1)).alias("rows")),
                 wh.transactions, day)
-    log += [("EXTRACT", f"Loaded {bl_obs.get['rows']} passports"),
+    log += [("EXTRACT", f"Loaded {staged_obs.get['rows']} passports"),
+            ("EXTRACT", f"Loaded {n_terminals} terminals"),
             ("EXTRACT", f"Loaded {txn_obs.get['rows']} transactions"),
-            ("TRANSFORM", "Data transfered from STG to DWH")]
+            ("TRANSFORM", f"Data transfered from STG to DWH; "
+                          f"{bl_obs.get['rows']} new passports")]
 
     # 5. report view of the latest business day, materialised once in the shared
     #    scratch folder (cuts lineage; four rules read it), then the rules.
@@ -233,11 +236,15 @@ def backfill(spark: SparkSession, wh: Warehouse, landing_root: str,
     """Process pending dates one at a time, earliest first (SCD2 order matters).
     Each iteration fetches only the next date (one row) from the cluster."""
     results = []
+    audit(spark, wh, [("--BEGIN--", "Script was executed")])
     while max_days is None or len(results) < max_days:
         nxt = pending_dates(spark, wh, landing_root).first()
         if nxt is None:
             if not results:
-                audit(spark, wh, [("NO_FILES", "No files, nothing to update")])
+                audit(spark, wh, [("NO_FILES", "No files, nothing to update"),
+                                  ("--FINISH--", "Nothing to be done")])
+                return results
             break
         results.append(run_day(spark, wh, landing_root, nxt["file_date"], params))
+    audit(spark, wh, [("--FINISH--", "Finished successfully")])
     return results

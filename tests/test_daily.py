@@ -149,6 +149,10 @@ def test_audit_and_rerun_is_idempotent(warehouse):
     log = spark.read.parquet(wh.meta_log)
     assert log.filter("event_type = 'CREATE_DB'").count() == 1
     assert log.filter("event_desription like 'Loaded % transactions'").count() == 3
+    loaded = sorted(r["event_desription"] for r in log.filter("event_type = 'EXTRACT'")
+                    .filter("event_desription like 'Loaded %'").collect())
+    assert "Loaded 2 passports" in loaded and "Loaded 3 terminals" in loaded
+    assert log.filter("event_type = '--FINISH--'").count() == 1
     before_facts = spark.read.parquet(wh.transactions).count()
     before_report = spark.read.parquet(wh.report).count()
     # a crash after the writes but before the ledger: the day is simply re-run
