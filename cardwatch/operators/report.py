@@ -124,5 +124,9 @@ def report_view(facts: DataFrame, cards: DataFrame, accounts: DataFrame,
     # Duplicates are rare (re-delivered rows, version fan-out), so a map-side
     # partial DISTINCT only costs a hash map before the shuffle. Hashing on
     # trans_id (evenly spread, one of the DISTINCT columns) satisfies the
-    # DISTINCT's clustering: still one shuffle, the de-duplication runs after it.
+    # DISTINCT's clustering, so the de-duplication runs after one shuffle.
+    # When the owner dimension is shuffle-joined this is a second shuffle, on
+    # purpose: nothing downstream depends on the card_num partitioning, so AQE
+    # stays free to split a skewed join partition (a hot card, or the NULL
+    # card of all unmatched rows).
     return out.repartition("trans_id").distinct()
