@@ -112,3 +112,12 @@ def write_landing(df: DataFrame, root: str, kind: str, date_col: str, fmt: str =
     else:
         w.option("sep", SEP).option("header", True) \
          .option("timestampNTZFormat", TIMESTAMP_FORMAT).csv(root)
+
+
+def read_seed(spark: SparkSession, path: str, schema, fmt: str = "csv") -> DataFrame:
+    """A seed table (cards, accounts or clients) with its declared schema:
+    ';'-CSV with a header, or Parquet. Identifiers stay text (client ids such
+    as ``VIP-9807`` occur)."""
+    if fmt == "parquet":
+        return spark.read.schema(schema).parquet(path)
+    return _csv(spark, schema, path)
