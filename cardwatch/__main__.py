@@ -3,7 +3,7 @@
 Bootstraps the warehouse from seed files when it does not exist yet, then
 processes every pending business date in the landing folder, earliest first
 (``--max-days 1`` processes only the earliest, like one scheduled run).
-Submit with ``spark-submit -m cardwatch ...`` or run locally.
+The cluster master comes from ``spark-defaults.conf`` or ``--master``.
 """
 
 from __future__ import annotations
