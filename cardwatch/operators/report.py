@@ -22,9 +22,12 @@ def _day_column(facts: DataFrame) -> Column:
     return F.col("trans_dt") if "trans_dt" in facts.columns else day_of("trans_date")
 
 
-def restrict_day(facts: DataFrame, day: str | dt.date | None = "latest") -> DataFrame:
+def restrict_day(facts: DataFrame, day: str | dt.date | None = "latest",
+                 lookback_days: int = 0) -> DataFrame:
     """Keep one business day: ``"latest"`` (the maximum day present), a given
-    date, or ``None`` for every day. ``[D, D+1)`` equals ``day(trans_date) = D``."""
+    date, or ``None`` for every day. ``[D, D+1)`` equals ``day(trans_date) = D``.
+    ``lookback_days = N`` also keeps the N days before D (context for look-back
+    rules whose chains cross midnight; the source looks at D only)."""
     if day is None:
         return facts
     day_col = _day_column(facts)
@@ -32,6 +35,8 @@ def restrict_day(facts: DataFrame, day: str | dt.date | None = "latest") -> Data
         target = facts.select(F.max(day_col)).scalar()
     else:
         target = F.lit(day).cast("date")
+    if lookback_days:
+        return facts.filter(day_col.between(F.date_sub(target, int(lookback_days)), target))
     return facts.filter(day_col == target)
 
 
@@ -76,7 +81,8 @@ def report_view(facts: DataFrame, cards: DataFrame, accounts: DataFrame,
                 clients: DataFrame, terminals: DataFrame, *,
                 day: str | dt.date | None = "latest", history: str = HISTORY_ALL,
                 fio_parts: tuple[str, ...] = ("last_name", "first_name", "patronymic"),
-                distinct: bool = True, broadcast_rows: int | None = None) -> DataFrame:
+                distinct: bool = True, broadcast_rows: int | None = None,
+                lookback_days: int = 0) -> DataFrame:
     """Transactions of one business day with owner and terminal attributes.
 
     Every join is LEFT OUTER, so a transaction with an unknown card, account,
@@ -89,7 +95,7 @@ def report_view(facts: DataFrame, cards: DataFrame, accounts: DataFrame,
     ``broadcast_rows`` rows (see :func:`broadcast_if_small`); larger ones are
     shuffle-joined and AQE re-plans from runtime sizes, splitting skewed keys.
     """
-    f = restrict_day(facts, day).select(
+    f = restrict_day(facts, day, lookback_days).select(
         "trans_id", "trans_date", "oper_result", "card_num", "amt", "opertype",
         F.col("terminal").alias("_f_terminal"))
     t = _versions(terminals, "_t", {"_t_id": "terminal_id",

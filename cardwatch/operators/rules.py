@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import elapsed, seconds, shift_days
@@ -173,12 +173,22 @@ def fraud_report(view: DataFrame, blacklist: DataFrame, *,
                  chain: int = CHAIN_LENGTH,
                  max_span_seconds: int = MAX_CHAIN_SPAN_SECONDS,
                  fail: str = RESULT_FAIL, ok: str = RESULT_OK,
-                 opertypes: Sequence[str] = GUESS_OPERTYPES) -> DataFrame:
+                 opertypes: Sequence[str] = GUESS_OPERTYPES,
+                 since=None) -> DataFrame:
     """ACCOUNT, PASSPORT, CITIES and BRUTE_FORCE hits as one multiset.
 
+    ``since`` (a date, timestamp or Column) reports only hits at or after it;
+    earlier view rows then only serve as look-back context (used with a view
+    built with ``lookback_days``).
+
     CITIES and BRUTE_FORCE read one shared lagged frame (one window, one
     shuffle)."""
     lagged = with_exact_lags(view, {**CITY_LAGS, **_chain_lag_spec(chain)})
+    if since is not None:
+        start = (since if isinstance(since, Column) else F.lit(since)).cast("timestamp_ntz")
+        in_scope = F.col("trans_date") >= start
+        lagged = lagged.filter(in_scope)
+        view = view.filter(in_scope)
     # Tag CITIES and BRUTE_FORCE hits in one pass over one window: both
     # branches below then start from the same plan, so the window's exchange
     # is shared (separately pruned windows would shuffle the view twice).

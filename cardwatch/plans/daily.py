@@ -143,6 +143,7 @@ class RuleParams:
     max_gap_seconds: int = MAX_CITY_GAP_SECONDS
     chain: int = CHAIN_LENGTH
     max_span_seconds: int = MAX_CHAIN_SPAN_SECONDS
+    lookback_days: int = 0     # > 0: chains may start on earlier days (not the source's)
 
 
 def run_day(spark: SparkSession, wh: Warehouse, landing_root: str, day: dt.date,
@@ -198,13 +199,16 @@ def run_day(spark: SparkSession, wh: Warehouse, landing_root: str, day: dt.date,
     facts = read_facts(spark, wh.transactions).filter(F.col("load_dt") <= F.lit(day))
     view = report_view(facts, spark.read.parquet(wh.cards), spark.read.parquet(wh.accounts),
                        spark.read.parquet(wh.clients),
-                       terminals_hist(spark, wh, new_version), day="latest")
+                       terminals_hist(spark, wh, new_version), day="latest",
+                       lookback_days=params.lookback_days)
     view = config.materialize(view, f"report_view/{tag}")
     blacklist = _read(spark, wh.blacklist, FACT_BLACKLIST_STORED).filter(
         F.col("load_dt") <= F.lit(day))
     report = fraud_report(view, blacklist, grace_days=params.grace_days,
                           max_gap_seconds=params.max_gap_seconds, chain=params.chain,
-                          max_span_seconds=params.max_span_seconds)
+                          max_span_seconds=params.max_span_seconds,
+                          since=(view.select(F.max(F.to_date("trans_date"))).scalar()
+                                 if params.lookback_days else None))
     report = report.select(*[F.col(c) for c in REP_FRAUD.fieldNames() if c != "report_dt"],
                            F.localtimestamp().alias("report_dt"))
     _partitioned_write(report.withColumn("load_dt", F.lit(day)), wh.report, "load_dt")

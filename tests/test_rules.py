@@ -143,3 +143,21 @@ def test_fraud_report_union_and_counts(spark):
     counts = dict((r["event_type"], r["hits"]) for r in rule_hit_counts(rep).collect())
     assert counts == {"ACCOUNT": 1, "PASSPORT": 1, "CITIES": 1, "BRUTE_FORCE": 1}
     assert rep.columns == ["event_dt", "passport", "fio", "phone", "event_type"]
+
+
+def test_lookback_finds_chains_across_midnight_but_reports_the_day_only(spark):
+    import datetime as dt
+    from cardwatch.operators import report_view
+    from test_report import dims, facts
+    f = facts(spark, [("1", "2024-01-02 23:50:00", "C1", "T2"),     # Omsk
+                      ("2", "2024-01-03 00:10:00", "C1", "T1"),     # Kazan, 20 min later
+                      ("3", "2024-01-02 10:00:00", "C1", "T1"),
+                      ("4", "2024-01-02 10:30:00", "C1", "T2")])    # yesterday's own hit
+    bl = spark.createDataFrame([], "passport_num string")
+    # as_of: T1 has two city versions, "all" would fan out into a same-instant change
+    plain = fraud_report(report_view(f, *dims(spark), history="as_of"), bl)
+    assert plain.filter("event_type = 'CITIES'").count() == 0       # source: day D only
+    wide = report_view(f, *dims(spark), history="as_of", lookback_days=1)
+    rep = fraud_report(wide, bl, since=dt.date(2024, 1, 3))
+    (r,) = rep.filter("event_type = 'CITIES'").collect()
+    assert str(r["event_dt"]) == "2024-01-03 00:10:00"
