@@ -34,6 +34,11 @@ def with_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
 # this many rows each. Override with `cardwatch.window.hotRows`.
 DEFAULT_HOT_ROWS = 2_000_000
 HOT_ROWS_CONF = "cardwatch.window.hotRows"
+# Hot keys get row-balanced buckets from this many timestamp quantiles when
+# there are at most QUANTILE_KEYS of them (the cut table is then at most
+# ~8 MB); beyond that, buckets of equal time width.
+QUANTILES = 1024
+QUANTILE_KEYS = 1000
 
 
 def _hot_rows(df: DataFrame) -> int:
@@ -49,7 +54,9 @@ def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
     without sending a hot key to one task.
 
     1. A pre-aggregated count per key finds hot keys (more than ``hot_rows``
-       rows); only those are split into time buckets of ~``hot_rows`` rows.
+       rows); only those are split into time buckets of ~``hot_rows`` rows,
+       cut at approximate timestamp quantiles so buckets hold similar row
+       counts even when a key's rows come in a burst.
        The hot-key table is broadcast behind a bounded count; when that count
        is zero the plain window is used (every key is then one group).
     2. Lags are computed inside each (key, bucket); every other key is one
@@ -82,6 +89,7 @@ def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
                       F.max("_sec").alias("_hi"))
                  .filter(F.col("_n") > hot)
                  .select(*[F.col(c).alias(f"_h_{c}") for c in part], "_lo",
+                         F.ceil(F.col("_n") / hot).alias("_parts"),
                          F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1)
                                                      / F.ceil(F.col("_n") / hot)))
                           .alias("_width")))
@@ -94,19 +102,43 @@ def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
         # is already exact and balanced.
         return with_lags(df, lags, partition=part, order=order)
     # Hot keys are few (at most rows / hot_rows): written once to the shared
-    # scratch folder, so the aggregation is not recomputed by the join below.
+    # scratch folder, so the aggregation is not recomputed by the joins below.
     stats = config.materialize(stats, "hot_keys")
-    if n_hot <= limit:
-        stats = broadcast(stats)
     on = None
     for c in part:
         e = F.col(c).eqNullSafe(F.col(f"_h_{c}"))
         on = e if on is None else on & e
+    if n_hot <= QUANTILE_KEYS:
+        # Row-balanced buckets: cut each hot key at approximate quantiles of
+        # its timestamps (a mergeable sketch, partially aggregated, over the
+        # hot rows only), so a burst inside a short time span is split too.
+        hot_only = base.join(broadcast(stats), on, "left_semi")
+        cuts = [i / QUANTILES for i in range(1, QUANTILES)]
+        bounds = (hot_only.groupBy(*part)
+                          .agg(F.percentile_approx("_sec", cuts, 10000).alias("_bounds"))
+                          .select(*[F.col(c).alias(f"_q_{c}") for c in part], "_bounds"))
+        q_on = None
+        for c in part:
+            e = F.col(f"_h_{c}").eqNullSafe(F.col(f"_q_{c}"))
+            q_on = e if q_on is None else q_on & e
+        stats = config.materialize(
+            stats.join(bounds, q_on, "left").drop(*[f"_q_{c}" for c in part]), "hot_bounds")
+        rank = F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_sec")))
+        balanced = F.floor(rank * F.col("_parts") / F.lit(QUANTILES))
+    else:
+        stats = stats.withColumn("_bounds", F.lit(None).cast("array<bigint>"))
+        balanced = F.lit(None).cast("bigint")
+    if n_hot <= limit:
+        stats = broadcast(stats)
+    # Buckets are a monotone function of the second, so each bucket is a
+    # contiguous run of the key's order (NULL timestamps sort into the first).
+    equal_width = F.floor((F.col("_sec") - F.col("_lo")) / F.col("_width"))
     tagged = (base.join(stats, on, "left")
                   .withColumn("_hot", F.col("_width").isNotNull())
-                  .withColumn("_bucket", F.when(F.col("_hot"), F.floor(
-                      (F.col("_sec") - F.col("_lo")) / F.col("_width"))).otherwise(F.lit(0)))
-                  .drop(*[f"_h_{c}" for c in part], "_lo", "_width"))
+                  .withColumn("_bucket", F.when(~F.col("_hot"), F.lit(0))
+                                          .when(F.col("_bounds").isNotNull(), balanced)
+                                          .otherwise(equal_width))
+                  .drop(*[f"_h_{c}" for c in part], "_lo", "_width", "_parts", "_bounds"))
     w = Window.partitionBy(*part, "_bucket").orderBy(*order)
     rows = tagged.select(
         "*", *[F.lag(src, off).over(w).alias(name) for name, (src, off) in lag_src.items()],

@@ -64,3 +64,22 @@ def test_exact_lags_with_hot_key_split_equal_plain_window(spark):
         got = with_exact_lags(v, lags, hot_rows=hot)
         assert got.count() == v.count()
         assert sorted(tuple(r) for r in got.select(*cols).collect()) == want
+
+
+def test_equal_width_fallback_and_bursts_stay_exact(spark, monkeypatch):
+    import cardwatch.operators.windows as wmod
+    rows = []
+    t0 = dt.datetime(2024, 1, 1, 12)
+    for i in range(600):      # a burst: 540 rows inside two minutes, the rest over a day
+        sec = i % 120 if i < 540 else (i * 97) % 86400
+        rows.append(dict(trans_id=f"{i:05d}", trans_date=t0 + dt.timedelta(seconds=sec),
+                         account="HOT", passport_num="P", amt=i % 13, oper_result="SUCCESS"))
+    v = view_rows(spark, rows)
+    lags = {"p1": ("amt", 1), "p3": ("amt", 3), "d2": ("trans_date", 2)}
+    cols = ["trans_id", *lags]
+    want = sorted(tuple(r) for r in with_lags(v, lags).select(*cols).collect())
+    got = with_exact_lags(v, lags, hot_rows=50)
+    assert sorted(tuple(r) for r in got.select(*cols).collect()) == want
+    monkeypatch.setattr(wmod, "QUANTILE_KEYS", 0)
+    got = with_exact_lags(v, lags, hot_rows=50)
+    assert sorted(tuple(r) for r in got.select(*cols).collect()) == want
