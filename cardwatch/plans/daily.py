@@ -170,8 +170,11 @@ def run_day(spark: SparkSession, wh: Warehouse, landing_root: str, day: dt.date,
         if version == 0 and hist.isEmpty():
             merged = first_load(term_stg, TERMINAL_KEY, TERMINAL_ATTRS)
         else:
+            # Live rows are taken at the business date (the source uses the wall
+            # clock): a re-run of an older date then reproduces the same version.
             merged = scd2_merge(hist, term_stg, TERMINAL_KEY, TERMINAL_ATTRS,
-                                snapshot_date=day, close_tombstones=close_tombstones)
+                                snapshot_date=day, as_of=day,
+                                close_tombstones=close_tombstones)
         new_version = version + 1
         merged.select(*DIM_TERMINALS.fieldNames()).write.mode("overwrite") \
             .parquet(f"{wh.terminals}/version={new_version}")
