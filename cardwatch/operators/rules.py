@@ -63,22 +63,27 @@ def rule_passport(view: DataFrame, blacklist: DataFrame, *, grace_days: int = GR
     """Operation with an expired passport (any result), or a successful one with
     a blacklisted passport. Membership ignores the blacklist entry date.
 
-    ``min`` is duplicate-insensitive, so the earliest hit of the disjunction is
-    the earlier of the two branch minima. The blacklist branch is reduced to
-    one candidate row per passport (map-side partial aggregation) *before* it
-    meets the blacklist in a semi join, so neither all view rows nor a hot
-    passport are shuffled for the membership test; NULL passports cannot be
-    listed and are dropped from that branch."""
-    lapsed = _earliest(view.filter(expired("trans_date", "passport_valid_to", grace_days)))
+    The earliest hit of the disjunction is the earlier of the two branch
+    minima. One per-passport aggregation (map-side partial, so a hot passport
+    is pre-reduced) yields both: the earliest lapsed-passport row and the
+    earliest successful row. Only these per-passport rows meet the blacklist
+    (broadcast when measured small), so neither all view rows nor a hot or
+    NULL passport are shuffled for the membership test."""
+    row = F.struct("trans_date", "trans_id", "fio", "phone")
+    lapsed = expired("trans_date", "passport_valid_to", grace_days)
+    success = (F.col("oper_result") == ok) & F.col("passport_num").isNotNull()
+    per = (view.groupBy("passport_num")
+               .agg(F.min(F.when(lapsed, row)).alias("_lapsed"),
+                    F.min(F.when(success, row)).alias("_success"))
+               .filter(F.col("_lapsed").isNotNull() | F.col("_success").isNotNull()))
     listed = broadcast_if_small(blacklist.select(F.col("passport_num").alias("_listed"))
                                 .filter(F.col("_listed").isNotNull()).distinct())
-    candidates = _earliest(view.filter((F.col("oper_result") == ok)
-                                       & F.col("passport_num").isNotNull()))
-    blacklisted = candidates.join(listed, F.col("passport_num") == F.col("_listed"),
-                                  "left_semi")
-    both = lapsed.unionByName(blacklisted).groupBy("passport_num").agg(
-        F.min("_first").alias("_first"))
-    return _report_first(both, EVENT_PASSPORT)
+    first = F.least(F.col("_lapsed"),
+                    F.when(F.col("_listed").isNotNull(), F.col("_success")))
+    earliest = (per.join(listed, F.col("passport_num") == F.col("_listed"), "left")
+                   .select("passport_num", first.alias("_first"))
+                   .filter(F.col("_first").isNotNull()))
+    return _report_first(earliest, EVENT_PASSPORT)
 
 
 CITY_LAGS = {"_prev_city": ("terminal_city", 1), "_prev_date": ("trans_date", 1)}
