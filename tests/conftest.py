@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,13 +14,12 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from cardwatch.config import build_session
-    extra = {"spark.driver.memory": "4g"}
-    # Tests set their own checkpoint folder only when the environment names none.
-    from pyspark import SparkConf
-    if not SparkConf().get("spark.checkpoint.dir", None):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="cardwatch-test-ckpt-")
-    s = build_session("local[4]", app="cardwatch-tests", shuffle_partitions=4, extra=extra)
+    from cardwatch.config import build_session, shared_root
+    s = build_session("local[4]", app="cardwatch-tests", shuffle_partitions=4,
+                      extra={"spark.driver.memory": "4g"})
+    # The scratch root comes from the session's spark.checkpoint.dir; only when
+    # the environment names none does shared_root create a test folder.
+    shared_root(s)
     yield s
     s.stop()
 
