@@ -24,6 +24,11 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--seeds", help="folder with cards, accounts, clients seed files")
     p.add_argument("--seed-format", default="csv", choices=("csv", "parquet"))
     p.add_argument("--max-days", type=int, default=None)
+    p.add_argument("--grace-days", type=int, default=daily.RuleParams.grace_days)
+    p.add_argument("--max-gap-seconds", type=int, default=daily.RuleParams.max_gap_seconds)
+    p.add_argument("--max-span-seconds", type=int, default=daily.RuleParams.max_span_seconds)
+    p.add_argument("--lookback-days", type=int, default=0,
+                   help="earlier days as look-back context (0 = latest day only)")
     p.add_argument("--master", default=None, help="only for local runs")
     args = p.parse_args(argv)
 
@@ -36,7 +41,10 @@ def main(argv: list[str] | None = None) -> int:
                  for name, schema in (("cards", SEED_CARDS), ("accounts", SEED_ACCOUNTS),
                                       ("clients", SEED_CLIENTS))]
         daily.bootstrap(spark, wh, *seeds)
-    done = daily.backfill(spark, wh, args.landing, max_days=args.max_days)
+    params = daily.RuleParams(grace_days=args.grace_days, max_gap_seconds=args.max_gap_seconds,
+                              max_span_seconds=args.max_span_seconds,
+                              lookback_days=args.lookback_days)
+    done = daily.backfill(spark, wh, args.landing, params, max_days=args.max_days)
     print(json.dumps([{**r, "date": str(r["date"])} for r in done]))
     return 0
 
