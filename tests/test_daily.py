@@ -162,3 +162,20 @@ def test_audit_and_rerun_is_idempotent(warehouse):
     led = pipeline.ledger(spark, wh)
     assert led.count() == 3 and led.agg({"terminals_version": "max"}).first()[0] == 3
     assert pipeline.backfill(spark, wh, root) == []
+
+
+def test_lookback_days_reports_each_day_once(spark):
+    root = config.scratch_path(spark, "lookback-landing")
+    wh = pipeline.Warehouse(config.scratch_path(spark, "lookback-warehouse"))
+    build_landing(root)
+    pipeline.bootstrap(spark, wh, *seeds(spark))
+    pipeline.backfill(spark, wh, root, pipeline.RuleParams(lookback_days=1))
+    got = sorted((r["load_dt"], r["event_type"], r["passport"])
+                 for r in spark.read.parquet(wh.report).collect())
+    # the previous day is look-back context only: its hits are not reported again
+    assert got == sorted([
+        (DAYS[0], "ACCOUNT", "9999 000011"),
+        (DAYS[1], "CITIES", "9999 000022"),
+        (DAYS[1], "PASSPORT", "9999 000003"),
+        (DAYS[2], "BRUTE_FORCE", "9999 000022"),
+    ])
