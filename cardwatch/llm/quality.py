@@ -90,9 +90,13 @@ def signals(df: DataFrame, text_col: str = "text") -> DataFrame:
         F.transform("ps", lambda p, i: F.least(F.lit(3), F.coalesce(F.get("ps", i + 1) - p,
                                                                      F.lit(3)))),
         F.lit(0).cast("long"), lambda a, x: a + x)
-    return twice.select(*rest, _n(covered).alias("n_repeat_words")).withColumn(
-        "base_failed", (F.col("n_words") < 50)
-        | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+    # The partition's number, which is not deterministic, keeps the optimizer from pushing
+    # filters on the verdict below this point, where each use of a signal would become a
+    # copy of its whole expression. The verdict uses it, or it would be pruned.
+    return twice.select(*rest, _n(covered).alias("n_repeat_words"),
+                        F.spark_partition_id().alias("part")).withColumn(
+        "base_failed", (F.col("part") >= 0) & (
+            (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))))
 
 
 def vote(rule: str) -> Column:
@@ -163,7 +167,7 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Signals, base rule, posterior and verdict per row. The signals of all rows (some
     numbers a row, no text) are written once; EM and the verdict both read them."""
     s = signals(df, text_col)
-    s = s.select(F.col("row").getField(id_col).alias(id_col), *s.columns[1:])
+    s = s.select(F.col("row").getField(id_col).alias(id_col), *s.columns[1:]).drop("part")
     s = materialize(s, "quality_signals")
     return judged(s, fit(s), threshold)
 
