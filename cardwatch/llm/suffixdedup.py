@@ -433,8 +433,10 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     names = ["gram", "first", "n", "rel", "cov", "hot"]
     wanted = met.filter("gram IS NOT NULL").groupBy("doc_id", "th").agg(
         F.collect_list(F.struct(*names)).alias("ps"))
+    # Both joins with the texts are merge joins at every size: wanted pieces and spans grow
+    # with the corpus, so no broadcast of them has a bound.
     cut = docs.alias("d").join(
-        wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
+        wanted.hint("merge").alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
         & (F.col("d.th") == F.col("w.th"))).select("d.doc_id", "d.th", "d.b", "w.ps").mapInArrow(
         _cut_pieces(length), PIECE_DDL + ", piece binary")
     # Empty only if no gram has very many pieces; then the second reading of the texts goes.
@@ -491,7 +493,7 @@ def _digests(batches):
 def _with_cuts(docs: DataFrame, found: DataFrame) -> DataFrame:
     cuts = found.groupBy("doc_id", "th").agg(
         F.collect_list(F.struct("first", "last")).alias("cuts"))
-    return docs.alias("d").join(cuts.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))
+    return docs.alias("d").join(cuts.hint("merge").alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))
                                 & (F.col("d.th") == F.col("c.th")), "left").select(
         "d.*", "c.cuts")
 
