@@ -62,6 +62,9 @@ def shared_root(spark: SparkSession) -> str:
         if current:
             root = current
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             "executors share")
         root = tempfile.mkdtemp(prefix="cardwatch-ckpt-")
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():

@@ -1,47 +1,16 @@
-"""Join helpers: broadcast only behind a measured size bound."""
+"""Join helper: a broadcast hint only behind a count of the side, made each time."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (in rows) that is broadcast to every executor. Beyond it
-# the join stays a shuffle join and AQE decides from runtime sizes (including
-# skew splitting). Override per session with `cardwatch.broadcast.maxRows`.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-CONF_KEY = "cardwatch.broadcast.maxRows"
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    value = df.sparkSession.conf.get(CONF_KEY, None)
-    return int(value) if value is not None else DEFAULT_BROADCAST_ROWS
-
-
-# Row counts already measured in this process, keyed by (session, semantic
-# plan hash, limit): like table statistics, a dimension read twice from the
-# same files is measured once. Warehouse writes go to new paths (versions),
-# so a changed table has a different plan.
-_measured: dict[tuple[int, int, int], int] = {}
-_MAX_MEASURED = 1024
-
-
-def bounded_count(df: DataFrame, limit: int) -> int:
-    """``min(count(df), limit + 1)``, measured once per session and plan."""
-    key = (id(df.sparkSession), df.semanticHash(), limit)
-    if key not in _measured:
-        if len(_measured) >= _MAX_MEASURED:
-            _measured.clear()
-        _measured[key] = df.limit(limit + 1).count()
-    return _measured[key]
-
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
-
-    The check counts at most ``max_rows + 1`` rows (a bounded job, it stops at
-    the limit), so what is broadcast has a proven size bound whatever the
-    table grows to; larger sides fall back to the planner's shuffle join."""
-    limit = broadcast_limit(df) if max_rows is None else max_rows
-    if limit <= 0:
+    """``df`` as it is, for the planner and AQE to broadcast by its size in bytes, unless
+    the caller states ``max_rows``: then a hint where a count (partial counts in the tasks,
+    one number each) shows no more rows than that. Nothing is remembered between calls, so
+    a table that has grown is counted again."""
+    if max_rows is None or max_rows <= 0:
         return df
-    return F.broadcast(df) if bounded_count(df, limit) <= limit else df
+    return F.broadcast(df) if df.count() <= max_rows else df

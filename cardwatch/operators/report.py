@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import day_of, full_name
 from ..schemas import VIEW_COLUMNS
-from .joins import bounded_count, broadcast_if_small, broadcast_limit
+from .joins import broadcast_if_small
 
 HISTORY_ALL = "all"      # every dimension version joins (source-compatible fan-out)
 HISTORY_AS_OF = "as_of"  # only the version valid at the transaction time
@@ -53,8 +53,10 @@ def _versions(dim: DataFrame, prefix: str, keep: dict[str, Column | str],
 def _on(key_left: str, key_right: str, prefix: str, history: str) -> Column:
     cond = F.col(key_left) == F.col(key_right)
     if history == HISTORY_AS_OF:
-        cond = cond & F.col("trans_date").between(F.col(f"{prefix}_from"),
-                                                  F.col(f"{prefix}_to"))
+        # A version that ends at 23:59:59 holds that whole second.
+        cond = (cond & (F.col("trans_date") >= F.col(f"{prefix}_from"))
+                & (F.col("trans_date") < F.col(f"{prefix}_to")
+                   + F.expr("INTERVAL 1 SECOND")))
     return cond
 
 
@@ -91,9 +93,9 @@ def report_view(facts: DataFrame, cards: DataFrame, accounts: DataFrame,
     city changed yields one row per distinct city); ``history="as_of"`` joins
     the live version at ``trans_date`` only.
 
-    Dimensions are broadcast only when a bounded count proves them at most
-    ``broadcast_rows`` rows (see :func:`broadcast_if_small`); larger ones are
-    shuffle-joined and AQE re-plans from runtime sizes, splitting skewed keys.
+    Dimensions are broadcast where the planner or AQE finds them small in bytes, or, with
+    ``broadcast_rows``, where a count shows at most so many rows; larger ones are
+    shuffle-joined, and AQE splits skewed keys.
     """
     f = restrict_day(facts, day, lookback_days).select(
         "trans_id", "trans_date", "oper_result", "card_num", "amt", "opertype",
@@ -103,12 +105,7 @@ def report_view(facts: DataFrame, cards: DataFrame, accounts: DataFrame,
     t = broadcast_if_small(t, broadcast_rows)
     if history == HISTORY_ALL:
         owner = owner_dim(cards, accounts, clients, fio_parts=fio_parts)
-        # The owner dimension has at least as many rows as the card table: a
-        # cheap bounded scan of cards rules out a broadcast before the owner
-        # joins would have to run just to be counted.
-        limit = broadcast_limit(owner) if broadcast_rows is None else broadcast_rows
-        if limit > 0 and bounded_count(cards.select("card_num"), limit) <= limit:
-            owner = broadcast_if_small(owner, limit)
+        owner = broadcast_if_small(owner, broadcast_rows)
         joined = f.join(owner, F.col("card_num") == F.col("_k_card"), "left")
     else:
         k = _versions(cards, "_k", {"_k_card": "card_num", "_k_account": "account"}, history)
@@ -129,10 +126,11 @@ def report_view(facts: DataFrame, cards: DataFrame, accounts: DataFrame,
         return out
     # Duplicates are rare (re-delivered rows, version fan-out), so a map-side
     # partial DISTINCT only costs a hash map before the shuffle. Hashing on
-    # trans_id (evenly spread, one of the DISTINCT columns) satisfies the
-    # DISTINCT's clustering, so the de-duplication runs after one shuffle.
+    # three of the DISTINCT columns satisfies the DISTINCT's clustering, so the
+    # de-duplication runs after one shuffle; malformed lines, whose ids are NULL
+    # or repeat, are spread by their time and card.
     # When the owner dimension is shuffle-joined this is a second shuffle, on
     # purpose: nothing downstream depends on the card_num partitioning, so AQE
     # stays free to split a skewed join partition (a hot card, or the NULL
     # card of all unmatched rows).
-    return out.repartition("trans_id").distinct()
+    return out.repartition("trans_id", "trans_date", "card_num").distinct()

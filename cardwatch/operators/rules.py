@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions import elapsed, seconds, shift_days
 from ..schemas import (CHAIN_LENGTH, EVENT_ACCOUNT, EVENT_BRUTE_FORCE, EVENT_CITIES,
                        EVENT_PASSPORT, GRACE_DAYS, GUESS_OPERTYPES, MAX_CHAIN_SPAN_SECONDS,
@@ -67,12 +68,12 @@ def rule_passport(view: DataFrame, blacklist: DataFrame, *, grace_days: int = GR
     minima. One per-passport aggregation (map-side partial, so a hot passport
     is pre-reduced) yields both: the earliest lapsed-passport row and the
     earliest successful row. Only these per-passport rows meet the blacklist
-    (broadcast when measured small), so neither all view rows nor a hot or
+    (broadcast where AQE finds them small), so neither all view rows nor a hot or
     NULL passport are shuffled for the membership test."""
     row = F.struct("trans_date", "trans_id", "fio", "phone")
     lapsed = expired("trans_date", "passport_valid_to", grace_days)
     success = (F.col("oper_result") == ok) & F.col("passport_num").isNotNull()
-    per = (view.groupBy("passport_num")
+    per = (view.filter(lapsed | success).groupBy("passport_num")
                .agg(F.min(F.when(lapsed, row)).alias("_lapsed"),
                     F.min(F.when(success, row)).alias("_success"))
                .filter(F.col("_lapsed").isNotNull() | F.col("_success").isNotNull()))
@@ -165,10 +166,10 @@ def lag_chain(view: DataFrame, chain: int = CHAIN_LENGTH, hot_rows: int | None =
     with hot accounts split (see :func:`with_exact_lags`)."""
     lags = {k: v for k, v in _chain_lag_spec(chain).items() if not k.startswith("_date")}
     lagged = with_exact_lags(view, lags, hot_rows=hot_rows)
-    cols = [F.col(f"_amt_{b}").alias(f"oper_{chain - b}") for b in range(chain - 1, 0, -1)]
-    cols.append(F.col("amt").alias(f"oper_{chain}"))
-    cols += [F.col(f"_res_{b}").alias(f"res_{chain - b}") for b in range(chain - 1, 0, -1)]
-    cols.append(F.col("oper_result").alias(f"res_{chain}"))
+    cols = [F.col(f"_amt_{b}").alias(f"amount_back_{b}") for b in range(chain - 1, 0, -1)]
+    cols.append(F.col("amt").alias("amount"))
+    cols += [F.col(f"_res_{b}").alias(f"result_back_{b}") for b in range(chain - 1, 0, -1)]
+    cols.append(F.col("oper_result").alias("result"))
     return lagged.select("trans_id", "account", *cols)
 
 
@@ -187,22 +188,23 @@ def fraud_report(view: DataFrame, blacklist: DataFrame, *,
     built with ``lookback_days``).
 
     CITIES and BRUTE_FORCE read one shared lagged frame (one window, one
-    shuffle)."""
+    shuffle), whose few tagged hits are written once."""
     lagged = with_exact_lags(view, {**CITY_LAGS, **_chain_lag_spec(chain)})
     if since is not None:
         start = (since if isinstance(since, Column) else F.lit(since)).cast("timestamp_ntz")
         in_scope = F.col("trans_date") >= start
         lagged = lagged.filter(in_scope)
         view = view.filter(in_scope)
-    # Tag CITIES and BRUTE_FORCE hits in one pass over one window: both
-    # branches below then start from the same plan, so the window's exchange
-    # is shared (separately pruned windows would shuffle the view twice).
-    rule = F.explode(F.array(
-        F.when(_city_condition(max_gap_seconds), F.lit(EVENT_CITIES)),
-        F.when(_chain_condition(chain, max_span_seconds, fail, ok, opertypes),
-               F.lit(EVENT_BRUTE_FORCE)))).alias("_rule")
-    tagged = (lagged.select("trans_date", "trans_id", "passport_num", "fio", "phone", rule)
-                    .filter(F.col("_rule").isNotNull()))
+    # Hits first, then their tags: the window runs once and only hits are doubled.
+    city = F.coalesce(_city_condition(max_gap_seconds), F.lit(False))
+    guess = F.coalesce(_chain_condition(chain, max_span_seconds, fail, ok, opertypes),
+                       F.lit(False))
+    rule = F.explode(F.filter(F.array(F.when(city, F.lit(EVENT_CITIES)),
+                                      F.when(guess, F.lit(EVENT_BRUTE_FORCE))),
+                              lambda x: x.isNotNull())).alias("_rule")
+    tagged = config.materialize(
+        lagged.filter(city | guess).select("trans_date", "trans_id", "passport_num", "fio",
+                                           "phone", rule), "rule_hits")
     cities = first_per_passport(tagged.filter(F.col("_rule") == EVENT_CITIES), EVENT_CITIES)
     guesses = tagged.filter(F.col("_rule") == EVENT_BRUTE_FORCE).select(
         F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"),

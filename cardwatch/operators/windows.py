@@ -20,12 +20,18 @@ from pyspark.sql.functions import broadcast
 from ..functions import epoch_second
 
 
+def total_order(df: DataFrame, order: Sequence[str]) -> list[str]:
+    """``order``, then every other column: rows that tie (one transaction in several
+    cities, a re-delivered id) have one order wherever they are sorted."""
+    return [*order, *[c for c in df.columns if c not in order]]
+
+
 def with_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
               partition: Sequence[str] = ("account",),
               order: Sequence[str] = ("trans_date", "trans_id")) -> DataFrame:
     """``name = lag(expr, offset)`` over one unsplit window (baseline form:
     all lags share one Exchange, one Sort and one Window operator)."""
-    w = Window.partitionBy(*partition).orderBy(*order)
+    w = Window.partitionBy(*partition).orderBy(*total_order(df, order))
     return df.select("*", *[F.lag(c, n).over(w).alias(name) for name, (c, n) in lags.items()])
 
 
@@ -57,7 +63,7 @@ def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
        rows); only those are split into time buckets of ~``hot_rows`` rows,
        cut at approximate timestamp quantiles so buckets hold similar row
        counts even when a key's rows come in a burst.
-       The hot-key table is broadcast behind a bounded count; when that count
+       The hot-key table is broadcast behind a count of its rows; when that count
        is zero the plain window is used (every key is then one group).
     2. Lags are computed inside each (key, bucket); every other key is one
        group, so for it nothing else happens.
@@ -68,6 +74,7 @@ def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
        before it, and those patch the first K rows.
     """
     hot = hot_rows or _hot_rows(df)
+    order = total_order(df, order)
     k = max(off for _, off in lags.values())
     part = list(partition)
     sources: dict[str, Column] = {}
@@ -94,9 +101,7 @@ def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
                                                      / F.ceil(F.col("_n") / hot)))
                           .alias("_width")))
     from .. import config
-    from .joins import broadcast_limit
-    limit = broadcast_limit(df)
-    n_hot = stats.limit(limit + 1).count()
+    n_hot = stats.count()
     if n_hot == 0:
         # Measured: no key is hot, every key is one group -> the plain window
         # is already exact and balanced.
@@ -128,7 +133,7 @@ def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
     else:
         stats = stats.withColumn("_bounds", F.lit(None).cast("array<bigint>"))
         balanced = F.lit(None).cast("bigint")
-    if n_hot <= limit:
+    if n_hot <= QUANTILE_KEYS:
         stats = broadcast(stats)
     # Buckets are a monotone function of the second, so each bucket is a
     # contiguous run of the key's order (NULL timestamps sort into the first).

@@ -3,16 +3,20 @@
 Warehouse layout (Parquet, all under one root):
   dim_cards_hist/ dim_accounts_hist/ dim_clients_hist/   written once by bootstrap
   dim_terminals_hist/version=N/                           one folder per SCD2 merge
-  fact_transactions/trans_dt=.../load_dt=.../             appended per business date
+  fact_transactions/load_dt=.../trans_dt=.../             appended per business date
   fact_passport_blacklist/load_dt=.../
   rep_fraud/load_dt=.../
+  rejects/load_dt=.../                                    landing rows that do not parse
   meta_log/                                               audit rows (append)
   ledger/                                                 one row per finished date
 
-Failure model: every write of a business date D goes to partitions keyed by
-``load_dt = D`` (dynamic partition overwrite) or to a new dimension version,
-and D enters the ledger last. A run that dies anywhere is simply re-run: it
-replaces its own partial output and reads only state committed before D.
+Failure model: what a business date D writes goes to folders of its own, replaced as a
+whole (``load_dt=D``, also when the new output is empty), or to a terminal version that no
+ledger row names; D enters the ledger last. A run that dies anywhere is simply re-run.
+
+A date is pending when all three of its files are there. A late date (earlier than one
+already committed) is merged on top of the current terminal state, adds only passports that
+no other date has stored, and scores its own day.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
@@ -29,7 +33,7 @@ from ..operators import (append_new, first_load, fraud_report, load_transactions
 from ..schemas import (CHAIN_LENGTH, DIM_ACCOUNTS, DIM_CARDS, DIM_CLIENTS, DIM_TERMINALS,
                        FACT_BLACKLIST_STORED, FACT_TRANSACTIONS,
                        FACT_TRANSACTIONS_STORED, GRACE_DAYS, LEDGER,
-                       MAX_CHAIN_SPAN_SECONDS, MAX_CITY_GAP_SECONDS, META_LOG, REP_FRAUD)
+                       MAX_CHAIN_SPAN_SECONDS, MAX_CITY_GAP_SECONDS, REP_FRAUD, REP_FRAUD_STORED)
 from ..sources import landing
 
 TERMINAL_KEY = "terminal_id"
@@ -58,25 +62,25 @@ class Warehouse:
     @property
     def report(self): return self.path("rep_fraud")
     @property
+    def rejects(self): return self.path("rejects")
+    @property
     def meta_log(self): return self.path("meta_log")
     @property
     def ledger(self): return self.path("ledger")
 
 
 # --- table io ------------------------------------------------------------------------
-def _partitioned_write(df: DataFrame, path: str, *cols: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*cols).parquet(path))
+def _replace_day(df: DataFrame, path: str, day, *cols: str) -> None:
+    """Write one day's rows in place of all that its folder holds, also if there are none."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy(*cols) if cols else w).parquet(f"{path}/load_dt={day}")
 
 
 def write_facts(facts: DataFrame, path: str, load_dt) -> None:
-    """Append one load to the fact table. Rows land in ``trans_dt``/``load_dt``
-    partitions; a retry of the same load replaces only its own partitions, so
-    earlier loads (even of the same transactions) are kept."""
+    """Append one load to the fact table, in ``trans_dt`` partitions below its ``load_dt``.
+    A retry replaces that load only; earlier loads (even of the same transactions) stay."""
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT_TRANSACTIONS.fields]
-    out = facts.select(*typed, F.col("trans_dt").cast("date"),
-                       F.lit(load_dt).cast("date").alias("load_dt"))
-    _partitioned_write(out, path, "trans_dt", "load_dt")
+    _replace_day(facts.select(*typed, F.col("trans_dt").cast("date")), path, load_dt, "trans_dt")
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
@@ -102,15 +106,19 @@ def ledger(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return _read(spark, wh.ledger, LEDGER)
 
 
-def committed_terminal_version(spark: SparkSession, wh: Warehouse,
-                               before: dt.date | None = None) -> int:
-    """Latest terminal-history version committed by the ledger for dates
-    before ``before`` (all dates when None); 0 is the bootstrap version."""
-    led = ledger(spark, wh)
-    if before is not None:
-        led = led.filter(F.col("business_date") < F.lit(before))
-    row = led.agg(F.max("terminals_version")).first()
-    return int(row[0]) if row and row[0] is not None else 0
+def terminal_state(spark: SparkSession, wh: Warehouse, day: dt.date) -> tuple[int, int, dt.date]:
+    """(version to merge into, number of the next version, date to take live rows at).
+
+    That is the last committed version, except when the date that made it runs again: then
+    its own parent. A late date sees the state of the latest one."""
+    rows = ledger(spark, wh).orderBy(F.desc("terminals_version"), "business_date").collect()
+    if not rows:
+        return 0, 1, day
+    top = rows[0]
+    again = top["business_date"] == day
+    parent = top["parent_version"] if again else top["terminals_version"]
+    others = [r["business_date"] for r in rows if r["business_date"] != day]
+    return parent or 0, top["terminals_version"] + 1, max([day, *others])
 
 
 def terminals_hist(spark: SparkSession, wh: Warehouse, version: int) -> DataFrame:
@@ -132,7 +140,7 @@ def bootstrap(spark: SparkSession, wh: Warehouse, cards: DataFrame, accounts: Da
             .write.mode("overwrite").parquet(path)
     spark.createDataFrame([], DIM_TERMINALS).write.mode("overwrite") \
         .parquet(f"{wh.terminals}/version=0")
-    audit(spark, wh, [("CREATE_DB", "No warehouse. Creating warehouse")])
+    audit(spark, wh, [("CREATE_DB", "Warehouse folders created")])
     return True
 
 
@@ -151,51 +159,60 @@ def run_day(spark: SparkSession, wh: Warehouse, landing_root: str, day: dt.date,
     """Land, merge, append and report one business date (earliest pending first)."""
     params = params or RuleParams()
     tag = day.strftime("%d%m%Y")
-    log: list[tuple[str, str]] = [("EXTRACT", f"Loading files on date {tag}")]
-
-    # 1. landing files of the date (typed reads, counts observed on the writes)
+    log: list[tuple[str, str]] = [("EXTRACT", f"Reading the files of {tag}")]
+
+    # 1. landing files of the date, all of them
+    there = (landing.landing_kinds(spark, landing_root).filter(F.col("file_date") == F.lit(day))
+             .first())
+    missing = sorted(set(landing.KINDS) - set(there["kinds"] if there else ()))
+    if missing:
+        raise FileNotFoundError(f"{tag}: no {', '.join(missing)} file")
     txn_stg = landing.read_transactions(spark, landing_root, day)
     term_stg = landing.read_terminals(spark, landing_root, day)
     bl_stg = landing.read_blacklist(spark, landing_root, day)
 
-    # 2. terminals: SCD2 merge into a new version, from the committed version
-    version = committed_terminal_version(spark, wh, before=day)
+    # 2. terminals: SCD2 merge of the committed version into a folder of a new number
+    version, number, live_at = terminal_state(spark, wh, day)
     hist = terminals_hist(spark, wh, version)
     n_terminals = term_stg.count()      # a snapshot file: small, read once more
     if n_terminals == 0:
         # An empty snapshot would close every terminal (source bug): refuse it.
-        log.append(("SKIP_TERMINALS", "Empty terminal snapshot refused"))
+        log.append(("SKIP_TERMINALS", "The terminal snapshot is empty and was not applied"))
         new_version = version
     else:
         if version == 0 and hist.isEmpty():
             merged = first_load(term_stg, TERMINAL_KEY, TERMINAL_ATTRS)
         else:
-            # Live rows are taken at the business date (the source uses the wall
-            # clock): a re-run of an older date then reproduces the same version.
+            # Live rows are taken at a business date (the source uses the wall
+            # clock): a re-run then reproduces the same version.
             merged = scd2_merge(hist, term_stg, TERMINAL_KEY, TERMINAL_ATTRS,
-                                snapshot_date=day, as_of=day,
+                                snapshot_date=day, as_of=live_at,
                                 close_tombstones=close_tombstones)
-        new_version = version + 1
+        new_version = number
         merged.select(*DIM_TERMINALS.fieldNames()).write.mode("overwrite") \
             .parquet(f"{wh.terminals}/version={new_version}")
 
-    # 3. blacklist: only passports not yet in the fact (state before this date)
+    # 3. blacklist: only passports that no other date has stored
     known = _read(spark, wh.blacklist, FACT_BLACKLIST_STORED)
-    known = known.filter(F.col("load_dt") < F.lit(day))
-    staged_obs, bl_obs = Observation("staged_blacklist"), Observation("blacklist")
-    fresh = append_new(known, bl_stg.observe(staged_obs, F.count(F.lit(1)).alias("rows")))
-    _partitioned_write(fresh.observe(bl_obs, F.count(F.lit(1)).alias("rows"))
-                            .withColumn("load_dt", F.lit(day)), wh.blacklist, "load_dt")
-
-    # 4. transactions: typed append, no de-duplication
-    txn_obs = Observation("transactions")
-    write_facts(load_transactions(txn_stg).observe(txn_obs, F.count(F.lit(1)).alias("rows")),
+    known = known.filter(F.col("load_dt") != F.lit(day))
+    _replace_day(append_new(known, bl_stg), wh.blacklist, day)
+
+    # 4. transactions: typed append, no de-duplication; rows without a time belong to no
+    #    day and are only kept apart
+    write_facts(load_transactions(txn_stg.filter("transaction_date IS NOT NULL")),
                 wh.transactions, day)
-    log += [("EXTRACT", f"Loaded {staged_obs.get['rows']} passports"),
-            ("EXTRACT", f"Loaded {n_terminals} terminals"),
-            ("EXTRACT", f"Loaded {txn_obs.get['rows']} transactions"),
-            ("TRANSFORM", f"Data transfered from STG to DWH; "
-                          f"{bl_obs.get['rows']} new passports")]
+    _replace_day(landing.rejected_transactions(spark, landing_root, day), wh.rejects, day)
+
+    def rows_of(path):  # counted in what was written
+        stored = spark.read.schema("load_dt date").parquet(path)
+        return stored.filter(F.col("load_dt") == F.lit(day)).count()
+
+    n_txn, n_new, n_rejects = (rows_of(x) for x in (wh.transactions, wh.blacklist, wh.rejects))
+    log += [("EXTRACT", f"Staged passports: {bl_stg.count()}"),
+            ("EXTRACT", f"Staged terminals: {n_terminals}"),
+            ("EXTRACT", f"Staged transactions: {n_txn}"),
+            ("EXTRACT", f"Rows that do not parse: {n_rejects}"),
+            ("TRANSFORM", f"Stored, with {n_new} new passports")]
 
     # 5. report view of the latest business day, materialised once in the shared
     #    scratch folder (cuts lineage; four rules read it), then the rules.
@@ -214,44 +231,45 @@ def run_day(spark: SparkSession, wh: Warehouse, landing_root: str, day: dt.date,
                                  if params.lookback_days else None))
     report = report.select(*[F.col(c) for c in REP_FRAUD.fieldNames() if c != "report_dt"],
                            F.localtimestamp().alias("report_dt"))
-    _partitioned_write(report.withColumn("load_dt", F.lit(day)), wh.report, "load_dt")
+    _replace_day(report, wh.report, day)
 
     # 6. audit counts per rule (at most four rows reach the driver), then ledger
-    counts = {r["event_type"]: r["hits"] for r in spark.read.parquet(wh.report)
+    counts = {r["event_type"]: r["hits"] for r in _read(spark, wh.report, REP_FRAUD_STORED)
               .filter(F.col("load_dt") == F.lit(day)).groupBy("event_type")
               .agg(F.count(F.lit(1)).alias("hits")).collect()}
     for et, n in sorted(counts.items()):
-        log.append((f"!! {et} FRAUD !!", f"{et} fraud found: {n}"))
+        log.append((f"!! {et} FRAUD !!", f"{et}: {n} report rows"))
     audit(spark, wh, log)
-    _partitioned_write(
-        spark.createDataFrame([(day, new_version)], "business_date date, terminals_version int")
-             .select("terminals_version", F.localtimestamp().alias("processed_at"),
-                     "business_date"), wh.ledger, "business_date")
+    (spark.createDataFrame([(new_version, version)], "terminals_version int, parent_version int")
+     .select("*", F.localtimestamp().alias("processed_at"))
+     .write.mode("overwrite").parquet(f"{wh.ledger}/business_date={day}"))
     return {"date": day, "terminals_version": new_version, "hits": counts,
-            "transactions": txn_obs.get["rows"], "passports": bl_obs.get["rows"]}
+            "transactions": n_txn, "passports": n_new, "rejects": n_rejects}
 
 
 def pending_dates(spark: SparkSession, wh: Warehouse, landing_root: str) -> DataFrame:
-    """Business dates with landing files that are not yet in the ledger."""
+    """Business dates with all their landing files that are not yet in the ledger."""
     done = ledger(spark, wh).select(F.col("business_date").alias("file_date"))
     return (landing.landing_dates(spark, landing_root)
                    .join(done, "file_date", "left_anti").orderBy("file_date"))
 
 
+def waiting_dates(spark: SparkSession, wh: Warehouse, landing_root: str) -> DataFrame:
+    """Business dates outside the ledger of which some file is not there yet."""
+    done = ledger(spark, wh).select(F.col("business_date").alias("file_date"))
+    return (landing.landing_kinds(spark, landing_root)
+                   .filter(F.size("kinds") < len(landing.KINDS))
+                   .join(done, "file_date", "left_anti").orderBy("file_date"))
+
+
 def backfill(spark: SparkSession, wh: Warehouse, landing_root: str,
              params: RuleParams | None = None, max_days: int | None = None) -> list[dict]:
     """Process pending dates one at a time, earliest first (SCD2 order matters).
-    Each iteration fetches only the next date (one row) from the cluster."""
-    results = []
-    audit(spark, wh, [("--BEGIN--", "Script was executed")])
-    while max_days is None or len(results) < max_days:
-        nxt = pending_dates(spark, wh, landing_root).first()
-        if nxt is None:
-            if not results:
-                audit(spark, wh, [("NO_FILES", "No files, nothing to update"),
-                                  ("--FINISH--", "Nothing to be done")])
-                return results
-            break
-        results.append(run_day(spark, wh, landing_root, nxt["file_date"], params))
-    audit(spark, wh, [("--FINISH--", "Finished successfully")])
+    The landing folder is listed once a run; only dates come to the driver."""
+    audit(spark, wh, [("--BEGIN--", "Run started")])
+    days = [r["file_date"] for r in pending_dates(spark, wh, landing_root).collect()]
+    results = [run_day(spark, wh, landing_root, day, params) for day in days[:max_days]]
+    if not results:
+        audit(spark, wh, [("NO_FILES", "No date is pending")])
+    audit(spark, wh, [("--FINISH--", f"Run ended after {len(results)} dates")])
     return results

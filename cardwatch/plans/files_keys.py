@@ -1,7 +1,6 @@
 """Registered queries that go through files: landing files are generated from
 the given tables into the shared scratch folder, then read back with the
-landing readers or run through the daily pipeline. No SQL twin (the driver
-checks rows only)."""
+landing readers or run through the daily pipeline."""
 
 from __future__ import annotations
 
@@ -28,7 +27,7 @@ def _stage_transactions(spark: SparkSession, sf_dir: str, file_day: F.Column | N
     return stg.select(
         F.col("transaction_id").cast("string").alias("transaction_id"),
         "transaction_date",
-        F.regexp_replace(F.format_number("amount", 2), ",", "").alias("_amt"),
+        F.col("amount").cast("decimal(12,2)").cast("string").alias("_amt"),
         F.col("card_num").cast("string").alias("card_num"),
         "oper_type", "oper_result", F.col("terminal").cast("string").alias("terminal"),
         day.alias("_day"),
@@ -74,10 +73,18 @@ def q_pending_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = pipeline.Warehouse(config.scratch_path(spark, "warehouse"))
     landing.write_landing(_stage_transactions(spark, sf_dir), root, landing.TRANSACTIONS,
                           "_day", fmt="text")
-    done = (fx.table(spark, sf_dir, "events")
-            .select(day_of("ts").alias("business_date")).distinct()
+    days = fx.table(spark, sf_dir, "events").select(day_of("ts").alias("business_date")).distinct()
+    landing.write_landing(days.select(
+        F.lit("T").alias("terminal_id"), F.lit("ATM").alias("terminal_type"),
+        F.lit("city").alias("terminal_city"), F.lit("addr").alias("terminal_address"),
+        F.col("business_date").alias("_day")), root, landing.TERMINALS, "_day")
+    landing.write_landing(days.select(
+        F.col("business_date").alias("date"), F.lit("P").alias("passport"),
+        F.col("business_date").alias("_day")), root, landing.BLACKLIST, "_day")
+    done = (days
             .filter(F.col("business_date") <= F.lit(dt.date(2024, 1, 10))))
-    done.select(F.lit(0).alias("terminals_version"), F.localtimestamp().alias("processed_at"),
+    done.select(F.lit(0).alias("terminals_version"), F.lit(0).alias("parent_version"),
+                F.localtimestamp().alias("processed_at"),
                 "business_date").write.partitionBy("business_date").parquet(wh.ledger)
     return pipeline.pending_dates(spark, wh, root)
 

@@ -85,8 +85,11 @@ FACT_BLACKLIST_STORED = extend(FACT_BLACKLIST, ("load_dt", D))
 
 REP_FRAUD = _struct(("event_dt", TS), ("passport", S), ("fio", S), ("phone", S),
                     ("event_type", S), ("report_dt", TS))
+# Column names of the audit table and the report view are fixed values, too.
 META_LOG = _struct(("event_dt", TS), ("event_type", S), ("event_desription", S))
-LEDGER = _struct(("terminals_version", I), ("processed_at", TS), ("business_date", D))
+REP_FRAUD_STORED = extend(REP_FRAUD, ("load_dt", D))
+LEDGER = _struct(("terminals_version", I), ("parent_version", I), ("processed_at", TS),
+                 ("business_date", D))
 
 REPORT_COLUMNS = ("event_dt", "passport", "fio", "phone", "event_type")
 VIEW_COLUMNS = ("trans_id", "trans_date", "oper_result", "card_num", "amt", "opertype",

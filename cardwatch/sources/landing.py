@@ -22,8 +22,8 @@ from ..schemas import LANDING_BLACKLIST, LANDING_TERMINALS, LANDING_TRANSACTIONS
 TRANSACTIONS = "transactions"
 TERMINALS = "terminals"
 BLACKLIST = "passport_blacklist"
+KINDS = (TRANSACTIONS, TERMINALS, BLACKLIST)
 SEP = ";"
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 EXT = {"csv": "csv", "text": "txt", "parquet": "parquet"}
 
@@ -43,35 +43,70 @@ def _is_missing(exc: Exception) -> bool:
     return "PATH_NOT_FOUND" in text or "does not exist" in text
 
 
+def _require(names, schema, path: str) -> None:
+    missing = [n for n in schema.fieldNames() if n not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header")
+
+
+def _csv_text(spark: SparkSession, schema, path: str) -> DataFrame:
+    """All columns of ';'-separated files as text, by the names of the header. Files read
+    together must have the same header (Spark checks each against the first one's)."""
+    reader = spark.read.option("sep", SEP).option("header", True)
+    names = reader.csv(path).columns
+    _require(names, schema, path)
+    text = ", ".join(f"`{n}` string" for n in names)
+    return reader.schema(text).option("enforceSchema", False).csv(path)
+
+
+def _typed(schema, skip=()) -> list:
+    """The declared columns, by name; a value that does not fit becomes NULL."""
+    return [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields
+            if f.name not in skip]
+
+
 def _csv(spark: SparkSession, schema, path: str) -> DataFrame:
-    return (spark.read.schema(schema).option("sep", SEP).option("header", True)
-            .option("timestampNTZFormat", TIMESTAMP_FORMAT).option("mode", "PERMISSIVE")
-            .csv(path))
+    return _csv_text(spark, schema, path).select(*_typed(schema))
 
 
 def read_transactions(spark: SparkSession, root: str, day: dt.date | None = None) -> DataFrame:
     """Staged transactions of one date (``None``: all dates), typed. The amount
     accepts a decimal comma; a malformed value becomes NULL, not an error."""
-    raw = _csv(spark, LANDING_TRANSACTIONS, _glob(root, TRANSACTIONS, day, "txt"))
-    return raw.select(*[F.col(c) for c in LANDING_TRANSACTIONS.fieldNames() if c != "amount"],
+    raw = _csv_text(spark, LANDING_TRANSACTIONS, _glob(root, TRANSACTIONS, day, "txt"))
+    return raw.select(*_typed(LANDING_TRANSACTIONS, skip=("amount",)),
                       amount("amount").alias("amount"),
                       file_date(F.col("_metadata.file_path")).alias("file_date"))
 
 
+def rejected_transactions(spark: SparkSession, root: str, day: dt.date | None = None
+                          ) -> DataFrame:
+    """The raw rows whose time or amount does not parse, with ``reason``."""
+    raw = _csv_text(spark, LANDING_TRANSACTIONS, _glob(root, TRANSACTIONS, day, "txt"))
+    time = F.col("transaction_date").try_cast("timestamp_ntz").isNull()
+    value = F.col("amount").isNotNull() & amount("amount").isNull()
+    return (raw.select(*LANDING_TRANSACTIONS.fieldNames(),
+                       F.when(time, "transaction_date").when(value, "amount").alias("reason"))
+            .filter("reason IS NOT NULL"))
+
+
 def _snapshot(spark: SparkSession, root: str, kind: str, schema, day, fmt: str) -> DataFrame:
-    """A snapshot file; a missing one reads as empty (the caller refuses an
-    empty terminal snapshot, an empty blacklist adds nothing)."""
+    """A snapshot file; a missing one reads as empty. The daily run tells the two apart
+    before (:func:`landing_kinds`): it needs all files of a date."""
     from pyspark.errors import AnalysisException
     path = _glob(root, kind, day, EXT[fmt])
     try:
-        raw = (spark.read.schema(schema).parquet(path) if fmt == "parquet"
-               else _csv(spark, schema, path))
+        if fmt == "parquet":
+            raw = spark.read.parquet(path)
+            _require(raw.columns, schema, path)
+        else:
+            raw = _csv_text(spark, schema, path)
     except AnalysisException as exc:
         if not _is_missing(exc):
             raise
         return spark.createDataFrame([], schema).withColumn("file_date",
                                                             F.lit(None).cast("date"))
-    return raw.withColumn("file_date", file_date(F.col("_metadata.file_path")))
+    return raw.select(*_typed(schema), file_date(F.col("_metadata.file_path"))
+                      .alias("file_date"))
 
 
 def read_terminals(spark: SparkSession, root: str, day: dt.date | None = None,
@@ -85,17 +120,24 @@ def read_blacklist(spark: SparkSession, root: str, day: dt.date | None = None,
     return _snapshot(spark, root, BLACKLIST, LANDING_BLACKLIST, day, fmt).drop("file_date")
 
 
-def landing_dates(spark: SparkSession, root: str) -> DataFrame:
-    """Distinct business dates of the transaction files present.
+def landing_kinds(spark: SparkSession, root: str) -> DataFrame:
+    """(file_date, kinds): which kinds of files each business date has.
 
     Lists files with the ``binaryFile`` source selecting only ``path``, so no
     file content is read; file listing is distributed by Spark for large
     folders."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .load(root.rstrip("/")).select("path"))
-    return (files.filter(F.col("path").contains(f"{TRANSACTIONS}_"))
-                 .select(file_date(F.col("path")).alias("file_date"))
-                 .filter(F.col("file_date").isNotNull()).distinct())
+    kind = F.coalesce(*[F.when(F.col("path").contains(f"{k}_"), F.lit(k)) for k in KINDS])
+    return (files.select(file_date(F.col("path")).alias("file_date"), kind.alias("kind"))
+                 .filter("file_date IS NOT NULL AND kind IS NOT NULL")
+                 .groupBy("file_date").agg(F.array_sort(F.collect_set("kind")).alias("kinds")))
+
+
+def landing_dates(spark: SparkSession, root: str) -> DataFrame:
+    """Distinct business dates of which all files are there."""
+    return (landing_kinds(spark, root).filter(F.size("kinds") == len(KINDS))
+            .select("file_date"))
 
 
 def write_landing(df: DataFrame, root: str, kind: str, date_col: str, fmt: str = "csv",
@@ -106,12 +148,14 @@ def write_landing(df: DataFrame, root: str, kind: str, date_col: str, fmt: str =
     named = df.withColumn("_file", F.concat(F.lit(f"{kind}_"),
                                             F.date_format(F.col(date_col), "ddMMyyyy"),
                                             F.lit(f".{ext}"))).drop(date_col)
+    if fmt != "parquet":  # times as text, with the fraction that they have
+        named = named.select(*[F.col(f.name).cast("string").alias(f.name)
+                               for f in named.schema.fields])
     w = named.write.mode("append").partitionBy("_file")
     if fmt == "parquet":
         w.parquet(root)
     else:
-        w.option("sep", SEP).option("header", True) \
-         .option("timestampNTZFormat", TIMESTAMP_FORMAT).csv(root)
+        w.option("sep", SEP).option("header", True).csv(root)
 
 
 def read_seed(spark: SparkSession, path: str, schema, fmt: str = "csv") -> DataFrame:

@@ -148,10 +148,10 @@ def test_audit_and_rerun_is_idempotent(warehouse):
     spark, wh, root, _ = warehouse
     log = spark.read.parquet(wh.meta_log)
     assert log.filter("event_type = 'CREATE_DB'").count() == 1
-    assert log.filter("event_desription like 'Loaded % transactions'").count() == 3
+    assert log.filter("event_desription like 'Staged transactions: %'").count() == 3
     loaded = sorted(r["event_desription"] for r in log.filter("event_type = 'EXTRACT'")
-                    .filter("event_desription like 'Loaded %'").collect())
-    assert "Loaded 2 passports" in loaded and "Loaded 3 terminals" in loaded
+                    .filter("event_desription like 'Staged %'").collect())
+    assert "Staged passports: 2" in loaded and "Staged terminals: 3" in loaded
     assert log.filter("event_type = '--FINISH--'").count() == 1
     before_facts = spark.read.parquet(wh.transactions).count()
     before_report = spark.read.parquet(wh.report).count()
@@ -160,7 +160,11 @@ def test_audit_and_rerun_is_idempotent(warehouse):
     assert spark.read.parquet(wh.transactions).count() == before_facts
     assert spark.read.parquet(wh.report).count() == before_report
     led = pipeline.ledger(spark, wh)
-    assert led.count() == 3 and led.agg({"terminals_version": "max"}).first()[0] == 3
+    # the committed folder of version 3 stays; the new attempt has a version of its own
+    top = led.orderBy(led.terminals_version.desc()).first()
+    assert led.count() == 3 and (top["terminals_version"], top["parent_version"]) == (4, 2)
+    assert pipeline.terminals_hist(spark, wh, 3).count() == 4
+    assert pipeline.terminals_hist(spark, wh, 4).count() == 4
     assert pipeline.backfill(spark, wh, root) == []
 
 
@@ -179,3 +183,97 @@ def test_lookback_days_reports_each_day_once(spark):
         (DAYS[1], "PASSPORT", "9999 000003"),
         (DAYS[2], "BRUTE_FORCE", "9999 000022"),
     ])
+
+
+# --- days that are not as they should be ---------------------------------------------------
+HEAD = "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n"
+QUIET = HEAD + "1;2021-01-31 10:00:00.250;5,00;C2;PAYMENT;SUCCESS;T1\n"
+TERMS = "terminal_id;terminal_type;terminal_city;terminal_address\n"
+
+
+def put(root, day, txn=QUIET, terms=TERMS + "T1;POS;Moscow;a1\n", blacklist="date;passport\n"):
+    t = landing.tag(day)
+    for kind, ext, text in (("transactions", "txt", txn), ("terminals", "csv", terms),
+                            ("passport_blacklist", "csv", blacklist)):
+        if text is not None:
+            write(f"{root}/{kind}_{t}.{ext}", text)
+
+
+@pytest.fixture
+def fresh(spark):
+    root = config.scratch_path(spark, "odd-landing")
+    wh = pipeline.Warehouse(config.scratch_path(spark, "odd-warehouse"))
+    pipeline.bootstrap(spark, wh, *seeds(spark))
+    return spark, wh, root
+
+
+def test_first_day_without_hits_and_with_an_empty_blacklist(fresh):
+    spark, wh, root = fresh
+    put(root, DAYS[0])
+    (r,) = pipeline.backfill(spark, wh, root)
+    assert r["hits"] == {} and r["passports"] == 0 and r["transactions"] == 1
+    assert str(pipeline.read_facts(spark, wh.transactions).first()["trans_date"]) \
+        == "2021-01-31 10:00:00.250000"
+    assert pipeline.pending_dates(spark, wh, root).isEmpty()
+
+
+def test_a_rerun_replaces_more_output_by_less(fresh):
+    spark, wh, root = fresh
+    put(root, DAYS[0], HEAD + "1;2021-01-31 10:00:00;5,00;C1;PAYMENT;SUCCESS;T1\n"
+        "2;2021-01-30 10:00:00;5,00;C2;PAYMENT;SUCCESS;T1\n",
+        blacklist="date;passport\n2021-01-31;9999 000001\n")
+    assert pipeline.run_day(spark, wh, root, DAYS[0])["hits"] == {"ACCOUNT": 1}
+    put(root, DAYS[0])
+    assert pipeline.run_day(spark, wh, root, DAYS[0])["hits"] == {}
+    assert pipeline._read(spark, wh.report, pipeline.REP_FRAUD_STORED).count() == 0
+    assert pipeline.read_facts(spark, wh.transactions).count() == 1
+    assert pipeline._read(spark, wh.blacklist, pipeline.FACT_BLACKLIST_STORED).count() == 0
+
+
+def test_a_date_waits_for_all_its_files(fresh):
+    spark, wh, root = fresh
+    put(root, DAYS[0], terms=None)
+    assert pipeline.backfill(spark, wh, root) == []
+    assert [r["file_date"] for r in pipeline.waiting_dates(spark, wh, root).collect()] == [DAYS[0]]
+    with pytest.raises(FileNotFoundError, match="terminals"):
+        pipeline.run_day(spark, wh, root, DAYS[0])
+    put(root, DAYS[0])
+    assert len(pipeline.backfill(spark, wh, root)) == 1
+
+
+def test_a_late_date_keeps_committed_versions(fresh):
+    spark, wh, root = fresh
+    days = [dt.date(2021, 2, d) for d in (1, 2, 3, 4)]
+    listed = "date;passport\n2021-02-01;9999 000001\n"
+    city = {0: "T1;POS;Moscow;a1\n", 1: "T1;POS;Moscow;a1\nT3;POS;Perm;a3\n",
+            2: "T1;POS;Omsk;a1\nT2;POS;Tver;a2\n",
+            3: "T1;POS;Omsk;a1\nT2;POS;Tver;a2\nT3;POS;Perm;a3\n"}
+    for k in (0, 2, 1, 3):
+        put(root, days[k], terms=TERMS + city[k], blacklist=listed)
+        (r,) = pipeline.backfill(spark, wh, root)
+        if k == 2:
+            before = sorted(map(tuple, pipeline.terminals_hist(spark, wh, 2).collect()), key=str)
+    led = {r["business_date"]: r["terminals_version"] for r in pipeline.ledger(spark, wh).collect()}
+    assert [led[d] for d in days] == [1, 3, 2, 4]
+    after = sorted(map(tuple, pipeline.terminals_hist(spark, wh, 2).collect()), key=str)
+    assert after == before
+    live = pipeline.terminals_hist(spark, wh, 4).filter(
+        "effective_to = timestamp'9999-12-31 23:59:59' AND deleted_flg = 0").collect()
+    assert {(r["terminal_id"], r["terminal_city"]) for r in live} >= {
+        ("T1", "Omsk"), ("T2", "Tver"), ("T3", "Perm")}
+    assert pipeline._read(spark, wh.blacklist, pipeline.FACT_BLACKLIST_STORED).count() == 1
+
+
+def test_columns_are_bound_by_name_and_bad_rows_kept_apart(fresh):
+    spark, wh, root = fresh
+    put(root, DAYS[0], "amount;card_num;transaction_id;oper_type;terminal;oper_result;"
+        "transaction_date\n5,00;C2;1;PAYMENT;T1;SUCCESS;2021-01-31 10:00:00\n"
+        "x;C2;2;PAYMENT;T1;SUCCESS;2021-01-31 10:00:01\n5,00;C2;3;PAYMENT;T1;SUCCESS;soon\n")
+    (r,) = pipeline.backfill(spark, wh, root)
+    assert (r["transactions"], r["rejects"]) == (2, 2)
+    got = {x["trans_id"]: (x["card_num"], x["amt"], x["opertype"])
+           for x in pipeline.read_facts(spark, wh.transactions).collect()}
+    assert str(got["1"][1]) == "5.00" and got["1"][::2] == ("C2", "PAYMENT") and got["2"][1] is None
+    put(root, DAYS[1], "transaction_id;transaction_date\n1;2021-02-01 00:00:00\n")
+    with pytest.raises(ValueError, match="no column"):
+        landing.read_transactions(spark, root, DAYS[1])

@@ -57,6 +57,9 @@ def test_landing_dates_sort_by_calendar_not_by_name(spark):
         "transaction_id string, transaction_date timestamp_ntz, amount string, card_num string,"
         " oper_type string, oper_result string, terminal string, d date")
     landing.write_landing(df, root, landing.TRANSACTIONS, "d", fmt="text")
+    assert landing.landing_dates(spark, root).isEmpty()     # the other files are not there yet
+    for kind in (landing.TERMINALS, landing.BLACKLIST):
+        landing.write_landing(df.select("transaction_id", "d"), root, kind, "d")
     got = [r["file_date"] for r in landing.landing_dates(spark, root).orderBy("file_date")
            .collect()]
     assert got == [dt.date(2021, 1, 31), dt.date(2021, 2, 1)]   # "01022021" < "31012021"
