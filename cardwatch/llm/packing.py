@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches_of, record_batch
-from .wordtokens import END_ID, Encoder, tokenizer_path
+from .wordtokens import END_ID, encoder, tokenizer_path
 
 #: Context sizes, powers of two.
 TIERS = (512, 1024, 2048, 4096)
@@ -132,7 +132,7 @@ class Packer:
 
 def _packed(path, end, tiers, block_tokens, group_tokens):
     def run(batches):
-        enc = Encoder(path)
+        enc = encoder(path)
         packer = Packer(TaskContext.get().partitionId(), tiers, group_tokens)
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

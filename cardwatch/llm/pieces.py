@@ -25,7 +25,7 @@ from .common import batches_of, record_batch
 from .wordtokens import tokenizer_path
 
 MARKER = "▁"
-TABLE_ROWS = 300_000
+TABLE_ROWS = 600_000
 MARKED = re.compile(" +[^ ]*")
 #: Strings that show whether a model changes its text.
 PROBES = ("a  b", " a ", "a b", "ﬁ é", "Ａ", "a\tb\nc", "   ")
@@ -79,9 +79,19 @@ class Pieces:
         return self.model.decode(ids)
 
 
+_models: dict[str, Pieces] = {}
+
+
+def pieces_of(path: str) -> Pieces:
+    """The model of this Python worker, whose table serves task after task."""
+    if path not in _models:
+        _models[path] = Pieces(path)
+    return _models[path]
+
+
 def _digests(path):
     def run(batches):
-        model = Pieces(path)
+        model = pieces_of(path)
         for batch in batches:
             rows = []
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -95,7 +105,7 @@ def _digests(path):
 
 def _ids(path):
     def run(batches):
-        model = Pieces(path)
+        model = pieces_of(path)
         for batch in batches:
             got = [model.encode(t) for t in batch.column("t").to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -223,7 +223,10 @@ def star_edges(fps: DataFrame, max_bits: int = MAX_BITS, margin: int = 0,
     spark = fps.sparkSession
     views = views_of(max_bits, margin)
     total = fps.count()
-    sample = np.array([r[0] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()],
+    # A share of the fingerprints by hash, so that tasks send about the sample in all.
+    share = min(1.0, 2 * SAMPLE / max(1, total))
+    some = fps.filter(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = np.array([r[0] for r in some.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()],
                       np.int64).view(np.uint64)
     leaf = max(1, int(len(sample) * min(1.0, leaf_rows / max(1, total))))
     forest = [build_tree((sample >> np.uint64(s)) & m, leaf, 17 + k)

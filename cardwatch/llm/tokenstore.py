@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches_of, materialize, new_file, open_fs, record_batch, scratch_path
-from .wordtokens import END_ID, Encoder, tokenizer_path
+from .wordtokens import END_ID, encoder, tokenizer_path
 
 MAGIC = b"CWTOKEN1"
 HEAD = struct.Struct("<8s32sB")
@@ -60,10 +60,13 @@ def _dictionary(data: bytes):
 def sample_ids(df: DataFrame, id_col: str, text_col: str, path: str, width: int) -> list[bytes]:
     t = F.coalesce(F.col(text_col), F.lit(""))
     mid = F.greatest(F.floor((F.length(t) - SAMPLE_CHARS) / 2), F.lit(0)).cast("int") + 1
+    # A share of the rows by hash, so that tasks send about the sample and not each one.
+    share = min(1.0, 2 * SAMPLE_TEXTS / max(1, df.count()))
     rows = (df.select(F.xxhash64(id_col, text_col).alias("h"),
                       F.substring(t, mid, F.lit(SAMPLE_CHARS)).alias("s"))
+            .filter(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)))
             .orderBy("h", "s").limit(SAMPLE_TEXTS).collect())
-    enc = Encoder(path)
+    enc = encoder(path)
     return [narrowed(enc.id_bytes(r["s"]), width) for r in rows]
 
 
@@ -133,7 +136,7 @@ def _write(folder, path, dictionary, width, end):
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if writer is None:
-                    enc, out = Encoder(path), fs.open_output_stream(at)
+                    enc, out = encoder(path), fs.open_output_stream(at)
                     writer = ShardWriter(out, dictionary.value, width)
                 writer.add(i, enc.id_bytes(t, end))
         if writer is not None:
@@ -149,7 +152,7 @@ def write(df: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "t
     spark = df.sparkSession
     batches_of(spark)
     path = tokenizer or tokenizer_path()
-    width = 2 if Encoder(path).vocabulary <= 1 << 16 else 4
+    width = 2 if encoder(path).vocabulary <= 1 << 16 else 4
     data = train_dictionary(sample_ids(df, id_col, text_col, path, width))
     fs, at = open_fs(folder)
     fs.create_dir(at, recursive=True)

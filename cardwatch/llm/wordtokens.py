@@ -9,12 +9,19 @@ when it is full, so its memory is bounded.
 from __future__ import annotations
 
 import os
+import re
 
+import numpy as np
 import public_tokenizers
 
 #: The id appended to each document.
 END_ID = 2
-TABLE_ROWS = 400_000
+TABLE_ROWS, WORD_ROWS = 500_000, 600_000
+#: Latin-1 letters, then punctuation that neither joins them nor starts a special token: the
+#: tokenizer lower-cases the letters one for one and splits between the two.
+WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:$%&*#|)]*)")
+#: New chunks encoded in one call.
+TOGETHER = 4000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -27,6 +34,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tok, self.rows = Tokenizer.from_file(path), rows
         self.table: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.vocabulary = self.tok.get_vocab_size()
 
     def id_bytes(self, text: str | None, end: int | None = END_ID) -> bytes:
@@ -38,10 +46,48 @@ class Encoder:
             if len(table) + len(new) > self.rows:
                 self.table = table = {}
                 new = set(chunks)
-            new = list(new)
-            for at in range(0, len(new), 10_000):
-                part = new[at:at + 10_000]
-                for c, e in zip(part, self.tok.encode_batch(part, add_special_tokens=False)):
-                    table[c] = b"".join(i.to_bytes(4, "little") for i in e.ids)
+            self._learn(list(new))
         tail = b"" if end is None else end.to_bytes(4, "little")
         return b"".join([*map(table.__getitem__, chunks), tail])
+
+    def _learn(self, new: list[str]) -> None:
+        """Add chunks to the table, from the ids of their word and punctuation where they
+        are only that."""
+        split = {c: m.groups() for c in new if (m := WORD.fullmatch(c))}
+        words = self.words
+        parts = {w.lower() for w, _ in split.values()}
+        parts.update(t for _, t in split.values())
+        missing = parts.difference(words)
+        if len(words) + len(missing) > WORD_ROWS:
+            self.words = words = {}
+            missing = parts
+        self._encode([*missing], words)
+        self.table.update((c, words[w.lower()] + words[t]) for c, (w, t) in split.items())
+        self._encode([c for c in new if c not in split], self.table)
+
+    def _encode(self, new: list[str], table: dict[str, bytes]) -> None:
+        """Those of Latin-1 characters, which the tokenizer
+        replaces one for one, are encoded together and told apart by their places; the
+        others one by one."""
+        plain = [c for c in new if c and (c.isascii() or max(c) < "\u0100")]
+        other = [c for c in new if not c or not (c.isascii() or max(c) < "\u0100")]
+        for at in range(0, len(plain), TOGETHER):
+            part = plain[at:at + TOGETHER]
+            e = self.tok.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(e.ids, "<u4").tobytes()
+            ends = np.cumsum([len(c) + 1 for c in part])
+            first = np.array([a for a, _ in e.offsets], np.int64)
+            cut = [0, *(4 * np.searchsorted(first, ends)).tolist()]
+            table.update(zip(part, (ids[x:y] for x, y in zip(cut, cut[1:]))))
+        for c, e in zip(other, self.tok.encode_batch(other, add_special_tokens=False)):
+            table[c] = np.array(e.ids, "<u4").tobytes()
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, whose table serves task after task."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
