@@ -16,7 +16,7 @@ import public_tokenizers
 
 #: The id appended to each document.
 END_ID = 2
-TABLE_ROWS, WORD_ROWS = 500_000, 600_000
+TABLE_ROWS, WORD_ROWS = 500_000, 1_200_000
 #: Latin-1 letters, then punctuation that neither joins them nor starts a special token: the
 #: tokenizer lower-cases the letters one for one and splits between the two.
 WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:$%&*#|)]*)")
