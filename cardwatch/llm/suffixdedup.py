@@ -431,26 +431,28 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     across = met.filter("gram IS NULL").select("doc_id", "th", "first",
                                                (F.col("first") + F.col("n")).alias("last"))
     names = ["gram", "first", "n", "rel", "cov", "hot"]
-    wanted = met.filter("gram IS NOT NULL").groupBy("doc_id", "th").agg(
-        F.collect_list(F.struct(*names)).alias("ps"))
-    # Both joins with the texts are merge joins at every size: wanted pieces and spans grow
-    # with the corpus, so no broadcast of them has a bound.
-    cut = docs.alias("d").join(
-        wanted.hint("merge").alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
-        & (F.col("d.th") == F.col("w.th"))).select("d.doc_id", "d.th", "d.b", "w.ps").mapInArrow(
-        _cut_pieces(length), PIECE_DDL + ", piece binary")
-    # Empty only if no gram has very many pieces; then the second reading of the texts goes.
-    hot = not met.filter("hot = 1").isEmpty()
-    pieces = materialize(cut, "suffix_cut") if hot else cut
-    found = pieces.filter("hot = 0").repartition("gram").sortWithinPartitions("gram").mapInArrow(
+
+    def cut(pieces: DataFrame) -> DataFrame:
+        """Pieces with their bytes. The joins with the texts, here and where spans are cut
+        out, are merge joins at every size: pieces and spans grow with the corpus, so no
+        broadcast of them has a bound. All belong to one plan, in which the texts are
+        shuffled once and that exchange is read again by each."""
+        wanted = pieces.groupBy("doc_id", "th").agg(F.collect_list(F.struct(*names)).alias("ps"))
+        return docs.alias("d").join(
+            wanted.hint("merge").alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
+            & (F.col("d.th") == F.col("w.th"))).select(
+            "d.doc_id", "d.th", "d.b", "w.ps").mapInArrow(
+            _cut_pieces(length), PIECE_DDL + ", piece binary")
+
+    few, many = (met.filter(f"gram IS NOT NULL AND hot = {k}") for k in (0, 1))
+    found = cut(few).repartition("gram").sortWithinPartitions("gram").mapInArrow(
         _sort_groups(length), SPAN_DDL)
     out = own.unionByName(across).unionByName(found)
-    if hot:
-        strings = materialize(pieces.filter("hot = 1").mapInArrow(
+    if not many.isEmpty():  # no gram has very many pieces: nothing to count
+        strings = cut(many).mapInArrow(
             _string_hashes(length),
-            "doc_id long, th long, gram long, h long, at long, cov int"), "suffix_strings")
-        often = materialize(strings.groupBy("gram", "h").count().filter("count > 1"),
-                            "suffix_often")
+            "doc_id long, th long, gram long, h long, at long, cov int")
+        often = strings.groupBy("gram", "h").count().filter("count > 1").select("gram", "h")
         out = out.unionByName(strings.filter("cov = 0").join(often, ["gram", "h"]).select(
             "doc_id", "th", F.col("at").alias("first"), (F.col("at") + length).alias("last")))
     return out
