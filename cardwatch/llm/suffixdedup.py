@@ -432,8 +432,8 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                                (F.col("first") + F.col("n")).alias("last"))
     names = ["gram", "first", "n", "rel", "cov", "hot"]
 
-    def cut(pieces: DataFrame) -> DataFrame:
-        """Pieces with their bytes. The joins with the texts, here and where spans are cut
+    def cut(pieces: DataFrame, then, ddl: str) -> DataFrame:
+        """``then``, in the same Python worker, of pieces with their bytes. The joins with the texts, here and where spans are cut
         out, are merge joins at every size: pieces and spans grow with the corpus, so no
         broadcast of them has a bound. All belong to one plan, in which the texts are
         shuffled once and that exchange is read again by each."""
@@ -442,16 +442,15 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             wanted.hint("merge").alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
             & (F.col("d.th") == F.col("w.th"))).select(
             "d.doc_id", "d.th", "d.b", "w.ps").mapInArrow(
-            _cut_pieces(length), PIECE_DDL + ", piece binary")
+            lambda batches: then(_cut_pieces(length)(batches)), ddl)
 
     few, many = (met.filter(f"gram IS NOT NULL AND hot = {k}") for k in (0, 1))
-    found = cut(few).repartition("gram").sortWithinPartitions("gram").mapInArrow(
+    found = cut(few, iter, PIECE_DDL + ", piece binary").repartition("gram").sortWithinPartitions("gram").mapInArrow(
         _sort_groups(length), SPAN_DDL)
     out = own.unionByName(across).unionByName(found)
     if not many.isEmpty():  # no gram has very many pieces: nothing to count
-        strings = cut(many).mapInArrow(
-            _string_hashes(length),
-            "doc_id long, th long, gram long, h long, at long, cov int")
+        strings = cut(many, _string_hashes(length),
+                      "doc_id long, th long, gram long, h long, at long, cov int")
         often = strings.groupBy("gram", "h").count().filter("count > 1").select("gram", "h")
         out = out.unionByName(strings.filter("cov = 0").join(often, ["gram", "h"]).select(
             "doc_id", "th", F.col("at").alias("first"), (F.col("at") + length).alias("last")))
