@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
-import numpy as np
 import public_tokenizers
 
 #: The id appended to each document.
@@ -20,67 +20,66 @@ TABLE_ROWS, WORD_ROWS = 500_000, 1_200_000
 #: Latin-1 letters, then punctuation that neither joins them nor starts a special token: the
 #: tokenizer lower-cases the letters one for one and splits between the two.
 WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:$%&*#|)]*)")
-#: New chunks encoded in one call.
-TOGETHER = 4000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _packed(ids) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Words(dict):
+    """Ids of lower-case words and punctuation. ASCII ones reach the tokenizer's model as
+    they are and in one piece, so the model alone is asked."""
+
+    def __init__(self, tok, rows: int):
+        self.tok, self.rows = tok, rows
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= self.rows:
+            self.clear()
+        if word.isascii():
+            ids = _packed([p.id for p in self.tok.model.tokenize(word)]) if word else b""
+        else:
+            ids = _packed(self.tok.encode(word, add_special_tokens=False).ids)
+        self[word] = ids
+        return ids
+
+
+class _Chunks(dict):
+    """Ids of chunks, each looked up once; an unknown one is put together from its word
+    and punctuation where it is only that."""
+
+    def __init__(self, tok, rows: int):
+        self.tok, self.rows, self.words = tok, rows, _Words(tok, WORD_ROWS)
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= self.rows:
+            self.clear()
+        if m := WORD.fullmatch(chunk):
+            word, rest = m.groups()
+            ids = self.words[word.lower()] + self.words[rest]
+        else:
+            ids = _packed(self.tok.encode(chunk, add_special_tokens=False).ids)
+        self[chunk] = ids
+        return ids
+
+
 class Encoder:
     def __init__(self, path: str, rows: int = TABLE_ROWS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        self.tok, self.rows = Tokenizer.from_file(path), rows
-        self.table: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.vocabulary = self.tok.get_vocab_size()
+        tok = self.tok = Tokenizer.from_file(path)
+        self.table = _Chunks(tok, rows)
+        self.vocabulary = tok.get_vocab_size()
 
     def id_bytes(self, text: str | None, end: int | None = END_ID) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers, then the end id."""
         chunks = (text or "").replace("\n", " ").split(" ")
-        table = self.table
-        new = set(chunks).difference(table)
-        if new:
-            if len(table) + len(new) > self.rows:
-                self.table = table = {}
-                new = set(chunks)
-            self._learn(list(new))
         tail = b"" if end is None else end.to_bytes(4, "little")
-        return b"".join([*map(table.__getitem__, chunks), tail])
-
-    def _learn(self, new: list[str]) -> None:
-        """Add chunks to the table, from the ids of their word and punctuation where they
-        are only that."""
-        split = {c: m.groups() for c in new if (m := WORD.fullmatch(c))}
-        words = self.words
-        parts = {w.lower() for w, _ in split.values()}
-        parts.update(t for _, t in split.values())
-        missing = parts.difference(words)
-        if len(words) + len(missing) > WORD_ROWS:
-            self.words = words = {}
-            missing = parts
-        self._encode([*missing], words)
-        self.table.update((c, words[w.lower()] + words[t]) for c, (w, t) in split.items())
-        self._encode([c for c in new if c not in split], self.table)
-
-    def _encode(self, new: list[str], table: dict[str, bytes]) -> None:
-        """Those of Latin-1 characters, which the tokenizer
-        replaces one for one, are encoded together and told apart by their places; the
-        others one by one."""
-        plain = [c for c in new if c and (c.isascii() or max(c) < "\u0100")]
-        other = [c for c in new if not c or not (c.isascii() or max(c) < "\u0100")]
-        for at in range(0, len(plain), TOGETHER):
-            part = plain[at:at + TOGETHER]
-            e = self.tok.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(e.ids, "<u4").tobytes()
-            ends = np.cumsum([len(c) + 1 for c in part])
-            first = np.array([a for a, _ in e.offsets], np.int64)
-            cut = [0, *(4 * np.searchsorted(first, ends)).tolist()]
-            table.update(zip(part, (ids[x:y] for x, y in zip(cut, cut[1:]))))
-        for c, e in zip(other, self.tok.encode_batch(other, add_special_tokens=False)):
-            table[c] = np.array(e.ids, "<u4").tobytes()
+        return b"".join([*map(self.table.__getitem__, chunks), tail])
 
 
 _encoders: dict[str, Encoder] = {}
