@@ -8,6 +8,8 @@ import numpy as np
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 PLACE = np.uint64((1 << 24) - 1)
+#: Windows of a text whose anchors are chosen together; bounds memory, and below PLACE.
+BLOCK = 1 << 20
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -45,17 +47,29 @@ def spans(pre: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return (pre[end] - pre[start]) * powers(INVERSE, len(pre))[start]
 
 
-def anchors(data: np.ndarray, length: int, gram: int):
+def anchors(data: np.ndarray, length: int, gram: int, block: int = BLOCK):
     """Cut all windows of ``length`` bytes by the place of their smallest gram.
 
     Returns arrays (place, first, n, gram hash, piece hash): windows starting at
     first .. first + n - 1 have their smallest gram (leftmost of equals) at ``place``.
     Equal windows choose the same gram at the same distance from their start. The piece
-    is the bytes of these windows together.
+    is the bytes of these windows together. Long texts are worked on in blocks of windows,
+    at whose borders pieces are cut as well.
     """
     n_win = len(data) - length + 1
     if n_win <= 0:
         return None
+    if n_win > block:
+        parts = []
+        for a in range(0, n_win, block):
+            at, first, n, g, piece = _anchors(data[a:a + block + length - 1], length, gram)
+            parts.append((at + a, first + a, n, g, piece))
+        return tuple(map(np.concatenate, zip(*parts)))
+    return _anchors(data, length, gram)
+
+
+def _anchors(data: np.ndarray, length: int, gram: int):
+    n_win = len(data) - length + 1
     pre = prefix(data)
     inv = powers(INVERSE, len(pre))
     h = mixed((pre[gram:] - pre[:-gram]) * inv[:len(pre) - gram])

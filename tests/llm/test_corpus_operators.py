@@ -14,8 +14,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from cardwatch.llm import (annforest, arcwarc, langid, linkgraph, packing, pieces, quality,
-                           simhash, suffixdedup, tokenstore, wordtokens)
+from cardwatch.llm import (annforest, arcwarc, bytehash, langid, linkgraph, packing, pieces,
+                           quality, simhash, suffixdedup, tokenstore, wordtokens)
 
 SF = "/root/testdata/sf0.001"
 WEIRD = ["", None, "a  b", " lead", "trail ", "é é ﬁ Ａ a\xa0b \u3000x", "<|endoftext|> hi",
@@ -253,6 +253,16 @@ def test_suffix_dedup(spark, rows, monkeypatch, chunk, hot):
     assert kept.columns == df.columns and kept.count() == len(some)
 
 
+def test_blocks_of_a_long_text_choose_the_same_anchors():
+    data = np.random.default_rng(2).integers(97, 100, 5000).astype(np.uint8)
+    whole = bytehash.anchors(data, 200, 64)
+    for block in (37, 1000, 4801):
+        got = bytehash.anchors(data, 200, 64, block)
+        for k in (0, 3):  # place and gram of each window
+            assert (np.repeat(got[k], got[2]) == np.repeat(whole[k], whole[2])).all()
+        assert (got[1] == np.cumsum(got[2]) - got[2]).all()
+
+
 def test_merge_sort_equals_plain_sort():
     rnd = random.Random(5)
     data = bytes(rnd.choice(b"ab") for _ in range(3000)) + bytes(64)
