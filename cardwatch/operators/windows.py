@@ -40,11 +40,10 @@ def with_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
 # this many rows each. Override with `cardwatch.window.hotRows`.
 DEFAULT_HOT_ROWS = 2_000_000
 HOT_ROWS_CONF = "cardwatch.window.hotRows"
-# Hot keys get row-balanced buckets from this many timestamp quantiles when
-# there are at most QUANTILE_KEYS of them (the cut table is then at most
-# ~8 MB); beyond that, buckets of equal time width.
+# Buckets are cut at quantiles of a key's timestamps, chosen among this many (more where a
+# key has more than half as many buckets). Up to BROADCAST_KEYS hot keys are broadcast.
 QUANTILES = 1024
-QUANTILE_KEYS = 1000
+BROADCAST_KEYS = 1000
 
 
 def _hot_rows(df: DataFrame) -> int:
@@ -91,17 +90,12 @@ def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
 
     base = df.select("*", *[c.alias(n) for n, c in sources.items()],
                      epoch_second(ts).alias("_sec"))
-    stats = (base.groupBy(*part)
-                 .agg(F.count(F.lit(1)).alias("_n"), F.min("_sec").alias("_lo"),
-                      F.max("_sec").alias("_hi"))
+    stats = (base.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
                  .filter(F.col("_n") > hot)
-                 .select(*[F.col(c).alias(f"_h_{c}") for c in part], "_lo",
-                         F.ceil(F.col("_n") / hot).alias("_parts"),
-                         F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1)
-                                                     / F.ceil(F.col("_n") / hot)))
-                          .alias("_width")))
+                 .select(*[F.col(c).alias(f"_h_{c}") for c in part],
+                         F.ceil(F.col("_n") / hot).cast("int").alias("_parts")))
     from .. import config
-    n_hot = stats.count()
+    n_hot, most = stats.agg(F.count(F.lit(1)), F.max("_parts")).first()
     if n_hot == 0:
         # Measured: no key is hot, every key is one group -> the plain window
         # is already exact and balanced.
@@ -113,37 +107,33 @@ def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
     for c in part:
         e = F.col(c).eqNullSafe(F.col(f"_h_{c}"))
         on = e if on is None else on & e
-    if n_hot <= QUANTILE_KEYS:
-        # Row-balanced buckets: cut each hot key at approximate quantiles of
-        # its timestamps (a mergeable sketch, partially aggregated, over the
-        # hot rows only), so a burst inside a short time span is split too.
-        hot_only = base.join(broadcast(stats), on, "left_semi")
-        cuts = [i / QUANTILES for i in range(1, QUANTILES)]
-        bounds = (hot_only.groupBy(*part)
-                          .agg(F.percentile_approx("_sec", cuts, 10000).alias("_bounds"))
-                          .select(*[F.col(c).alias(f"_q_{c}") for c in part], "_bounds"))
-        q_on = None
-        for c in part:
-            e = F.col(f"_h_{c}").eqNullSafe(F.col(f"_q_{c}"))
-            q_on = e if q_on is None else q_on & e
-        stats = config.materialize(
-            stats.join(bounds, q_on, "left").drop(*[f"_q_{c}" for c in part]), "hot_bounds")
-        rank = F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_sec")))
-        balanced = F.floor(rank * F.col("_parts") / F.lit(QUANTILES))
-    else:
-        stats = stats.withColumn("_bounds", F.lit(None).cast("array<bigint>"))
-        balanced = F.lit(None).cast("bigint")
-    if n_hot <= QUANTILE_KEYS:
-        stats = broadcast(stats)
+    few = broadcast if n_hot <= BROADCAST_KEYS else (lambda df: df)
+    # Row-balanced buckets: each hot key is cut at approximate quantiles of its timestamps
+    # (a mergeable sketch, partially aggregated, over the hot rows only), so a burst inside
+    # a short time span is split too. Of all quantiles a key keeps one for each cut.
+    n_cuts = max(QUANTILES, 2 * most)
+    quantiles = (base.join(few(stats), on, "left_semi").groupBy(*part)
+                     .agg(F.percentile_approx("_sec", [i / n_cuts for i in range(1, n_cuts)],
+                                              max(10000, 2 * n_cuts)).alias("_q"))
+                     .select(*[F.col(c).alias(f"_q_{c}") for c in part], "_q"))
+    q_on = None
+    for c in part:
+        e = F.col(f"_h_{c}").eqNullSafe(F.col(f"_q_{c}"))
+        q_on = e if q_on is None else q_on & e
+    bounds = F.transform(F.sequence(F.lit(1), F.col("_parts") - 1), lambda j: F.get(
+        "_q", F.floor(j * F.lit(n_cuts) / F.col("_parts")).cast("int") - 1))
+    stats = config.materialize(
+        stats.join(quantiles, q_on, "left").select(
+            *[f"_h_{c}" for c in part], F.lit(True).alias("_split"), bounds.alias("_bounds")),
+        "hot_bounds")
     # Buckets are a monotone function of the second, so each bucket is a
     # contiguous run of the key's order (NULL timestamps sort into the first).
-    equal_width = F.floor((F.col("_sec") - F.col("_lo")) / F.col("_width"))
-    tagged = (base.join(stats, on, "left")
-                  .withColumn("_hot", F.col("_width").isNotNull())
-                  .withColumn("_bucket", F.when(~F.col("_hot"), F.lit(0))
-                                          .when(F.col("_bounds").isNotNull(), balanced)
-                                          .otherwise(equal_width))
-                  .drop(*[f"_h_{c}" for c in part], "_lo", "_width", "_parts", "_bounds"))
+    bucket = F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_sec")))
+    tagged = (base.join(few(stats), on, "left")
+                  .withColumn("_hot", F.col("_split").isNotNull())
+                  .withColumn("_bucket", F.when(F.col("_bounds").isNull(), F.lit(0))
+                                          .otherwise(bucket))
+                  .drop(*[f"_h_{c}" for c in part], "_split", "_bounds"))
     w = Window.partitionBy(*part, "_bucket").orderBy(*order)
     rows = tagged.select(
         "*", *[F.lag(src, off).over(w).alias(name) for name, (src, off) in lag_src.items()],

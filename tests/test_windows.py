@@ -66,7 +66,7 @@ def test_exact_lags_with_hot_key_split_equal_plain_window(spark):
         assert sorted(tuple(r) for r in got.select(*cols).collect()) == want
 
 
-def test_equal_width_fallback_and_bursts_stay_exact(spark, monkeypatch):
+def test_bursts_many_buckets_and_many_hot_keys_stay_exact(spark, monkeypatch):
     import cardwatch.operators.windows as wmod
     rows = []
     t0 = dt.datetime(2024, 1, 1, 12)
@@ -80,6 +80,7 @@ def test_equal_width_fallback_and_bursts_stay_exact(spark, monkeypatch):
     want = sorted(tuple(r) for r in with_lags(v, lags).select(*cols).collect())
     got = with_exact_lags(v, lags, hot_rows=50)
     assert sorted(tuple(r) for r in got.select(*cols).collect()) == want
-    monkeypatch.setattr(wmod, "QUANTILE_KEYS", 0)
-    got = with_exact_lags(v, lags, hot_rows=50)
+    monkeypatch.setattr(wmod, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(wmod, "QUANTILES", 4)   # fewer than the buckets of the key
+    got = with_exact_lags(v, lags, hot_rows=20)
     assert sorted(tuple(r) for r in got.select(*cols).collect()) == want
