@@ -4,8 +4,9 @@ The rows are dealt to shards of about ``shard_rows``. A shard hashes its differe
 to one long bit string a tree (signs of random projections) and keeps each tree as a sorted
 array. A query descends in every tree to the entries with the longest common prefix, which
 are one range of the array, and then ascends in all trees together, one bit at a time,
-until the ranges hold ``share`` of the shard; only these candidates are scored. The best of
-each shard are merged. Every row is indexed, in its shard; queries visit all shards in
+until the ranges hold ``share`` of the shard (with repeats) and at least ``LEAST`` different
+entries that are not the query's own; only these candidates are scored. A shard with fewer
+entries is scored whole. The best of each shard are merged. Every row is indexed, in its shard; queries visit all shards in
 blocks of an Arrow batch.
 
 The share, with its number of trees, is set for vectors without any structure, whose nearest
@@ -29,6 +30,8 @@ from .common import batches_of
 TREES, BITS = 64, 32
 #: Entries of all trees' ranges together, as a share of a shard's vectors.
 SHARE = 0.9
+#: Different entries, beside the query's own, that a search scores at least, or the whole shard.
+LEAST = 500
 SHARD_ROWS = 20_000
 SEED = 11
 #: Candidates scored again in double precision, beyond the k best in single precision.
@@ -47,6 +50,8 @@ class Forest:
         order = np.lexsort((ids, entry))  # each entry's ids, ascending
         self.ids = ids[order]
         self.ends = np.cumsum(np.bincount(entry, minlength=len(first)))
+        self.low_id = self.ids[np.concatenate([[0], self.ends[:-1]])]
+        self.high_id = self.ids[self.ends - 1]
         self.bits, self.trees = bits, trees
         self.wanted = max(1, int(np.ceil(share * len(first))))
         self.planes = np.random.default_rng(SEED).normal(
@@ -64,9 +69,9 @@ class Forest:
             out[at:at + 2048] = (s * weight).sum(axis=2, dtype=np.uint64)
         return out
 
-    def candidates(self, keys: np.ndarray) -> np.ndarray:
+    def candidates(self, keys: np.ndarray, query_id: int, k: int) -> np.ndarray:
         """Entries for one query: ranges of the longest prefixes at which all trees together
-        hold enough."""
+        hold enough, with repeats, and enough different entries with another id."""
         n = self.sorted.shape[1]
         for level in range(self.bits, -1, -1):
             drop = np.uint64(self.bits - level)
@@ -78,13 +83,17 @@ class Forest:
                 mark = np.zeros(n, bool)
                 for t in range(self.trees):
                     mark[self.order[t, a[t]:b[t]]] = True
-                return np.flatnonzero(mark)
+                cand = np.flatnonzero(mark)
+                others = np.count_nonzero((self.low_id[cand] != query_id)
+                                          | (self.high_id[cand] != query_id))
+                if level == 0 or others >= max(LEAST, k):
+                    return cand
         return np.arange(n)
 
     def search(self, query_id: int, q: np.ndarray, key: np.ndarray, k: int):
         """(id, score) of the k nearest found, nearest first, ties to smaller ids."""
         unit = (q / np.sqrt((q * q).sum())).astype(np.float32)
-        cand = self.candidates(key)
+        cand = self.candidates(key, query_id, k)
         near = self.unit[cand] @ unit
         take = min(len(cand), k + 1 + SPARE)
         top = np.partition(near, len(near) - take)[len(near) - take]

@@ -179,6 +179,31 @@ def test_forest_recall_ties_and_unusable_rows(spark):
     assert not {4000, 4050, 4100, 4150} & set(by) and 4200 not in by
 
 
+@pytest.mark.parametrize("n", [2, 3, 5, 20, 71, 80, 150, 200])
+def test_forest_scores_small_shards_whole(n):
+    v = np.random.default_rng(n).normal(size=(n, 32))
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    forest = annforest.Forest(np.arange(n), v)
+    for q, key in enumerate(forest.keys(unit.astype(np.float32))):
+        s = unit @ unit[q]
+        want = sorted((-x, i) for i, x in enumerate(s) if i != q)[:5]
+        assert [i for i, _ in forest.search(q, v[q], key, 5)] == [i for _, i in want]
+
+
+def test_forest_finds_neighbours_of_a_rare_length(spark):
+    rng = np.random.default_rng(5)
+    v = [rng.normal(size=8 if k % 100 == 0 else 32).tolist() for k in range(3000)]
+    df = spark.createDataFrame(list(enumerate(v)), "vec_id long, embedding array<double>")
+    got = annforest.search(df, df.filter("vec_id % 500 = 0"), shard_rows=1000).collect()
+    rare = np.array(v[::100])
+    rare /= np.linalg.norm(rare, axis=1, keepdims=True)
+    for q in range(0, 3000, 500):
+        s = rare @ rare[q // 100]
+        s[q // 100] = -9
+        assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"])
+                if r["query_id"] == q] == (100 * np.argsort(-s)[:5]).tolist()
+
+
 # --- archives -------------------------------------------------------------------------------
 def test_both_arc_versions_convert():
     for version in (1, 2):
