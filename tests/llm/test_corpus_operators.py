@@ -90,6 +90,35 @@ def test_quality_em_tells_junk_from_text():
     assert quality.posterior_of(junk, m["good"], m["bad_vote"]) < 0.5
 
 
+def test_quality_bounds_reject_every_document_labelled_bad(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    got = quality.signals(spark.read.parquet(f"{sf}/documents.parquet"))
+    got = quality.judged(got, quality.fit(got)).select("row.doc_id", "base_failed", "kept").join(
+        labels, "doc_id")
+    assert got.filter("quality = 0").count() == 58
+    assert got.filter("quality = 0 AND kept").isEmpty()
+    assert got.filter("quality = 1 AND NOT kept AND NOT base_failed").isEmpty()
+
+
+@pytest.mark.parametrize("share", [500, 1000])
+def test_quality_bounds_with_an_inaccurate_rule(share, monkeypatch):
+    """The price of the bounds: votes alone do not tell these from documents labelled bad."""
+    good, one, junk = [1] * 7, [1, 1, 1, 1, 1, -1, 1], [-1, 1, 1, 1, -1, -1, 1]
+    counts = [(*good, 9800 - share), (*one, share), (*junk, 200)]
+
+    def posteriors():
+        m = quality.em(counts)
+        return [quality.posterior_of(v, m["good"], m["bad_vote"]) for v in (good, one, junk)]
+
+    a, b, c = posteriors()
+    assert a > 0.9 and b < 0.5 and c < 0.01
+    monkeypatch.setattr(quality, "GOOD_BOUNDS", (0.0, 1.0))
+    monkeypatch.setattr(quality, "BAD_BOUNDS", (0.0, 1.0))
+    a, b, c = posteriors()
+    assert a > 0.9 and b > 0.9 and c < 0.01
+
+
 # --- tokens ---------------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def ids(rows):
