@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import day_of
 from ..operators import load_transactions
+from ..schemas import REP_FRAUD_STORED
 from ..sources import fixtures as fx
 from ..sources import landing
 from . import daily as pipeline
@@ -89,30 +90,26 @@ def q_pending_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.pending_dates(spark, wh, root)
 
 
-# Three landing dates, each holding ten days of events (the source ships
-# three daily files); the report of each run covers its latest day.
-RUN_DAYS = (dt.date(2024, 1, 10), dt.date(2024, 1, 20), dt.date(2024, 1, 31))
+def build_landing(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The three files of every day of events, so each day reaches the rules. The second
+    terminal snapshot and the full blacklist hold from ``fx.DAY2`` on."""
+    landing.write_landing(_stage_transactions(spark, sf_dir), root, landing.TRANSACTIONS,
+                          "_day", fmt="text")
+    days = F.broadcast(fx.table(spark, sf_dir, "events").filter("ts IS NOT NULL")
+                       .select(day_of("ts").alias("_day")).distinct())
+    first, second = F.col("_day") < F.lit(fx.DAY2), F.col("_day") >= F.lit(fx.DAY2)
 
+    def daily(before: DataFrame, after: DataFrame) -> DataFrame:
+        return (before.drop("_day").crossJoin(days.filter(first))
+                      .unionByName(after.drop("_day").crossJoin(days.filter(second))))
 
-def build_landing(spark: SparkSession, sf_dir: str, root: str) -> None:
-    d1, d2, d3 = RUN_DAYS
-    day = day_of("transaction_date")
-    file_day = (F.when(day <= F.lit(d1), F.lit(d1)).when(day <= F.lit(d2), F.lit(d2))
-                 .otherwise(F.lit(d3)))
-    landing.write_landing(_stage_transactions(spark, sf_dir, file_day), root,
-                          landing.TRANSACTIONS, "_day", fmt="text")
-    t1 = _terminal_rows(fx.terminals_day1(spark, sf_dir).withColumn("file_date", F.lit(d1)))
-    t2 = _terminal_rows(fx.terminals_day2(spark, sf_dir))
-    snaps = t1.unionByName(t2.withColumn("_day", F.lit(d2))) \
-              .unionByName(t2.withColumn("_day", F.lit(d3)))
-    landing.write_landing(snaps, root, landing.TERMINALS, "_day")
+    landing.write_landing(daily(_terminal_rows(fx.terminals_day1(spark, sf_dir)),
+                                _terminal_rows(fx.terminals_day2(spark, sf_dir))),
+                          root, landing.TERMINALS, "_day")
     known = fx.blacklist_fact(spark, sf_dir).select(F.col("entry_dt").alias("date"),
                                                     F.col("passport_num").alias("passport"))
-    full = fx.blacklist_batch(spark, sf_dir)
-    bl = (known.withColumn("_day", F.lit(d1))
-               .unionByName(full.withColumn("_day", F.lit(d2)))
-               .unionByName(full.withColumn("_day", F.lit(d3))))
-    landing.write_landing(bl, root, landing.BLACKLIST, "_day")
+    landing.write_landing(daily(known, fx.blacklist_batch(spark, sf_dir)), root,
+                          landing.BLACKLIST, "_day")
 
 
 def seeds(spark: SparkSession, sf_dir: str):
@@ -133,14 +130,14 @@ def seeds(spark: SparkSession, sf_dir: str):
 
 
 def q_daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bootstrap from seeds, then three business dates earliest first; the
-    accumulated fraud report."""
+    """Bootstrap from seeds, then every day of events, earliest first; the accumulated
+    fraud report without its wall-clock ``report_dt``."""
     root = config.scratch_path(spark, "landing")
     wh = pipeline.Warehouse(config.scratch_path(spark, "warehouse"))
     build_landing(spark, sf_dir, root)
     pipeline.bootstrap(spark, wh, *seeds(spark, sf_dir))
     pipeline.backfill(spark, wh, root, pipeline.RuleParams(max_span_seconds=FIXTURE_SPAN))
-    return spark.read.parquet(wh.report)
+    return spark.read.schema(REP_FRAUD_STORED).parquet(wh.report).drop("report_dt")
 
 
 FILE_KEYS = {

@@ -277,3 +277,20 @@ def test_columns_are_bound_by_name_and_bad_rows_kept_apart(fresh):
     put(root, DAYS[1], "transaction_id;transaction_date\n1;2021-02-01 00:00:00\n")
     with pytest.raises(ValueError, match="no column"):
         landing.read_transactions(spark, root, DAYS[1])
+
+
+def test_registered_run_lands_a_file_of_each_kind_for_every_day_of_events(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from cardwatch.functions import day_of
+    from cardwatch.plans import files_keys
+    from cardwatch.sources import fixtures, landing
+    root = str(tmp_path / "landing")
+    files_keys.build_landing(spark, "/root/testdata/sf0.001", root)
+    events = fixtures.table(spark, "/root/testdata/sf0.001", "events")
+    want = {r[0] for r in events.select(day_of("ts")).distinct().collect()}
+    assert len(want) == 30
+    assert {r["file_date"] for r in landing.landing_dates(spark, root).collect()} == want
+    rows = landing.read_transactions(spark, root)
+    assert rows.count() == events.count()
+    assert rows.filter(day_of("transaction_date") != F.col("file_date")).isEmpty()
