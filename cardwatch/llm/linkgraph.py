@@ -7,8 +7,12 @@ distrust from the blocked seeds against them (who links to a blocked host is sus
 without a rule is blocked where distrust is more than ``max_share`` of its host's trust and
 distrust together.
 
-Edges are the distinct pairs of different hosts with the number of links between them, so
-the iteration moves hosts, not pages; each round's ranks are written to the shared folder.
+Edges are the distinct pairs of different hosts with the number of links between them, in
+``href`` and ``src`` of any case, with a scheme or protocol-relative (``//host``), so the
+iteration moves hosts, not pages. Every few rounds the ranks are written to the shared folder
+and compared with those before: it ends when each graph's have changed by less than ``TOLERANCE``
+in total and no host's by more than ``HOST_TOLERANCE`` of itself, since verdicts compare the small
+ranks of far hosts. So every host that links reach has a rank, however far.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and no rule,
 and is allowed; null html has no links. Hosts that no seed reaches have no rank and are
@@ -18,6 +22,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.sql import Column, DataFrame
@@ -28,10 +33,15 @@ from .common import materialize
 #: (verdict, rule); what stands before the first slash is the host.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
          ("allow", "com/fr/"), ("block", "com/de/"))
-DAMPING, ROUNDS, MAX_SHARE = 0.85, 10, 0.9
+DAMPING, MAX_SHARE = 0.85, 0.9
+#: The ranks have settled below these: total change of a graph's ranks (whose sum is at most 1),
+#: and change of a host's rank as a share of it.
+TOLERANCE, HOST_TOLERANCE = 1e-12, 1e-6
+#: After so many rounds the total change is below TOLERANCE in any graph.
+ROUNDS = math.ceil(math.log(TOLERANCE / 2) / math.log(DAMPING))
 ROUNDS_AT_ONCE = 5
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-LINK = r"""(?s)(?:href|src)\s*=\s*["']?[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#"'\s<>]+)"""
+LINK = r"""(?is)(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
 
 def lowered(c: Column) -> Column:
@@ -63,7 +73,7 @@ def with_rules(df: DataFrame, rules=RULES) -> DataFrame:
 
 def host_edges(pages: DataFrame, host: str = "host", html: str = "html") -> DataFrame:
     """(src, dst, n): links between different hosts."""
-    return (pages.filter(F.contains(F.col(html), F.lit("://")))
+    return (pages.filter(F.contains(F.col(html), F.lit("//")))
             .select(F.col(host).alias("src"),
                     F.explode(F.regexp_extract_all(F.col(html), F.lit(LINK), F.lit(1)))
                     .alias("dst"))
@@ -72,8 +82,17 @@ def host_edges(pages: DataFrame, host: str = "host", html: str = "html") -> Data
             .agg(F.count("*").alias("n")))
 
 
-def page_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING,
-              rounds: int = ROUNDS) -> DataFrame:
+def settled(last: DataFrame, rank: DataFrame) -> bool:
+    """Whether ``rank`` has hardly changed against ``last``; a host new in it has."""
+    both = rank.join(last.withColumnRenamed("rank", "last"), ["graph", "host"], "left")
+    change = F.abs(F.col("rank") - F.coalesce("last", F.lit(0.0)))
+    rows = both.groupBy("graph").agg(
+        F.sum(change).alias("total"),
+        F.max(F.when(F.col("rank") > 0, change / F.col("rank"))).alias("host")).collect()
+    return all(r["total"] < TOLERANCE and (r["host"] or 0.0) <= HOST_TOLERANCE for r in rows)
+
+
+def page_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING) -> DataFrame:
     """Personalised PageRank of several graphs at once.
 
     ``edges``: (graph, src, dst, n); ``seeds``: (graph, host, mass), of which each graph's
@@ -85,14 +104,17 @@ def page_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING,
         "link_edges")
     start = seeds.select("graph", "host", (F.col("mass") * (1 - damping)).alias("rank"))
     rank = seeds.select("graph", "host", F.col("mass").alias("rank"))
-    for k in range(rounds):
-        moved = rank.join(e, ["graph", "host"]).select(
-            "graph", F.col("dst").alias("host"), (F.col("rank") * F.col("w") * damping)
-            .alias("rank"))
-        rank = moved.unionByName(start).groupBy("graph", "host").agg(F.sum("rank").alias("rank"))
-        if (k + 1) % ROUNDS_AT_ONCE == 0 or k == rounds - 1:
-            rank = materialize(rank, "link_ranks")
-    return rank
+    while True:
+        last = rank
+        for _ in range(ROUNDS_AT_ONCE):
+            moved = rank.join(e, ["graph", "host"]).select(
+                "graph", F.col("dst").alias("host"), (F.col("rank") * F.col("w") * damping)
+                .alias("rank"))
+            rank = moved.unionByName(start).groupBy("graph", "host").agg(
+                F.sum("rank").alias("rank"))
+        rank = materialize(rank, "link_ranks")
+        if settled(last, rank):
+            return rank
 
 
 def host_verdicts(ruled: DataFrame, edges: DataFrame, max_share: float = MAX_SHARE,

@@ -361,6 +361,25 @@ def test_page_rank_equals_plain_iteration(spark):
     assert all(abs(got[k] - r[k]) < 1e-12 for k in r)
 
 
+def test_links_of_any_case_and_without_scheme(spark):
+    html = ("<A HREF='HTTP://One.net/x'> <IMG SRC=//two.net/y.png> <a href=\"//three.net?q\">"
+            "<a href='/four.net//x'> <a href='five.net//x'> <Script Src = \" https://six.net\">")
+    pages = spark.createDataFrame([("a.org", html), ("b.org", "<a href=//c.org>"), ("d.org", "x"),
+                                   ("e.org", None)], "host string, html string")
+    assert listed(linkgraph.host_edges(pages)) == [
+        ("a.org", "one.net", 1), ("a.org", "six.net", 1), ("a.org", "three.net", 1),
+        ("a.org", "two.net", 1), ("b.org", "c.org", 1)]
+
+
+def test_distrust_reaches_along_long_chains(spark):
+    forms = ['<a href="http://{}/x">', '<A HREF="http://{}/x">', '<a href="//{}/x">']
+    hosts = ["bad.com", *[f"h{k}.net" for k in range(1, 13)]]
+    data = [(0, "http://bad.com/de/1", "")] + [
+        (k, f"http://{hosts[k]}/", forms[k % 3].format(hosts[k - 1])) for k in range(1, 13)]
+    df = spark.createDataFrame(data, "page_id long, url string, html string")
+    assert {r["verdict"] for r in linkgraph.judge(df).collect()} == {"block"}
+
+
 # --- near-duplicates ------------------------------------------------------------------------
 def plain_fingerprint(t):
     b = re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode())
