@@ -13,6 +13,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from cardwatch.llm import (annforest, arcwarc, bytehash, langid, linkgraph, packing, pieces,
                            quality, simhash, suffixdedup, tokenstore, wordtokens)
@@ -59,6 +60,29 @@ def test_language_without_letters_or_labels(spark):
     assert langid.language_id(df.limit(0)).count() == 0
 
 
+def test_language_stage_keeps_all_where_nothing_is_learned(spark):
+    import corpus_pipeline as c
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    blank = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert listed(c.language_id(spark, blank, SF)) == listed(blank)
+
+
+def test_language_stage_with_mixed_texts(spark):
+    import corpus_pipeline as c
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    parts = [r["t"] for r in docs.filter("length(text) > 700").groupBy("lang").agg(
+        F.min_by("text", "doc_id").alias("t")).orderBy("lang").collect()]
+    assert len(parts) == 4
+    two, four = ("".join(t[:640] for t in parts[:k]) for k in (2, 4))
+    mixed = docs.limit(2).withColumns({
+        "doc_id": F.when(F.col("doc_id") == docs.first()["doc_id"], 9001).otherwise(9002),
+        "lang": F.lit(None).cast("string")}).withColumn(
+        "text", F.when(F.col("doc_id") == 9001, two).otherwise(four))
+    got = {r["doc_id"] for r in c.language_id(spark, docs.unionByName(mixed), SF)
+           .select("doc_id").collect()}
+    assert 9001 in got and 9002 not in got
+
+
 # --- quality --------------------------------------------------------------------------------
 def base_signals(t):
     t = t or ""
