@@ -7,13 +7,13 @@ in the same text or another. Strings are judged on the input texts.
    choose the same anchor, so they can only meet among pieces with the same anchor gram.
 2. Pieces that are equal as a whole repeat with every string in them. Map tasks combine
    them (checking bytes), so a passage that a third of all documents share sends one row
-   from each task; one shuffle by gram finds the rest.
+   from each task; one shuffle by gram finds the rest, by equal 64-bit hashes.
 3. Where pieces with the same gram differ, the suffixes at their possible string starts
    are sorted: prefix polynomial hashes and binary search give the common extension of two
    suffixes in O(log length), a merge sort uses it as comparison, and neighbours whose
    common extension reaches ``length`` repeat, after a check of their bytes.
    Grams with very many different pieces (text around a common line) would put one
-   group into one task: those count the hashes of all their strings instead, exactly.
+   group into one task: those count the 64-bit hashes of all their strings instead.
 4. Spans are gathered by document and cut out.
 
 Defined cases: null texts count as empty; texts below ``length`` bytes lose nothing;
