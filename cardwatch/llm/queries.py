@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (annforest, arcwarc, langid, linkgraph, packing, pieces, quality, simhash,
-               suffixdedup, tokenstore)
+from . import (annforest, arcwarc, langid, linkgraph, oracle, packing, phrases, pieces, quality, simhash,
+               suffixdedup, tokencounts, tokenstore, whitening)
 from .common import table
 
 
@@ -54,11 +54,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.token_counts(table(spark, sf_dir, "documents"), limit=1024)
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, top=2000)
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_language_id, op2_quality_rules, op3_packing, op4_prefix_forest, op5_token_store,
-        op6_pieces, op7_arc_to_warc, op8_suffix_dedup, op9_link_graph, op10_simhash)}
+        op6_pieces, op7_arc_to_warc, op8_suffix_dedup, op9_link_graph, op10_simhash,
+        op11_whitening, op12_token_counts, op13_phrases)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.statements()
