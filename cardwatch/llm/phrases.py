@@ -25,6 +25,8 @@ without frequent phrases, give empty results. Other columns are not read.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import itertools
 from collections import defaultdict
 
@@ -38,6 +40,8 @@ from .common import batches_of, materialize
 
 #: Words of a block, about; side of a tile; a tile with this share of its cells is dense.
 BLOCK_WORDS, TILE, DENSE = 500_000, 1024, 1 / 64
+#: Rows of an Arrow batch: texts, and (block, position, id) rows.
+TEXT_ROWS, ID_ROWS = 256, 16_384
 SALTS = 64
 
 #: A byte that UTF-8 never holds stands for the end of a piece.
@@ -83,34 +87,53 @@ BLOCK = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("words", pa.li
                    ("counts", pa.list_(pa.int64())), ("seq", pa.binary())])
 
 
-def _blocks(most):
-    def made(number, lang, words):
-        ids = Numbers()
-        seq = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-        count = np.bincount(seq, minlength=len(ids))[1:]
-        names = [w.decode() for w in itertools.islice(ids, 1, None)]
+class Held:
+    """A block of one language that is being filled."""
+
+    def __init__(self):
+        self.ids, self.parts, self.size = Numbers(), [], 0
+
+    def add(self, words: list[bytes]) -> None:
+        self.parts.append(np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words)))
+        self.size += len(words)
+
+    def row(self, number: int, lang: str) -> pa.RecordBatch:
+        seq = np.concatenate(self.parts)
+        count = np.bincount(seq, minlength=len(self.ids))[1:]
+        names = [w.decode() for w in itertools.islice(self.ids, 1, None)]
         return pa.RecordBatch.from_arrays(
             [pa.array([c], f.type) for c, f in
              zip((number, lang, names, count, seq.tobytes()), BLOCK)], schema=BLOCK)
 
+
+def _blocks(most):
     def run(batches):
         number = itertools.count(TaskContext.get().partitionId() << 32)
-        held: dict[str, list[bytes]] = defaultdict(list)
-        total = 0
+        held: dict[str, Held] = defaultdict(Held)
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for part in piece_parts(words_of(text), most):
-                    held[lang] += part
-                    total += len(part)
-                    if len(held[lang]) >= most or total >= 4 * most:
-                        full = max(held, key=lambda k: len(held[k]))
-                        total -= len(held[full])
-                        yield made(next(number), full, held.pop(full))
+            for lang, text in zip(batch.column(0), batch.column(1)):
+                lang = lang.as_py()
+                for part in piece_parts(words_of(text.as_py()), most):
+                    held[lang].add(part)
+                    if held[lang].size >= most:
+                        yield held.pop(lang).row(next(number), lang)
+                    elif sum(h.size for h in held.values()) >= 2 * most:
+                        full = max(held, key=lambda k: held[k].size)
+                        yield held.pop(full).row(next(number), full)
         for lang in sorted(held):
-            yield made(next(number), lang, held[lang])
+            yield held[lang].row(next(number), lang)
+        given_back()
     return run
 
 
+def given_back() -> None:
+    """Return what a finished task's arrays have left with this worker's allocators, so that
+    idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 # --- counting pairs of ids in tiles ----------------------------------------------------------
 def tile_counts(a: np.ndarray, b: np.ndarray, tile: int = TILE, dense: float = DENSE):
     """(left, right, count) of the different pairs (a[i], b[i]); ids start at 0."""
@@ -194,8 +217,8 @@ def _advance(paired: bool):
                 if at[lo] != block:
                     block, pos, ids = at[lo], [], []
                 if kind[lo] == 0:
-                    pos.append(batch.column("pos").slice(lo, hi - lo).to_numpy())
-                    ids.append(batch.column("id").slice(lo, hi - lo).to_numpy())
+                    pos.append(batch.column("pos").slice(lo, hi - lo).to_numpy().copy())
+                    ids.append(batch.column("id").slice(lo, hi - lo).to_numpy().copy())
                     continue
                 if not pos:
                     continue
@@ -208,6 +231,7 @@ def _advance(paired: bool):
                     a = batch.column("a")[lo].values.to_numpy()
                     b = batch.column("b")[lo].values.to_numpy()
                 yield pairs_row(int(block), next_ids(seq, a, b, new))
+        given_back()
     return run
 
 
@@ -274,7 +298,7 @@ def not_covered(shorter: DataFrame, longer: DataFrame | None) -> DataFrame:
 def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang", *,
                  least: int = 30, top: int = 2000, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the first ``top`` phrases of each language."""
-    batches_of(df.sparkSession)
+    batches_of(df.sparkSession, TEXT_ROWS)
     texts = df.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     blocks = materialize(texts.mapInArrow(
@@ -282,6 +306,7 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
         "block long, lang string, words array<string>, counts array<long>, seq binary"),
         "phrase_blocks")
 
+    batches_of(df.sparkSession, ID_ROWS)
     words = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
     f1 = (words.groupBy("lang", F.col("w.words").alias("word"))
           .agg(F.sum("w.counts").alias("f")))
