@@ -6,7 +6,7 @@ plane of (left id, right id) is cut into square tiles, and a block's pairs are c
 well-filled tile with one dense ``bincount`` and in all others as sorted coordinates. Spark adds
 up the blocks' counts by pair. The frequent pairs get ids by falling frequency in their turn,
 and stand where their first word stands; two ids side by side are then a phrase of three words,
-counted with the same tiles, and once more a phrase of four. A phrase can only be frequent if
+counted with the same tiles, and once more one of four. A phrase can only be frequent if
 both its shorter ends are, so nothing is lost on the way.
 
 What a block needs to go on, the ids of its own words or pairs, is joined from the table of the
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import batches_of, materialize
 
 #: Words of a block, about; side of a tile; a tile with this share of its cells is dense.
-BLOCK_WORDS, TILE, DENSE = 500_000, 1024, 1 / 64
+BLOCK_WORDS, TILE, DENSE = 1_000_000, 1024, 1 / 64
 #: Rows of an Arrow batch: texts, and (block, position, id) rows.
 TEXT_ROWS, ID_ROWS = 256, 16_384
 SALTS = 64
@@ -83,8 +83,29 @@ def piece_parts(words: list[bytes], most: int):
     yield words[at:]
 
 
-BLOCK = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.string())),
-                   ("counts", pa.list_(pa.int64())), ("seq", pa.binary())])
+#: A level's rows: of each block's different words, or pairs of ids, their number in the block
+#: and count; and a row with the block itself, as those numbers in order (0: none).
+BLOCK = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("pos", pa.int32()),
+                   ("word", pa.string()), ("c", pa.int64()), ("seq", pa.binary())])
+LEVEL = pa.schema([("block", pa.int64()), ("pos", pa.int32()), ("a", pa.int64()),
+                   ("b", pa.int64()), ("c", pa.int64()), ("seq", pa.binary())])
+LEVEL_SCHEMA = "block long, pos int, a long, b long, c long, seq binary"
+SLICE = 65_536
+
+
+def level_rows(schema: pa.Schema, items: dict, seq: np.ndarray, **same):
+    """Batches of a block's ``items`` by number from 1, then its row with ``seq``."""
+    total = len(items["c"])
+    for at in range(0, total, SLICE):
+        n = min(SLICE, total - at)
+        given = {"pos": np.arange(at + 1, at + n + 1, dtype=np.int32),
+                 **{k: v[at:at + n] for k, v in items.items()}}
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(given[f.name], f.type) if f.name in given else
+             pa.repeat(pa.scalar(same.get(f.name), f.type), n) for f in schema], schema=schema)
+    whole = {**same, "seq": seq.astype(np.int32).tobytes()}
+    yield pa.RecordBatch.from_arrays([pa.array([whole.get(f.name)], f.type) for f in schema],
+                                     schema=schema)
 
 
 class Held:
@@ -94,16 +115,14 @@ class Held:
         self.ids, self.parts, self.size = Numbers(), [], 0
 
     def add(self, words: list[bytes]) -> None:
-        self.parts.append(np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words)))
+        self.parts.append(np.fromiter(map(self.ids.__getitem__, words), np.int32, len(words)))
         self.size += len(words)
 
-    def row(self, number: int, lang: str) -> pa.RecordBatch:
+    def rows(self, number: int, lang: str):
         seq = np.concatenate(self.parts)
-        count = np.bincount(seq, minlength=len(self.ids))[1:]
-        names = [w.decode() for w in itertools.islice(self.ids, 1, None)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([c], f.type) for c, f in
-             zip((number, lang, names, count, seq.tobytes()), BLOCK)], schema=BLOCK)
+        names = pa.array(itertools.islice(self.ids, 1, None), pa.binary()).cast(pa.string())
+        return level_rows(BLOCK, {"word": names, "c": np.bincount(
+            seq, minlength=len(self.ids))[1:]}, seq, block=number, lang=lang)
 
 
 def _blocks(most):
@@ -116,12 +135,12 @@ def _blocks(most):
                 for part in piece_parts(words_of(text.as_py()), most):
                     held[lang].add(part)
                     if held[lang].size >= most:
-                        yield held.pop(lang).row(next(number), lang)
-                    elif sum(h.size for h in held.values()) >= 2 * most:
+                        yield from held.pop(lang).rows(next(number), lang)
+                    elif sum(h.size for h in held.values()) >= 3 * most:
                         full = max(held, key=lambda k: held[k].size)
-                        yield held.pop(full).row(next(number), full)
+                        yield from held.pop(full).rows(next(number), full)
         for lang in sorted(held):
-            yield held[lang].row(next(number), lang)
+            yield from held[lang].rows(next(number), lang)
         given_back()
     return run
 
@@ -136,34 +155,36 @@ def given_back() -> None:
 
 # --- counting pairs of ids in tiles ----------------------------------------------------------
 def tile_counts(a: np.ndarray, b: np.ndarray, tile: int = TILE, dense: float = DENSE):
-    """(left, right, count) of the different pairs (a[i], b[i]); ids start at 0."""
+    """(left, right, count, which): the different pairs (a[i], b[i]), and which of them each
+    pair is. Ids start at 0."""
+    which = np.zeros(len(a), np.int64)
     if not len(a):
-        return a, b, np.zeros(0, np.int64)
+        return a, b, which, which
     side = int(max(a.max(), b.max())) // tile + 1
     where = (a // tile) * side + b // tile
-    names, which, filled = np.unique(where, return_inverse=True, return_counts=True)
-    parts, thin = [], np.ones(len(a), bool)
+    names, tiles, filled = np.unique(where, return_inverse=True, return_counts=True)
+    parts, thin, total = [], np.ones(len(a), bool), 0
     for k in np.flatnonzero(filled >= dense * tile * tile):
-        mine = which == k
+        mine = tiles == k
         thin &= ~mine
         ta, tb = divmod(int(names[k]), side)
-        grid = np.bincount((a[mine] - ta * tile) * tile + (b[mine] - tb * tile),
-                           minlength=tile * tile)
+        cell = (a[mine] - ta * tile) * tile + (b[mine] - tb * tile)
+        grid = np.bincount(cell, minlength=tile * tile)
         at = np.flatnonzero(grid)
         parts.append((at // tile + ta * tile, at % tile + tb * tile, grid[at]))
+        number = np.zeros(tile * tile, np.int64)
+        number[at] = np.arange(total, total + len(at))
+        which[mine] = number[cell]
+        total += len(at)
     if thin.any():
-        a, b = a[thin], b[thin]
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        rest = np.flatnonzero(thin)
+        order = rest[np.lexsort((b[rest], a[rest]))]
+        x, y = a[order], b[order]
+        new = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
         first = np.flatnonzero(new)
-        parts.append((a[first], b[first], np.diff(np.append(first, len(a)))))
-    return tuple(np.concatenate(x) for x in zip(*parts))
-
-
-LEVEL = pa.schema([("block", pa.int64()), ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())),
-                   ("c", pa.list_(pa.int64())), ("seq", pa.binary())])
-LEVEL_SCHEMA = "block long, a array<long>, b array<long>, c array<long>, seq binary"
+        parts.append((x[first], y[first], np.diff(np.append(first, len(x)))))
+        which[order] = np.cumsum(new) - 1 + total
+    return *(np.concatenate(x) for x in zip(*parts)), which
 
 
 def shortened(seq: np.ndarray) -> np.ndarray:
@@ -173,82 +194,57 @@ def shortened(seq: np.ndarray) -> np.ndarray:
     return seq[keep]
 
 
-def pairs_row(block: int, seq: np.ndarray):
-    """A block's ids (0: not frequent), and the counts of the pairs side by side."""
-    seq = shortened(seq)
-    a, b = seq[:-1], seq[1:]
-    both = (a > 0) & (b > 0)
-    a, b, c = tile_counts(a[both] - 1, b[both] - 1)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([v], f.type) for v, f in zip((block, a + 1, b + 1, c, seq.tobytes()), LEVEL)],
-        schema=LEVEL)
-
-
-def next_ids(seq: np.ndarray, a, b, new: np.ndarray) -> np.ndarray:
-    """At each place the new id of the pair that begins there. Level 1 has no pairs: there
-    ``new`` is by the number in ``seq`` itself."""
-    if a is None:
-        return np.concatenate([[0], new])[seq]
-    left, right = seq[:-1], seq[1:]
-    both = np.flatnonzero((left > 0) & (right > 0))
-    out = np.zeros(len(seq), np.int64)
-    if len(both):
-        # Positions of the block's pairs by rank of both ids among those in the block.
-        ids = np.unique(seq)
-        code = np.searchsorted(ids, a) * len(ids) + np.searchsorted(ids, b)
-        order = np.argsort(code)
-        mine = (np.searchsorted(ids, left[both]) * len(ids)
-                + np.searchsorted(ids, right[both]))
-        out[both] = new[order[np.searchsorted(code, mine, sorter=order)]]
-    return out
-
-
-def _advance(paired: bool):
-    """Rows of a block: (pos, id) of its frequent words or pairs, then the block itself."""
-    def run(batches):
-        block, pos, ids = None, [], []
-        for batch in batches:
-            at = batch.column("block").to_numpy()
-            kind = batch.column("kind").to_numpy()
-            cut = [0, *(np.flatnonzero((at[1:] != at[:-1]) | (kind[1:] != kind[:-1])) + 1), len(at)]
-            for lo, hi in zip(cut, cut[1:]):
-                if lo == hi:
-                    continue
-                if at[lo] != block:
-                    block, pos, ids = at[lo], [], []
-                if kind[lo] == 0:
-                    pos.append(batch.column("pos").slice(lo, hi - lo).to_numpy().copy())
-                    ids.append(batch.column("id").slice(lo, hi - lo).to_numpy().copy())
-                    continue
-                if not pos:
-                    continue
-                seq = np.frombuffer(batch.column("seq")[lo].as_py(), np.int64)
-                size = batch.column("size")[lo].as_py()
-                new = np.zeros(size, np.int64)
-                new[np.concatenate(pos).astype(np.int64)] = np.concatenate(ids)
-                a = b = None
-                if paired:
-                    a = batch.column("a")[lo].values.to_numpy()
-                    b = batch.column("b")[lo].values.to_numpy()
-                yield pairs_row(int(block), next_ids(seq, a, b, new))
-        given_back()
-    return run
-
-
-def advance(level: DataFrame, keys: DataFrame, on: list[str], ids: DataFrame) -> DataFrame:
-    """The blocks one level up: ``keys`` are their words or pairs with their positions."""
-    paired = "a" in level.columns
-    found = keys.join(ids.select(*on, "id"), on).select("block", "pos", "id")
-    size = F.size("a" if paired else "words")
-    blocks = level.select("block", F.lit(1).alias("kind"), F.lit(0).alias("pos"),
-                          F.lit(0).cast("long").alias("id"), "seq", size.alias("size"),
-                          *(["a", "b"] if paired else []))
-    none = [F.lit(None).cast(t).alias(n) for n, t in
-            (("seq", "binary"), ("size", "int"), ("a", "array<long>"), ("b", "array<long>"))]
-    rows = found.select("block", F.lit(0).alias("kind"), "pos", "id",
-                        *none[:4 if paired else 2]).unionByName(blocks)
-    return rows.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(
-        _advance(paired), LEVEL_SCHEMA)
+def pair_rows(block: int, ids: np.ndarray):
+    """Rows of the pairs of ids side by side in a block (0: not frequent)."""
+    ids = shortened(ids)
+    both = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+    a, b, c, which = tile_counts(ids[both] - 1, ids[both + 1] - 1)
+    seq = np.zeros(max(0, len(ids) - 1), np.int64)
+    seq[both] = which + 1
+    return level_rows(LEVEL, {"a": a + 1, "b": b + 1, "c": c}, seq, block=block)
+
+
+def _advance(batches):
+    """From rows (pos, id) of a block's frequent words or pairs, then the block itself."""
+    block, pos, ids = None, [], []
+    for batch in batches:
+        at = batch.column("block").to_numpy()
+        kind = batch.column("kind").to_numpy()
+        cut = [0, *(np.flatnonzero((at[1:] != at[:-1]) | (kind[1:] != kind[:-1])) + 1), len(at)]
+        for lo, hi in zip(cut, cut[1:]):
+            if lo == hi:
+                continue
+            if at[lo] != block:
+                block, pos, ids = at[lo], [], []
+            if kind[lo] == 0:
+                pos.append(batch.column("pos").slice(lo, hi - lo).to_numpy().copy())
+                ids.append(batch.column("id").slice(lo, hi - lo).to_numpy().copy())
+            elif pos:
+                seq = np.frombuffer(batch.column("seq")[lo].as_py(), np.int32)
+                new = np.zeros(int(seq.max(initial=0)) + 1, np.int64)
+                new[np.concatenate(pos)] = np.concatenate(ids)
+                yield from pair_rows(int(block), new[seq])
+    given_back()
+
+
+def frequent(level: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
+    """The level's words or pairs with frequency ``f`` of ``least`` and more, in each block.
+    A key has one row a block, so one shuffle both counts them and keeps where they stand."""
+    f = F.sum("c").over(Window.partitionBy(*keys))
+    return materialize(level.filter("seq IS NULL").select("block", "pos", *keys, f.alias("f"))
+                       .filter(F.col("f") >= least), name)
+
+
+def advance(level: DataFrame, found: DataFrame, keys: list[str], ids: DataFrame) -> DataFrame:
+    """The blocks one level up."""
+    rows = found.join(ids.select(*keys, "id"), keys).select(
+        "block", F.lit(0).alias("kind"), "pos", "id", F.lit(None).cast("binary").alias("seq"))
+    blocks = level.filter("seq IS NOT NULL").select(
+        "block", F.lit(1).alias("kind"), F.lit(0).alias("pos"),
+        F.lit(0).cast("long").alias("id"), "seq")
+    return materialize(rows.unionByName(blocks).repartition("block")
+                       .sortWithinPartitions("block", "kind").mapInArrow(_advance, LEVEL_SCHEMA),
+                       "phrase_level")
 
 
 def ranked(counts: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -285,10 +281,8 @@ def lowest_cut(cuts) -> list[Column]:
     return [best[c].alias(c) for c in ("score", "l", "r")]
 
 
-def not_covered(shorter: DataFrame, longer: DataFrame | None) -> DataFrame:
+def not_covered(shorter: DataFrame, longer: DataFrame) -> DataFrame:
     """``shorter`` without those that a longer phrase holds nearly as often."""
-    if longer is None:
-        return shorter
     most = (longer.select("a", "f").unionAll(longer.select("b", "f"))
             .groupBy(F.col("a").alias("id")).agg(F.max("f").alias("_f")))
     covered = F.coalesce(wide("_f") * 100 >= wide("f") * 80, F.lit(False))
@@ -301,50 +295,45 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     batches_of(df.sparkSession, TEXT_ROWS)
     texts = df.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    blocks = materialize(texts.mapInArrow(
+    level = materialize(texts.mapInArrow(
         _blocks(block_words),
-        "block long, lang string, words array<string>, counts array<long>, seq binary"),
-        "phrase_blocks")
-
+        "block long, lang string, pos int, word string, c long, seq binary"), "phrase_blocks")
     batches_of(df.sparkSession, ID_ROWS)
-    words = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
-    f1 = (words.groupBy("lang", F.col("w.words").alias("word"))
-          .agg(F.sum("w.counts").alias("f")))
-    totals = blocks.groupBy("lang").agg(F.sum(F.aggregate(
-        "counts", F.lit(0).cast("long"), lambda x, y: x + y)).alias("n"))
-    one = materialize(ranked(f1.filter(F.col("f") >= least), ["lang", "word"], "word"), "words")
-
-    at = blocks.select("block", "lang", F.posexplode("words").alias("pos", "word"))
-    level = materialize(advance(blocks, at, ["lang", "word"], one), "phrase_level")
-
-    def pairs(name):
-        rows = level.select("block", F.posexplode(F.arrays_zip("a", "b", "c")).alias("pos", "p"))
-        rows = rows.select("block", "pos", "p.a", "p.b", "p.c")
-        f = rows.groupBy("a", "b").agg(F.sum("c").alias("f")).filter(F.col("f") >= least)
-        return rows, ranked(f, ["a", "b"], name)
+    totals = level.groupBy("lang").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"))
 
     def of(table, side, **names):
         """Columns of the frequent ones that stand as ``side`` of a pair."""
         return table.select(F.col("id").alias(side), *[F.col(c).alias(n)
                                                        for n, c in names.items()])
 
-    rows, two = pairs("pair")
-    two = materialize(two.join(of(one, "a", lang="lang", w1="word", f1="f"), "a")
+    def ids_of(found, keys, name):
+        return ranked(found.groupBy(*keys).agg(F.first("f").alias("f")), keys, name)
+
+    there = frequent(level, ["lang", "word"], least, "frequent_words")
+    one = materialize(ids_of(there, ["lang", "word"], "words"), "words")
+    level = advance(level, there, ["lang", "word"], one)
+
+    pair = ["a", "b"]
+    there = frequent(level, pair, least, "frequent_pairs")
+    two = materialize(ids_of(there, pair, "pairs")
+                      .join(of(one, "a", lang="lang", w1="word", f1="f"), "a")
                       .join(of(one, "b", last="word", f2="f"), "b")
                       .withColumn("phrase", F.concat_ws(" ", "w1", "last")), "pairs")
-    level = materialize(advance(level, rows, ["a", "b"], two), "phrase_level")
+    level = advance(level, there, pair, two)
 
-    rows, three = pairs("triple")
+    there = frequent(level, pair, least, "frequent_triples")
     three = materialize(
-        three.join(of(two, "a", lang="lang", start="phrase", f1="f1", head="f"), "a")
+        ids_of(there, pair, "triples")
+        .join(of(two, "a", lang="lang", start="phrase", f1="f1", head="f"), "a")
         .join(of(two, "b", last="last", f2="f2", tail="f"), "b")
         .withColumn("phrase", F.concat_ws(" ", "start", "last")), "triples")
-    level = materialize(advance(level, rows, ["a", "b"], three), "phrase_level")
+    level = advance(level, there, pair, three)
 
-    _, four = pairs("quadruple")
-    four = (four.join(of(three, "a", lang="lang", start="phrase", f1="f1", head="head", t="f"), "a")
-            .join(of(three, "b", last="last", f2="f2", tail="tail", u="f"), "b")
-            .withColumn("phrase", F.concat_ws(" ", "start", "last")))
+    four = materialize(
+        frequent(level, pair, least, "frequent_quadruples").select("a", "b", "f").distinct()
+        .join(of(three, "a", lang="lang", start="phrase", f1="f1", head="head", t="f"), "a")
+        .join(of(three, "b", last="last", f2="f2", tail="tail", u="f"), "b")
+        .withColumn("phrase", F.concat_ws(" ", "start", "last")), "quadruples")
 
     found = [
         (not_covered(two, three), [("f1", "f2")]),

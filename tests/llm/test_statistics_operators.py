@@ -232,7 +232,8 @@ def test_tiles_count_every_pair():
     b = (rng.pareto(1.0, 40_000) * 20).astype(np.int64)
     want = collections.Counter(zip(a.tolist(), b.tolist()))
     for tile, dense in ((64, 1 / 64), (16, 0.0), (1024, 2.0)):
-        x, y, c = phrases.tile_counts(a, b, tile, dense)
+        x, y, c, which = phrases.tile_counts(a, b, tile, dense)
+        assert (x[which] == a).all() and (y[which] == b).all()
         got = list(zip(x.tolist(), y.tolist(), c.tolist()))
         assert len(got) == len(want) and {(p, q): n for p, q, n in got} == want
     assert len(phrases.tile_counts(a[:0], b[:0])[2]) == 0
