@@ -1,17 +1,18 @@
 """Phrases that stand together more often than their parts do, by direct-address tiling.
 
-Texts become blocks of word numbers, one language a block. Words that are frequent in their
-language get ids by falling frequency, so that the frequent pairs meet in the first tiles: the
-plane of (left id, right id) is cut into square tiles, and a block's pairs are counted in each
-well-filled tile with one dense ``bincount`` and in all others as sorted coordinates. Spark adds
-up the blocks' counts by pair. The frequent pairs get ids by falling frequency in their turn,
-and stand where their first word stands; two ids side by side are then a phrase of three words,
-counted with the same tiles, and once more one of four. A phrase can only be frequent if
-both its shorter ends are, so nothing is lost on the way.
-
-What a block needs to go on, the ids of its own words or pairs, is joined from the table of the
-frequent ones and dealt by block; nothing is broadcast or collected. Each level's blocks and
-each table of ids is written to the shared folder.
+Texts become blocks of word numbers, one language a block. Spark adds up the blocks' word
+counts; words that are frequent in their language get an id and go back to the blocks in which
+they stand. A block ranks its ids by falling frequency, so that the frequent pairs meet in the
+first tiles: the plane of (left rank, right rank) is cut into square tiles, and the block's pairs
+are counted in each well-filled tile with one dense ``bincount`` and in all others as sorted
+coordinates. Spark adds up the blocks' counts by pair. The frequent pairs get ids in their turn,
+stand where their first word stands and are ranked anew; two of them side by side are a phrase
+of three words, counted with the same tiles, and once more one of four. A phrase can only be
+frequent if both its shorter ends are, so nothing is lost on the way.
+
+Counts and the places of what is counted travel in one shuffle by word or pair, and the
+frequent ones back in one by block; nothing is broadcast or collected. Each level's blocks and
+frequent ones are written to the shared folder.
 
 ``score`` is the least, over the cuts of a phrase, of ``floor(2000000 * a / (l + r))`` with the
 frequencies of the phrase and both sides. A phrase goes if a longer candidate holds it and has
@@ -32,6 +33,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,6 +95,18 @@ LEVEL_SCHEMA = "block long, pos int, a long, b long, c long, seq binary"
 SLICE = 65_536
 
 
+def packed(seq: np.ndarray) -> bytes:
+    """Numbers below 2^31, byte by byte in four planes, compressed."""
+    planes = np.ascontiguousarray(seq.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(seq).to_bytes(8, "little") + zstandard.ZstdCompressor(1).compress(planes.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[8:]), np.uint8)
+    n = int.from_bytes(data[:8], "little")
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+
+
 def level_rows(schema: pa.Schema, items: dict, seq: np.ndarray, **same):
     """Batches of a block's ``items`` by number from 1, then its row with ``seq``."""
     total = len(items["c"])
@@ -103,7 +117,7 @@ def level_rows(schema: pa.Schema, items: dict, seq: np.ndarray, **same):
         yield pa.RecordBatch.from_arrays(
             [pa.array(given[f.name], f.type) if f.name in given else
              pa.repeat(pa.scalar(same.get(f.name), f.type), n) for f in schema], schema=schema)
-    whole = {**same, "seq": seq.astype(np.int32).tobytes()}
+    whole = {**same, "seq": packed(seq)}
     yield pa.RecordBatch.from_arrays([pa.array([whole.get(f.name)], f.type) for f in schema],
                                      schema=schema)
 
@@ -194,19 +208,25 @@ def shortened(seq: np.ndarray) -> np.ndarray:
     return seq[keep]
 
 
-def pair_rows(block: int, ids: np.ndarray):
-    """Rows of the pairs of ids side by side in a block (0: not frequent)."""
-    ids = shortened(ids)
+def pair_rows(block: int, ids: np.ndarray, f: np.ndarray):
+    """Rows of the pairs of ids side by side in a block (0: not frequent); ``f`` has their
+    frequencies, by whose rank the tiles are laid out."""
     both = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-    a, b, c, which = tile_counts(ids[both] - 1, ids[both + 1] - 1)
+    names, at = np.unique(ids, return_index=True)
+    order = np.argsort(-f[at], kind="stable")
+    rank = np.empty(len(names), np.int64)
+    rank[order] = np.arange(len(names))
+    ranks = rank[np.searchsorted(names, ids)]
+    a, b, c, which = tile_counts(ranks[both], ranks[both + 1])
     seq = np.zeros(max(0, len(ids) - 1), np.int64)
     seq[both] = which + 1
-    return level_rows(LEVEL, {"a": a + 1, "b": b + 1, "c": c}, seq, block=block)
+    return level_rows(LEVEL, {"a": names[order][a], "b": names[order][b], "c": c},
+                      shortened(seq), block=block)
 
 
 def _advance(batches):
-    """From rows (pos, id) of a block's frequent words or pairs, then the block itself."""
-    block, pos, ids = None, [], []
+    """From rows (pos, id, f) of a block's frequent words or pairs, then the block itself."""
+    block, held = None, []
     for batch in batches:
         at = batch.column("block").to_numpy()
         kind = batch.column("kind").to_numpy()
@@ -215,54 +235,51 @@ def _advance(batches):
             if lo == hi:
                 continue
             if at[lo] != block:
-                block, pos, ids = at[lo], [], []
+                block, held = at[lo], []
             if kind[lo] == 0:
-                pos.append(batch.column("pos").slice(lo, hi - lo).to_numpy().copy())
-                ids.append(batch.column("id").slice(lo, hi - lo).to_numpy().copy())
-            elif pos:
-                seq = np.frombuffer(batch.column("seq")[lo].as_py(), np.int32)
-                new = np.zeros(int(seq.max(initial=0)) + 1, np.int64)
-                new[np.concatenate(pos)] = np.concatenate(ids)
-                yield from pair_rows(int(block), new[seq])
+                held.append([batch.column(c).slice(lo, hi - lo).to_numpy().copy()
+                             for c in ("pos", "id", "f")])
+            elif held:
+                pos, ids, f = map(np.concatenate, zip(*held))
+                seq = unpacked(batch.column("seq")[lo].as_py())
+                size = max(int(seq.max(initial=0)), int(pos.max())) + 1
+                new, freq = np.zeros(size, np.int64), np.zeros(size, np.int64)
+                new[pos], freq[pos] = ids, f
+                seq = shortened(np.where(new[seq] > 0, seq, 0))
+                yield from pair_rows(int(block), new[seq], freq[seq])
     given_back()
 
 
 def frequent(level: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
-    """The level's words or pairs with frequency ``f`` of ``least`` and more, in each block.
-    A key has one row a block, so one shuffle both counts them and keeps where they stand."""
-    f = F.sum("c").over(Window.partitionBy(*keys))
-    return materialize(level.filter("seq IS NULL").select("block", "pos", *keys, f.alias("f"))
+    """The level's words or pairs with frequency ``f`` of ``least`` and more, in each block,
+    with an id of their own. A key has one row a block, so one shuffle counts them, names them
+    and keeps where they stand."""
+    dealt = (level.filter("seq IS NULL").select("block", "pos", "c", *keys).repartition(*keys)
+             .withColumn("_at", F.monotonically_increasing_id()))
+    key = Window.partitionBy(*keys)
+    return materialize(dealt.select("block", "pos", *keys, F.sum("c").over(key).alias("f"),
+                                    (F.min("_at").over(key) + 1).alias("id"))
                        .filter(F.col("f") >= least), name)
 
 
-def advance(level: DataFrame, found: DataFrame, keys: list[str], ids: DataFrame) -> DataFrame:
+def table_of(found: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of each frequent word or pair."""
+    return found.groupBy("id", *keys, "f").agg(F.lit(1).alias("_")).drop("_")
+
+
+def advance(level: DataFrame, found: DataFrame) -> DataFrame:
     """The blocks one level up."""
-    rows = found.join(ids.select(*keys, "id"), keys).select(
-        "block", F.lit(0).alias("kind"), "pos", "id", F.lit(None).cast("binary").alias("seq"))
+    rows = found.select("block", F.lit(0).alias("kind"), "pos", "id", "f",
+                        F.lit(None).cast("binary").alias("seq"))
+    none = F.lit(0).cast("long")
     blocks = level.filter("seq IS NOT NULL").select(
-        "block", F.lit(1).alias("kind"), F.lit(0).alias("pos"),
-        F.lit(0).cast("long").alias("id"), "seq")
+        "block", F.lit(1).alias("kind"), F.lit(0).alias("pos"), none.alias("id"),
+        none.alias("f"), "seq")
     return materialize(rows.unionByName(blocks).repartition("block")
                        .sortWithinPartitions("block", "kind").mapInArrow(_advance, LEVEL_SCHEMA),
                        "phrase_level")
 
 
-def ranked(counts: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """``counts`` with ids from 1 by falling ``f``. Rows are range partitioned; each
-    partition's first id follows from the others' sizes, one number each."""
-    rows = materialize(counts.repartitionByRange(F.desc("f"), *keys)
-                       .sortWithinPartitions(F.desc("f"), *keys)
-                       .withColumn("_at", F.monotonically_increasing_id()), f"{name}_ranked")
-    part = F.shiftright("_at", 33)
-    sizes = rows.groupBy(part.alias("_p")).agg((F.max("_at") - F.min("_at") + 1).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("_p", before.alias("_start"))
-    return (rows.join(starts, part == F.col("_p"))
-            .withColumn("id", F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1)
-            .drop("_at", "_p", "_start"))
-
-
 # --- phrases --------------------------------------------------------------------------------
 def wide(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(19,0)")
@@ -306,31 +323,29 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
         return table.select(F.col("id").alias(side), *[F.col(c).alias(n)
                                                        for n, c in names.items()])
 
-    def ids_of(found, keys, name):
-        return ranked(found.groupBy(*keys).agg(F.first("f").alias("f")), keys, name)
-
     there = frequent(level, ["lang", "word"], least, "frequent_words")
-    one = materialize(ids_of(there, ["lang", "word"], "words"), "words")
-    level = advance(level, there, ["lang", "word"], one)
+    one = materialize(table_of(there, ["lang", "word"]), "words")
+    level = advance(level, there)
 
     pair = ["a", "b"]
     there = frequent(level, pair, least, "frequent_pairs")
-    two = materialize(ids_of(there, pair, "pairs")
+    two = materialize(table_of(there, pair)
                       .join(of(one, "a", lang="lang", w1="word", f1="f"), "a")
                       .join(of(one, "b", last="word", f2="f"), "b")
                       .withColumn("phrase", F.concat_ws(" ", "w1", "last")), "pairs")
-    level = advance(level, there, pair, two)
+    level = advance(level, there)
 
     there = frequent(level, pair, least, "frequent_triples")
     three = materialize(
-        ids_of(there, pair, "triples")
+        table_of(there, pair)
         .join(of(two, "a", lang="lang", start="phrase", f1="f1", head="f"), "a")
         .join(of(two, "b", last="last", f2="f2", tail="f"), "b")
         .withColumn("phrase", F.concat_ws(" ", "start", "last")), "triples")
-    level = advance(level, there, pair, three)
+    level = advance(level, there)
 
     four = materialize(
-        frequent(level, pair, least, "frequent_quadruples").select("a", "b", "f").distinct()
+        level.filter("seq IS NULL").groupBy(*pair).agg(F.sum("c").alias("f"))
+        .filter(F.col("f") >= least)
         .join(of(three, "a", lang="lang", start="phrase", f1="f1", head="head", t="f"), "a")
         .join(of(three, "b", last="last", f2="f2", tail="tail", u="f"), "b")
         .withColumn("phrase", F.concat_ws(" ", "start", "last")), "quadruples")
