@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -40,7 +41,7 @@ def build_session(master: str | None = None, app: str = "cardwatch",
     return spark
 
 
-_roots: dict[int, str] = {}
+_roots: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -51,7 +52,7 @@ def shared_root(spark: SparkSession) -> str:
     directory.
     """
     sc = spark.sparkContext
-    cached = _roots.get(id(sc))
+    cached = _roots.get(sc.applicationId)
     if cached:
         return cached
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -69,8 +70,8 @@ def shared_root(spark: SparkSession) -> str:
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
-    _roots[id(sc)] = root.rstrip("/")
-    return _roots[id(sc)]
+    _roots[sc.applicationId] = root.rstrip("/")
+    return _roots[sc.applicationId]
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
@@ -83,24 +84,71 @@ def materialize(df, name: str = "materialized"):
     read it back: lineage is cut (an executor loss re-reads files instead of
     recomputing joins) and every later reader still gets column pruning."""
     path = scratch_path(df.sparkSession, name)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local filesystem checks in tests."""
-    return path[5:] if path.startswith("file:") else path
+_scopes: list[list[str]] = []
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when a Parquet table can be opened at ``path``."""
-    from pyspark.errors import AnalysisException
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """What :func:`materialize` writes inside is removed at the end, also after a failure.
+    For work whose results are stored before it ends."""
+    _scopes.append([])
     try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
+
+
+# --- folders and single lines by Hadoop's file system, from the driver ------------------
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where it does not exist."""
+    fs, p = _hadoop(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a file, or of the first non-empty data file of a folder."""
+    fs, p = _hadoop(spark, path)
+    if fs.getFileStatus(p).isDirectory():
+        files = sorted((str(f.getPath()), f.getLen()) for f in fs.listStatus(p)
+                       if f.isFile() and not f.getPath().getName().startswith(("_", ".")))
+        files = [f for f, size in files if size] or [f for f, _ in files]
+        if not files:
+            return ""
+        fs, p = _hadoop(spark, files[0])
+    java = spark.sparkContext._jvm.java
+    stream = java.io.BufferedReader(java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return (stream.readLine() or "").removeprefix("\ufeff")
+    finally:
+        stream.close()
+
+
+def local_path(path: str) -> str:
+    """Strip a ``file:`` scheme for local filesystem checks in tests."""
+    return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "shared_root", "scratch_path", "table_exists", "materialize",
-           "local_path", "SESSION_DEFAULTS"]
+__all__ = ["build_session", "shared_root", "scratch_path", "scratch_scope", "materialize",
+           "exists", "remove", "names", "first_line", "local_path", "SESSION_DEFAULTS"]

@@ -4,6 +4,7 @@ dimensions, restricted to a business day, de-duplicated."""
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,7 +85,8 @@ def report_view(facts: DataFrame, cards: DataFrame, accounts: DataFrame,
                 day: str | dt.date | None = "latest", history: str = HISTORY_ALL,
                 fio_parts: tuple[str, ...] = ("last_name", "first_name", "patronymic"),
                 distinct: bool = True, broadcast_rows: int | None = None,
-                lookback_days: int = 0) -> DataFrame:
+                lookback_days: int = 0, by: Sequence[str] = (),
+                known: tuple[str, str] | None = None) -> DataFrame:
     """Transactions of one business day with owner and terminal attributes.
 
     Every join is LEFT OUTER, so a transaction with an unknown card, account,
@@ -93,15 +95,21 @@ def report_view(facts: DataFrame, cards: DataFrame, accounts: DataFrame,
     city changed yields one row per distinct city); ``history="as_of"`` joins
     the live version at ``trans_date`` only.
 
+    With ``by`` the view holds several reports at once, told apart by these columns of the
+    facts. ``known = (terminals, facts)`` names two columns of numbers: a terminal row joins
+    the facts whose number is not below its own, so that each report sees the terminal history
+    as it was.
+
     Dimensions are broadcast where the planner or AQE finds them small in bytes, or, with
     ``broadcast_rows``, where a count shows at most so many rows; larger ones are
     shuffle-joined, and AQE splits skewed keys.
     """
     f = restrict_day(facts, day, lookback_days).select(
         "trans_id", "trans_date", "oper_result", "card_num", "amt", "opertype",
-        F.col("terminal").alias("_f_terminal"))
-    t = _versions(terminals, "_t", {"_t_id": "terminal_id",
-                                    "terminal_city": "terminal_city"}, history)
+        F.col("terminal").alias("_f_terminal"), *by,
+        *([F.col(known[1]).alias("_f_known")] if known else []))
+    t = _versions(terminals, "_t", {"_t_id": "terminal_id", "terminal_city": "terminal_city",
+                                    **({"_t_known": known[0]} if known else {})}, history)
     t = broadcast_if_small(t, broadcast_rows)
     if history == HISTORY_ALL:
         owner = owner_dim(cards, accounts, clients, fio_parts=fio_parts)
@@ -119,9 +127,12 @@ def report_view(facts: DataFrame, cards: DataFrame, accounts: DataFrame,
         joined = (f.join(k, _on("card_num", "_k_card", "_k", history), "left")
                    .join(a, _on("_k_account", "_a_account", "_a", history), "left")
                    .join(c, _on("client", "_c_client", "_c", history), "left"))
-    joined = joined.join(t, _on("_f_terminal", "_t_id", "_t", history), "left")
-    out = joined.select(*[F.col(n) for n in VIEW_COLUMNS if n != "account"],
-                        F.col("_a_account").alias("account")).select(*VIEW_COLUMNS)
+    there = _on("_f_terminal", "_t_id", "_t", history)
+    if known:
+        there = there & (F.col("_t_known") <= F.col("_f_known"))
+    joined = joined.join(t, there, "left")
+    out = joined.select(*[F.col(n) for n in VIEW_COLUMNS if n != "account"], *by,
+                        F.col("_a_account").alias("account")).select(*VIEW_COLUMNS, *by)
     if not distinct:
         return out
     # Duplicates are rare (re-delivered rows, version fan-out), so a map-side

@@ -19,28 +19,28 @@ from ..functions import elapsed, seconds, shift_days
 from ..schemas import (CHAIN_LENGTH, EVENT_ACCOUNT, EVENT_BRUTE_FORCE, EVENT_CITIES,
                        EVENT_PASSPORT, GRACE_DAYS, GUESS_OPERTYPES, MAX_CHAIN_SPAN_SECONDS,
                        MAX_CITY_GAP_SECONDS, REPORT_COLUMNS, RESULT_FAIL, RESULT_OK)
-from .joins import broadcast_if_small
 from .windows import with_exact_lags
 
 
-def _earliest(hits: DataFrame) -> DataFrame:
+def _earliest(hits: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per passport: ``_first`` = the earliest hit as a struct."""
     first = F.min(F.struct("trans_date", "trans_id", "fio", "phone")).alias("_first")
-    return hits.groupBy("passport_num").agg(first)
+    return hits.groupBy("passport_num", *by).agg(first)
 
 
-def _report_first(earliest: DataFrame, event_type: str) -> DataFrame:
+def _report_first(earliest: DataFrame, event_type: str, by: Sequence[str] = ()) -> DataFrame:
     return earliest.select(F.col("_first.trans_date").alias("event_dt"),
                            F.col("passport_num").alias("passport"),
                            F.col("_first.fio").alias("fio"),
                            F.col("_first.phone").alias("phone"),
-                           F.lit(event_type).alias("event_type"))
+                           F.lit(event_type).alias("event_type"), *by)
 
 
-def first_per_passport(hits: DataFrame, event_type: str) -> DataFrame:
+def first_per_passport(hits: DataFrame, event_type: str, by: Sequence[str] = ()) -> DataFrame:
     """Earliest hit per passport (ties broken by ``trans_id``); ``fio`` and
-    ``phone`` come from that same row. NULL passports form one group."""
-    return _report_first(_earliest(hits), event_type)
+    ``phone`` come from that same row. NULL passports form one group. ``by``: columns
+    that tell the reports of one view apart, here and in the rules."""
+    return _report_first(_earliest(hits, by), event_type, by)
 
 
 def expired(ts: str, valid_to: str, grace_days: int = GRACE_DAYS):
@@ -52,17 +52,20 @@ def expired(ts: str, valid_to: str, grace_days: int = GRACE_DAYS):
 
 
 def rule_account(view: DataFrame, *, grace_days: int = GRACE_DAYS,
-                 ok: str = RESULT_OK) -> DataFrame:
+                 ok: str = RESULT_OK, by: Sequence[str] = ()) -> DataFrame:
     """A successful operation after the account contract expired."""
     hits = view.filter(expired("trans_date", "valid_to", grace_days)
                        & (F.col("oper_result") == ok))
-    return first_per_passport(hits, EVENT_ACCOUNT)
+    return first_per_passport(hits, EVENT_ACCOUNT, by)
 
 
 def rule_passport(view: DataFrame, blacklist: DataFrame, *, grace_days: int = GRACE_DAYS,
-                  ok: str = RESULT_OK) -> DataFrame:
+                  ok: str = RESULT_OK, by: Sequence[str] = (),
+                  known: tuple[str, str] | None = None) -> DataFrame:
     """Operation with an expired passport (any result), or a successful one with
-    a blacklisted passport. Membership ignores the blacklist entry date.
+    a blacklisted passport. Membership ignores the blacklist entry date. ``known =
+    (blacklist, view)`` names two columns: a listing counts in the reports whose column is not
+    below its own (each day's report knows the passports stored by then).
 
     The earliest hit of the disjunction is the earlier of the two branch
     minima. One per-passport aggregation (map-side partial, so a hot passport
@@ -73,18 +76,22 @@ def rule_passport(view: DataFrame, blacklist: DataFrame, *, grace_days: int = GR
     row = F.struct("trans_date", "trans_id", "fio", "phone")
     lapsed = expired("trans_date", "passport_valid_to", grace_days)
     success = (F.col("oper_result") == ok) & F.col("passport_num").isNotNull()
-    per = (view.filter(lapsed | success).groupBy("passport_num")
+    per = (view.filter(lapsed | success).groupBy("passport_num", *by)
                .agg(F.min(F.when(lapsed, row)).alias("_lapsed"),
                     F.min(F.when(success, row)).alias("_success"))
                .filter(F.col("_lapsed").isNotNull() | F.col("_success").isNotNull()))
-    listed = broadcast_if_small(blacklist.select(F.col("passport_num").alias("_listed"))
-                                .filter(F.col("_listed").isNotNull()).distinct())
+    listed = (blacklist.filter(F.col("passport_num").isNotNull())
+              .groupBy(F.col("passport_num").alias("_listed"))
+              .agg(F.min(known[0] if known else "passport_num").alias("_since")))
+    member = F.col("passport_num") == F.col("_listed")
+    if known:
+        member = member & (F.col("_since") <= F.col(known[1]))
     first = F.least(F.col("_lapsed"),
                     F.when(F.col("_listed").isNotNull(), F.col("_success")))
-    earliest = (per.join(listed, F.col("passport_num") == F.col("_listed"), "left")
-                   .select("passport_num", first.alias("_first"))
+    earliest = (per.join(listed, member, "left")
+                   .select("passport_num", first.alias("_first"), *by)
                    .filter(F.col("_first").isNotNull()))
-    return _report_first(earliest, EVENT_PASSPORT)
+    return _report_first(earliest, EVENT_PASSPORT, by)
 
 
 CITY_LAGS = {"_prev_city": ("terminal_city", 1), "_prev_date": ("trans_date", 1)}
@@ -180,16 +187,19 @@ def fraud_report(view: DataFrame, blacklist: DataFrame, *,
                  max_span_seconds: int = MAX_CHAIN_SPAN_SECONDS,
                  fail: str = RESULT_FAIL, ok: str = RESULT_OK,
                  opertypes: Sequence[str] = GUESS_OPERTYPES,
-                 since=None) -> DataFrame:
+                 since=None, by: Sequence[str] = (),
+                 known: tuple[str, str] | None = None) -> DataFrame:
     """ACCOUNT, PASSPORT, CITIES and BRUTE_FORCE hits as one multiset.
 
     ``since`` (a date, timestamp or Column) reports only hits at or after it;
     earlier view rows then only serve as look-back context (used with a view
-    built with ``lookback_days``).
+    built with ``lookback_days``). ``by`` and ``known``: several reports at once, see
+    :func:`rule_passport`; the look-back never crosses from one to another.
 
     CITIES and BRUTE_FORCE read one shared lagged frame (one window, one
     shuffle), whose few tagged hits are written once."""
-    lagged = with_exact_lags(view, {**CITY_LAGS, **_chain_lag_spec(chain)})
+    lagged = with_exact_lags(view, {**CITY_LAGS, **_chain_lag_spec(chain)},
+                             partition=("account", *by))
     if since is not None:
         start = (since if isinstance(since, Column) else F.lit(since)).cast("timestamp_ntz")
         in_scope = F.col("trans_date") >= start
@@ -204,21 +214,21 @@ def fraud_report(view: DataFrame, blacklist: DataFrame, *,
                               lambda x: x.isNotNull())).alias("_rule")
     tagged = config.materialize(
         lagged.filter(city | guess).select("trans_date", "trans_id", "passport_num", "fio",
-                                           "phone", rule), "rule_hits")
-    cities = first_per_passport(tagged.filter(F.col("_rule") == EVENT_CITIES), EVENT_CITIES)
+                                           "phone", rule, *by), "rule_hits")
+    cities = first_per_passport(tagged.filter(F.col("_rule") == EVENT_CITIES), EVENT_CITIES, by)
     guesses = tagged.filter(F.col("_rule") == EVENT_BRUTE_FORCE).select(
         F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"),
-        "fio", "phone", F.col("_rule").alias("event_type"))
+        "fio", "phone", F.col("_rule").alias("event_type"), *by)
     parts = [
-        rule_account(view, grace_days=grace_days, ok=ok),
-        rule_passport(view, blacklist, grace_days=grace_days, ok=ok),
+        rule_account(view, grace_days=grace_days, ok=ok, by=by),
+        rule_passport(view, blacklist, grace_days=grace_days, ok=ok, by=by, known=known),
         cities,
         guesses,
     ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(*REPORT_COLUMNS)
+    return out.select(*REPORT_COLUMNS, *by)
 
 
 def rule_hit_counts(report: DataFrame) -> DataFrame:

@@ -1,18 +1,25 @@
-"""The daily batch: bootstrap, run_day, backfill, with a ledger and an audit log.
+"""The daily batch: bootstrap, run_days, backfill, with a ledger and an audit log.
 
 Warehouse layout (Parquet, all under one root):
   dim_cards_hist/ dim_accounts_hist/ dim_clients_hist/   written once by bootstrap
-  dim_terminals_hist/version=N/                           one folder per SCD2 merge
+  dim_terminals_hist/delta/version=N/                     what one date changed, see scd2_log
+  dim_terminals_hist/base/version=N/open, closed/         every few versions: the open rows,
+                                                          and those closed since the last base
   fact_transactions/load_dt=.../trans_dt=.../             appended per business date
   fact_passport_blacklist/load_dt=.../
   rep_fraud/load_dt=.../
   rejects/load_dt=.../                                    landing rows that do not parse
   meta_log/                                               audit rows (append)
-  ledger/                                                 one row per finished date
+  ledger/                                                 one row per finished date (append)
 
-Failure model: what a business date D writes goes to folders of its own, replaced as a
-whole (``load_dt=D``, also when the new output is empty), or to a terminal version that no
-ledger row names; D enters the ledger last. A run that dies anywhere is simply re-run.
+:func:`run_days` does any number of dates in one pass: the snapshots of all dates are folded
+into one log, and facts, view and rules are keyed by report day. The number of Spark jobs does
+not depend on the number of dates, and every date's rows are those that one run a date writes.
+
+Failure model: what a business date D writes goes to folders of its own (``load_dt=D``,
+emptied first), or to a terminal version that no ledger row names; the run's dates enter the
+ledger last, in one file. A run that dies anywhere is simply re-run. A base is written after
+that and only counts when it is complete; until then the deltas serve.
 
 A date is pending when all three of its files are there. A late date (earlier than one
 already committed) is merged on top of the current terminal state, adds only passports that
@@ -22,18 +29,23 @@ no other date has stored, and scores its own day.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
-from ..operators import (append_new, first_load, fraud_report, load_transactions,
-                         report_view, scd2_merge, seed_to_hist)
+from ..operators import (append_new, fraud_report, report_view, seed_to_hist, series_log,
+                         state_of)
+from ..operators.facts import TRANSACTION_RENAMES, rename
+from ..operators.scd2_log import is_open
 from ..schemas import (CHAIN_LENGTH, DIM_ACCOUNTS, DIM_CARDS, DIM_CLIENTS, DIM_TERMINALS,
                        FACT_BLACKLIST_STORED, FACT_TRANSACTIONS,
                        FACT_TRANSACTIONS_STORED, GRACE_DAYS, LEDGER,
-                       MAX_CHAIN_SPAN_SECONDS, MAX_CITY_GAP_SECONDS, REP_FRAUD, REP_FRAUD_STORED)
+                       MAX_CHAIN_SPAN_SECONDS, MAX_CITY_GAP_SECONDS, REP_FRAUD,
+                       REP_FRAUD_STORED, TERMINAL_LOG, TERMINAL_STATE)
 from ..sources import landing
 
 TERMINAL_KEY = "terminal_id"
@@ -43,6 +55,8 @@ TERMINAL_ATTRS = ("terminal_type", "terminal_city", "terminal_address")
 @dataclass(frozen=True)
 class Warehouse:
     root: str
+    #: A new base of the terminal history after so many versions.
+    compact_every: int = 32
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -70,17 +84,22 @@ class Warehouse:
 
 
 # --- table io ------------------------------------------------------------------------
-def _replace_day(df: DataFrame, path: str, day, *cols: str) -> None:
-    """Write one day's rows in place of all that its folder holds, also if there are none."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (w.partitionBy(*cols) if cols else w).parquet(f"{path}/load_dt={day}")
+def _append_days(df: DataFrame, path: str, *cols: str) -> None:
+    """Append rows to the folders of their dates (``load_dt``, then ``cols``)."""
+    df.write.mode("append").partitionBy("load_dt", *cols).parquet(path)
+
+
+def _typed_facts(facts: DataFrame, *more: str) -> DataFrame:
+    return facts.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                          for f in FACT_TRANSACTIONS.fields],
+                        F.col("trans_dt").cast("date"), *more)
 
 
 def write_facts(facts: DataFrame, path: str, load_dt) -> None:
-    """Append one load to the fact table, in ``trans_dt`` partitions below its ``load_dt``.
+    """Write one load of the fact table, in ``trans_dt`` partitions below its ``load_dt``.
     A retry replaces that load only; earlier loads (even of the same transactions) stay."""
-    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT_TRANSACTIONS.fields]
-    _replace_day(facts.select(*typed, F.col("trans_dt").cast("date")), path, load_dt, "trans_dt")
+    w = _typed_facts(facts).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    w.partitionBy("trans_dt").parquet(f"{path}/load_dt={load_dt}")
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
@@ -88,7 +107,7 @@ def read_facts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
-    if not config.table_exists(spark, path):
+    if not config.exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
@@ -102,27 +121,99 @@ def audit(spark: SparkSession, wh: Warehouse, rows: list[tuple[str, str]]) -> No
        .coalesce(1).write.mode("append").parquet(wh.meta_log))
 
 
+def commits(spark: SparkSession, wh: Warehouse) -> list:
+    """All rows of the ledger in the order of their commits, one for each date and run."""
+    return sorted(_read(spark, wh.ledger, LEDGER).collect(),
+                  key=lambda r: (r["commit_no"], r["business_date"]))
+
+
 def ledger(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    return _read(spark, wh.ledger, LEDGER)
+    """The last commit of each business date."""
+    rows = _read(spark, wh.ledger, LEDGER)
+    last = F.max_by(F.struct(*rows.columns), "commit_no").alias("r")
+    return rows.groupBy("business_date").agg(last).select("r.*")
+
 
+def _current(rows) -> list:
+    return list({r["business_date"]: r for r in rows}.values())
 
-def terminal_state(spark: SparkSession, wh: Warehouse, day: dt.date) -> tuple[int, int, dt.date]:
-    """(version to merge into, number of the next version, date to take live rows at).
+
+def terminal_state(rows, day: dt.date) -> tuple[int, int]:
+    """(version to merge into, number of the next version), from the ledger's rows.
 
     That is the last committed version, except when the date that made it runs again: then
     its own parent. A late date sees the state of the latest one."""
-    rows = ledger(spark, wh).orderBy(F.desc("terminals_version"), "business_date").collect()
     if not rows:
-        return 0, 1, day
-    top = rows[0]
+        return 0, 1
+    top = min(_current(rows), key=lambda r: (-r["terminals_version"], r["business_date"]))
     again = top["business_date"] == day
-    parent = top["parent_version"] if again else top["terminals_version"]
-    others = [r["business_date"] for r in rows if r["business_date"] != day]
-    return parent or 0, top["terminals_version"] + 1, max([day, *others])
+    return (top["parent_version"] if again else top["terminals_version"],
+            max(r["terminals_version"] for r in rows) + 1)
+
+
+def _chain(rows, version: int) -> set[int]:
+    """A version and all that it was made from."""
+    parent = {r["terminals_version"]: r["parent_version"] for r in rows
+              if r["terminals_version"] != r["parent_version"]}
+    chain = {version}
+    while version in parent:
+        version = parent[version]
+        chain.add(version)
+    return chain
+
+
+def _numbers(spark, path: str, complete: str | None = None) -> list[int]:
+    found = [int(n[8:]) for n in config.names(spark, path) if n.startswith("version=")]
+    return [n for n in found if complete is None
+            or config.exists(spark, f"{path}/version={n}/{complete}/_SUCCESS")]
+
+
+def _bases(spark, wh: Warehouse, chain: set[int]) -> list[int]:
+    """Versions of the chain with a complete base, ascending."""
+    return sorted(chain.intersection(_numbers(spark, f"{wh.terminals}/base", "open")))
+
+
+def _terminal_parts(spark: SparkSession, wh: Warehouse, chain: set[int]):
+    """(open rows of the last base, log since then, versions whose closed rows are stored)."""
+    bases = _bases(spark, wh, chain)
+    root = f"{wh.terminals}/base"
+    base = spark.read.schema(TERMINAL_STATE).parquet(f"{root}/version={bases[-1]}/open")
+    since = sorted(v for v in chain.intersection(_numbers(spark, f"{wh.terminals}/delta"))
+                   if v > bases[-1])
+    delta = f"{wh.terminals}/delta"
+    log = (spark.read.schema(TERMINAL_LOG).option("basePath", delta)
+           .parquet(*[f"{delta}/version={v}" for v in since])
+           if since else spark.createDataFrame([], TERMINAL_LOG))
+    return base, log, [f"{root}/version={v}/closed" for v in bases if v]
+
+
+def _terminals(spark: SparkSession, wh: Warehouse, chain: set[int]) -> DataFrame:
+    base, log, closed = _terminal_parts(spark, wh, chain)
+    state = state_of(base, log, TERMINAL_KEY, TERMINAL_ATTRS).select(*TERMINAL_STATE.fieldNames())
+    return state.unionByName(spark.read.schema(TERMINAL_STATE).parquet(*closed)) if closed else state
 
 
 def terminals_hist(spark: SparkSession, wh: Warehouse, version: int) -> DataFrame:
-    return spark.read.schema(DIM_TERMINALS).parquet(f"{wh.terminals}/version={version}")
+    """The whole terminal history as of a version."""
+    chain = _chain(commits(spark, wh), version)
+    return _terminals(spark, wh, chain).select(*DIM_TERMINALS.fieldNames())
+
+
+def compact(spark: SparkSession, wh: Warehouse, version: int | None = None) -> bool:
+    """Write the base of a version (default: the last committed one): its open rows, and
+    apart from them those closed since the last base, which are never written again. False
+    where it is there. A base that a lost run left incomplete is written anew."""
+    rows = commits(spark, wh)
+    version = terminal_state(rows, None)[0] if version is None else version
+    chain = _chain(rows, version)
+    if version in _bases(spark, wh, chain):
+        return False
+    base, log, _ = _terminal_parts(spark, wh, chain)
+    state = state_of(base, log, TERMINAL_KEY, TERMINAL_ATTRS).select(*TERMINAL_STATE.fieldNames())
+    path = f"{wh.terminals}/base/version={version}"
+    state.filter(~is_open()).write.mode("overwrite").parquet(f"{path}/closed")
+    state.filter(is_open()).write.mode("overwrite").parquet(f"{path}/open")
+    return True
 
 
 # --- bootstrap -----------------------------------------------------------------------
@@ -130,7 +221,8 @@ def bootstrap(spark: SparkSession, wh: Warehouse, cards: DataFrame, accounts: Da
               clients: DataFrame) -> bool:
     """Load the seed tables as first dimension versions and an empty terminal
     history (version 0). Skipped when the warehouse already exists."""
-    if config.table_exists(spark, f"{wh.terminals}/version=0"):
+    empty = f"{wh.terminals}/base/version=0/open"
+    if config.exists(spark, f"{empty}/_SUCCESS"):
         return False
     for seed, path, schema in ((cards, wh.cards, DIM_CARDS),
                                (accounts, wh.accounts, DIM_ACCOUNTS),
@@ -138,8 +230,7 @@ def bootstrap(spark: SparkSession, wh: Warehouse, cards: DataFrame, accounts: Da
         hist = seed_to_hist(seed)
         hist.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]) \
             .write.mode("overwrite").parquet(path)
-    spark.createDataFrame([], DIM_TERMINALS).write.mode("overwrite") \
-        .parquet(f"{wh.terminals}/version=0")
+    spark.createDataFrame([], TERMINAL_STATE).write.mode("overwrite").parquet(empty)
     audit(spark, wh, [("CREATE_DB", "Warehouse folders created")])
     return True
 
@@ -154,97 +245,208 @@ class RuleParams:
     lookback_days: int = 0     # > 0: chains may start on earlier days (not the source's)
 
 
-def run_day(spark: SparkSession, wh: Warehouse, landing_root: str, day: dt.date,
-            params: RuleParams | None = None, close_tombstones: bool = False) -> dict:
-    """Land, merge, append and report one business date (earliest pending first)."""
+def _folders(spark: SparkSession, path: str, schema, days) -> DataFrame:
+    """Rows of some dates, of whose folders alone the files are listed."""
+    there = set(config.names(spark, path))
+    paths = [f"{path}/load_dt={d}" for d in days if f"load_dt={d}" in there]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*paths)
+
+
+def _log_terminals(spark, wh, rows, days, staged, filled, close_tombstones):
+    """Store what the days' snapshots change, one version each; (version, parent) by day, and
+    the last one's chain. An empty snapshot would close every terminal (source bug): its day
+    keeps the version."""
+    version, number = terminal_state(rows, days[0])
+    chain = _chain(rows, version)
+    versions = {d: number + k for k, d in enumerate(d for d in days if d in filled)}
+    if versions:
+        base, log, _ = _terminal_parts(spark, wh, chain)
+        live = state_of(base, log, TERMINAL_KEY, TERMINAL_ATTRS).filter(
+            is_open() & (F.col("deleted_flg") == 0))
+        for v in versions.values():
+            config.remove(spark, f"{wh.terminals}/delta/version={v}")
+        (series_log(live, staged, list(versions), list(versions.values()), TERMINAL_KEY,
+                    TERMINAL_ATTRS, close_tombstones=close_tombstones)
+         .select(*TERMINAL_LOG.fieldNames()).write.mode("append").partitionBy("version")
+         .parquet(f"{wh.terminals}/delta"))
+    out = {}
+    for d in days:
+        out[d] = (versions.get(d, version), version)
+        version = out[d][0]
+    return out, chain.union(versions.values())
+
+
+def _new_passports(spark, wh, staged: DataFrame, days) -> DataFrame:
+    """Rows of the days' blacklists whose passport no other date has stored before: none of
+    the stored ones, and none of the earlier days of this run. NULL passports all count."""
+    known = _read(spark, wh.blacklist, FACT_BLACKLIST_STORED)
+    fresh = append_new(known.filter(~F.col("load_dt").isin(list(days))), staged,
+                       renames=(("passport", "passport_num"), ("date", "entry_dt"),
+                                ("file_date", "load_dt")))
+    if len(days) == 1:
+        return fresh
+    first = (fresh.filter("passport_num IS NOT NULL").groupBy(F.col("passport_num").alias("_p"))
+             .agg(F.min("load_dt").alias("_first")))
+    return (fresh.join(first, F.col("passport_num") == F.col("_p"), "left")
+            .filter(F.col("_p").isNull() | (F.col("load_dt") == F.col("_first")))
+            .drop("_p", "_first"))
+
+
+def _facts_of(spark, wh, zones: dict, versions: dict, lookback: int) -> DataFrame:
+    """Facts of each day's report, with ``report_day``, ``view_day`` and ``_version``.
+
+    The view of a date D is of the latest day in the loads up to D. The ledger knows first and
+    last day of each load, so only the folders of loads and days that a report needs are
+    opened, however many there are."""
+    wanted, pairs = set(), []
+    for d, (version, _) in versions.items():
+        loads = {load: z for load, z in zones.items() if load <= d and z[1]}
+        if not loads:
+            continue
+        top = max(z[1] for z in loads.values())
+        span = [top - dt.timedelta(days=k) for k in range(lookback + 1)]
+        pairs += [(d, top, x, version) for x in span]
+        wanted |= {(load, x) for load, z in loads.items() for x in span if z[0] <= x <= z[1]}
+    there = {load: set(config.names(spark, f"{wh.transactions}/load_dt={load}"))
+             for load in {w[0] for w in wanted}}
+    paths = [f"{wh.transactions}/load_dt={load}/trans_dt={x}" for load, x in sorted(wanted)
+             if f"trans_dt={x}" in there[load]]
+    facts = (spark.read.schema(FACT_TRANSACTIONS_STORED).option("basePath", wh.transactions)
+             .parquet(*paths) if paths else spark.createDataFrame([], FACT_TRANSACTIONS_STORED))
+    of = spark.createDataFrame(pairs, "report_day date, view_day date, _day date, _version int")
+    # A row a report and day of its view, from the driver's own list.
+    return facts.join(F.broadcast(of), (F.col("trans_dt") == F.col("_day"))
+                      & (F.col("load_dt") <= F.col("report_day"))).drop("_day")
+
+
+def run_days(spark: SparkSession, wh: Warehouse, files: dict, days: Sequence[dt.date],
+             params: RuleParams | None = None, close_tombstones: bool = False) -> list[dict]:
+    """Land, merge, append and report business dates, ascending, in one pass. ``files`` has
+    the paths by date and kind. More than one date at once must all be
+    later than the committed ones."""
     params = params or RuleParams()
-    tag = day.strftime("%d%m%Y")
-    log: list[tuple[str, str]] = [("EXTRACT", f"Reading the files of {tag}")]
-
-    # 1. landing files of the date, all of them
-    there = (landing.landing_kinds(spark, landing_root).filter(F.col("file_date") == F.lit(day))
-             .first())
-    missing = sorted(set(landing.KINDS) - set(there["kinds"] if there else ()))
-    if missing:
-        raise FileNotFoundError(f"{tag}: no {', '.join(missing)} file")
-    txn_stg = landing.read_transactions(spark, landing_root, day)
-    term_stg = landing.read_terminals(spark, landing_root, day)
-    bl_stg = landing.read_blacklist(spark, landing_root, day)
-
-    # 2. terminals: SCD2 merge of the committed version into a folder of a new number
-    version, number, live_at = terminal_state(spark, wh, day)
-    hist = terminals_hist(spark, wh, version)
-    n_terminals = term_stg.count()      # a snapshot file: small, read once more
-    if n_terminals == 0:
-        # An empty snapshot would close every terminal (source bug): refuse it.
-        log.append(("SKIP_TERMINALS", "The terminal snapshot is empty and was not applied"))
-        new_version = version
-    else:
-        if version == 0 and hist.isEmpty():
-            merged = first_load(term_stg, TERMINAL_KEY, TERMINAL_ATTRS)
-        else:
-            # Live rows are taken at a business date (the source uses the wall
-            # clock): a re-run then reproduces the same version.
-            merged = scd2_merge(hist, term_stg, TERMINAL_KEY, TERMINAL_ATTRS,
-                                snapshot_date=day, as_of=live_at,
-                                close_tombstones=close_tombstones)
-        new_version = number
-        merged.select(*DIM_TERMINALS.fieldNames()).write.mode("overwrite") \
-            .parquet(f"{wh.terminals}/version={new_version}")
+    for d in days:
+        if missing := sorted(set(landing.KINDS) - set(files.get(d, ()))):
+            raise FileNotFoundError(f"{landing.tag(d)}: no {', '.join(missing)} file")
+    with config.scratch_scope(spark):
+        return _run_days(spark, wh, files, list(days), params, close_tombstones)
+
+
+def _run_days(spark, wh, files, days, params, close_tombstones) -> list[dict]:
+    rows = commits(spark, wh)
+    txn, term, bl = ([p for d in days for p in files[d][k]] for k in landing.KINDS)
+    for path in (wh.transactions, wh.rejects, wh.blacklist, wh.report):
+        for d in days:
+            config.remove(spark, f"{path}/load_dt={d}")
+
+    # 1. the snapshots' sizes by date
+    terminals = landing.read_terminals(spark, "", paths=term)
+    passports = landing.stamped_blacklist(spark, "", bl)
+    staged = {(r["kind"], r["file_date"]): r["n"] for r in
+              terminals.select(F.lit("terminals").alias("kind"), "file_date")
+              .unionAll(passports.select(F.lit("passports"), "file_date"))
+              .groupBy("kind", "file_date").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    # 2. terminals: the dates' changes, one version each
+    filled = {d for d in days if staged.get(("terminals", d))}
+    versions, chain = _log_terminals(spark, wh, rows, days, terminals, filled, close_tombstones)
 
     # 3. blacklist: only passports that no other date has stored
-    known = _read(spark, wh.blacklist, FACT_BLACKLIST_STORED)
-    known = known.filter(F.col("load_dt") != F.lit(day))
-    _replace_day(append_new(known, bl_stg), wh.blacklist, day)
+    _append_days(_new_passports(spark, wh, passports, days), wh.blacklist)
 
     # 4. transactions: typed append, no de-duplication; rows without a time belong to no
     #    day and are only kept apart
-    write_facts(load_transactions(txn_stg.filter("transaction_date IS NOT NULL")),
-                wh.transactions, day)
-    _replace_day(landing.rejected_transactions(spark, landing_root, day), wh.rejects, day)
-
-    def rows_of(path):  # counted in what was written
-        stored = spark.read.schema("load_dt date").parquet(path)
-        return stored.filter(F.col("load_dt") == F.lit(day)).count()
-
-    n_txn, n_new, n_rejects = (rows_of(x) for x in (wh.transactions, wh.blacklist, wh.rejects))
-    log += [("EXTRACT", f"Staged passports: {bl_stg.count()}"),
-            ("EXTRACT", f"Staged terminals: {n_terminals}"),
-            ("EXTRACT", f"Staged transactions: {n_txn}"),
-            ("EXTRACT", f"Rows that do not parse: {n_rejects}"),
-            ("TRANSFORM", f"Stored, with {n_new} new passports")]
-
-    # 5. report view of the latest business day, materialised once in the shared
-    #    scratch folder (cuts lineage; four rules read it), then the rules.
-    facts = read_facts(spark, wh.transactions).filter(F.col("load_dt") <= F.lit(day))
-    view = report_view(facts, spark.read.parquet(wh.cards), spark.read.parquet(wh.accounts),
-                       spark.read.parquet(wh.clients),
-                       terminals_hist(spark, wh, new_version), day="latest",
-                       lookback_days=params.lookback_days)
-    view = config.materialize(view, f"report_view/{tag}")
-    blacklist = _read(spark, wh.blacklist, FACT_BLACKLIST_STORED).filter(
-        F.col("load_dt") <= F.lit(day))
-    report = fraud_report(view, blacklist, grace_days=params.grace_days,
-                          max_gap_seconds=params.max_gap_seconds, chain=params.chain,
-                          max_span_seconds=params.max_span_seconds,
-                          since=(view.select(F.max(F.to_date("trans_date"))).scalar()
-                                 if params.lookback_days else None))
-    report = report.select(*[F.col(c) for c in REP_FRAUD.fieldNames() if c != "report_dt"],
-                           F.localtimestamp().alias("report_dt"))
-    _replace_day(report, wh.report, day)
-
-    # 6. audit counts per rule (at most four rows reach the driver), then ledger
-    counts = {r["event_type"]: r["hits"] for r in _read(spark, wh.report, REP_FRAUD_STORED)
-              .filter(F.col("load_dt") == F.lit(day)).groupBy("event_type")
-              .agg(F.count(F.lit(1)).alias("hits")).collect()}
-    for et, n in sorted(counts.items()):
-        log.append((f"!! {et} FRAUD !!", f"{et}: {n} report rows"))
+    staging = landing.read_transactions(spark, "", paths=txn)
+    loads = rename(staging.filter("transaction_date IS NOT NULL"),
+                   [*TRANSACTION_RENAMES, ("file_date", "load_dt")])
+    loads = loads.withColumn("trans_dt", F.to_date("trans_date"))
+    _append_days(_typed_facts(loads, "load_dt"), wh.transactions, "trans_dt")
+    _append_days(landing.rejected_transactions(spark, "", paths=txn)
+                 .withColumnRenamed("file_date", "load_dt"), wh.rejects)
+    stored = [_folders(spark, p, schema, days).select(F.lit(k).alias("kind"), "load_dt",
+                                                      (F.col("trans_dt") if k == "facts" else
+                                                       F.lit(None).cast("date")).alias("t"))
+              for k, p, schema in (("facts", wh.transactions, FACT_TRANSACTIONS_STORED),
+                                   ("passports", wh.blacklist, FACT_BLACKLIST_STORED),
+                                   ("rejects", wh.rejects, "load_dt date"))]
+    sizes = {(r["kind"], r["load_dt"]): r for r in reduce(DataFrame.unionAll, stored)
+             .groupBy("kind", "load_dt").agg(F.count(F.lit(1)).alias("n"),
+                                             F.min("t").alias("lo"), F.max("t").alias("hi"))
+             .collect()}
+
+    def size(kind, d):
+        return sizes[kind, d]["n"] if (kind, d) in sizes else 0
+
+    # 5. report views of the latest business day as of each date, materialised once in the
+    #    shared scratch folder (cuts lineage; four rules read it), then the rules.
+    zones = {r["business_date"]: (r["first_dt"], r["last_dt"]) for r in _current(rows)}
+    zones |= {d: (z["lo"], z["hi"]) if (z := sizes.get(("facts", d))) else (None, None)
+              for d in days}
+    by = ("report_day", "view_day")
+    view = config.materialize(report_view(
+        _facts_of(spark, wh, zones, versions, params.lookback_days),
+        spark.read.schema(DIM_CARDS).parquet(wh.cards),
+        spark.read.schema(DIM_ACCOUNTS).parquet(wh.accounts),
+        spark.read.schema(DIM_CLIENTS).parquet(wh.clients),
+        _terminals(spark, wh, chain), day=None, by=by, known=("version", "_version")),
+        "report_view")
+    report = fraud_report(view, _read(spark, wh.blacklist, FACT_BLACKLIST_STORED),
+                          grace_days=params.grace_days, max_gap_seconds=params.max_gap_seconds,
+                          chain=params.chain, max_span_seconds=params.max_span_seconds,
+                          since=F.col("view_day") if params.lookback_days else None,
+                          by=by, known=("load_dt", "report_day"))
+    _append_days(report.select(*[F.col(c) for c in REP_FRAUD.fieldNames() if c != "report_dt"],
+                               F.localtimestamp().alias("report_dt"),
+                               F.col("report_day").alias("load_dt")), wh.report)
+
+    # 6. audit counts per date and rule, then the ledger: one file for all dates of the run
+    hits = {}
+    for r in (_folders(spark, wh.report, REP_FRAUD_STORED, days).groupBy("load_dt", "event_type")
+              .agg(F.count(F.lit(1)).alias("n")).collect()):
+        hits.setdefault(r["load_dt"], {})[r["event_type"]] = r["n"]
+    log, done, results = [], [], []
+    commit = max((r["commit_no"] for r in rows), default=0) + 1
+    now = dt.datetime.now()
+    for d in days:
+        version, parent = versions[d]
+        mine = hits.get(d, {})
+        log += [("EXTRACT", f"Reading the files of {landing.tag(d)}")]
+        if d not in filled:
+            log += [("SKIP_TERMINALS", "The terminal snapshot is empty and was not applied")]
+        log += [("EXTRACT", f"Staged passports: {staged.get(('passports', d), 0)}"),
+                ("EXTRACT", f"Staged terminals: {staged.get(('terminals', d), 0)}"),
+                ("EXTRACT", f"Staged transactions: {size('facts', d)}"),
+                ("EXTRACT", f"Rows that do not parse: {size('rejects', d)}"),
+                ("TRANSFORM", f"Stored, with {size('passports', d)} new passports")]
+        log += [(f"!! {e} FRAUD !!", f"{e}: {n} report rows") for e, n in sorted(mine.items())]
+        done.append((version, parent, now, d, commit, *zones[d], size("facts", d)))
+        results.append({"date": d, "terminals_version": version, "hits": mine,
+                        "transactions": size("facts", d), "passports": size("passports", d),
+                        "rejects": size("rejects", d)})
     audit(spark, wh, log)
-    (spark.createDataFrame([(new_version, version)], "terminals_version int, parent_version int")
-     .select("*", F.localtimestamp().alias("processed_at"))
-     .write.mode("overwrite").parquet(f"{wh.ledger}/business_date={day}"))
-    return {"date": day, "terminals_version": new_version, "hits": counts,
-            "transactions": n_txn, "passports": n_new, "rejects": n_rejects}
+    spark.createDataFrame(done, LEDGER).coalesce(1).write.mode("append").parquet(wh.ledger)
+
+    # 7. a new base of the terminal history, every few versions
+    if sum(v > max(_bases(spark, wh, chain)) for v in chain) >= wh.compact_every:
+        compact(spark, wh)
+    return results
+
+
+def _paths(files: DataFrame) -> dict:
+    """Paths by date and kind: three rows a date."""
+    out: dict = {}
+    for r in files.orderBy("file_date", "kind", "path").collect():
+        out.setdefault(r["file_date"], {}).setdefault(r["kind"], []).append(r["path"])
+    return out
+
+
+def run_day(spark: SparkSession, wh: Warehouse, landing_root: str, day: dt.date,
+            params: RuleParams | None = None, close_tombstones: bool = False) -> dict:
+    """Land, merge, append and report one business date."""
+    files = landing.landing_files(spark, landing_root).filter(F.col("file_date") == F.lit(day))
+    return run_days(spark, wh, _paths(files), [day], params, close_tombstones)[0]
 
 
 def pending_dates(spark: SparkSession, wh: Warehouse, landing_root: str) -> DataFrame:
@@ -263,12 +465,23 @@ def waiting_dates(spark: SparkSession, wh: Warehouse, landing_root: str) -> Data
 
 
 def backfill(spark: SparkSession, wh: Warehouse, landing_root: str,
-             params: RuleParams | None = None, max_days: int | None = None) -> list[dict]:
-    """Process pending dates one at a time, earliest first (SCD2 order matters).
-    The landing folder is listed once a run; only dates come to the driver."""
+             params: RuleParams | None = None, max_days: int | None = None,
+             days_at_once: int | None = None, close_tombstones: bool = False) -> list[dict]:
+    """Process the pending dates, earliest first: late ones one by one, then all others in one
+    pass (or ``days_at_once`` a pass). The landing folder is listed once a run; only dates
+    and their files' paths come to the driver."""
     audit(spark, wh, [("--BEGIN--", "Run started")])
-    days = [r["file_date"] for r in pending_dates(spark, wh, landing_root).collect()]
-    results = [run_day(spark, wh, landing_root, day, params) for day in days[:max_days]]
+    stored = ledger(spark, wh).select(F.col("business_date").alias("file_date"))
+    files = _paths(landing.landing_files(spark, landing_root)
+                   .join(stored, "file_date", "left_anti"))
+    days = [d for d in sorted(files) if len(files[d]) == len(landing.KINDS)][:max_days]
+    newest = stored.agg(F.max("file_date")).first()[0] if days else None
+    runs = [[d] for d in days if newest and d < newest]
+    rest = days[len(runs):]
+    step = days_at_once or max(1, len(rest))
+    runs += [rest[k:k + step] for k in range(0, len(rest), step)]
+    results = [r for run in runs
+               for r in run_days(spark, wh, files, run, params, close_tombstones)]
     if not results:
         audit(spark, wh, [("NO_FILES", "No date is pending")])
     audit(spark, wh, [("--FINISH--", f"Run ended after {len(results)} dates")])

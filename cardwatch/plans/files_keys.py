@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import day_of
 from ..operators import load_transactions
-from ..schemas import REP_FRAUD_STORED
+from ..schemas import LEDGER, REP_FRAUD_STORED
 from ..sources import fixtures as fx
 from ..sources import landing
 from . import daily as pipeline
@@ -84,9 +84,11 @@ def q_pending_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("business_date").alias("_day")), root, landing.BLACKLIST, "_day")
     done = (days
             .filter(F.col("business_date") <= F.lit(dt.date(2024, 1, 10))))
-    done.select(F.lit(0).alias("terminals_version"), F.lit(0).alias("parent_version"),
-                F.localtimestamp().alias("processed_at"),
-                "business_date").write.partitionBy("business_date").parquet(wh.ledger)
+    known = {"processed_at": F.localtimestamp(), "business_date": F.col("business_date")}
+    done.select(*[known.get(f.name, F.lit(0)).cast(f.dataType).alias(f.name)
+                  if f.name not in ("first_dt", "last_dt")
+                  else F.col("business_date").alias(f.name) for f in LEDGER.fields]
+                ).write.parquet(wh.ledger)
     return pipeline.pending_dates(spark, wh, root)
 
 

@@ -74,6 +74,12 @@ DIM_CLIENTS = _struct(
     ("phone", S), *SCD2_FIELDS)
 DIM_TERMINALS = _struct(("terminal_id", S), ("terminal_type", S), ("terminal_city", S),
                         ("terminal_address", S), *SCD2_FIELDS)
+# The terminal history as it is stored: rows with the version that made them, and the log of
+# what a version changes.
+TERMINAL_STATE = extend(DIM_TERMINALS, ("version", I))
+TERMINAL_LOG = _struct(("terminal_id", S), ("terminal_type", S), ("terminal_city", S),
+                       ("terminal_address", S), ("version", I), ("kind", S), ("at", TS),
+                       ("deleted_flg", I))
 
 FACT_BLACKLIST = _struct(("passport_num", S), ("entry_dt", D))
 FACT_TRANSACTIONS = _struct(
@@ -88,8 +94,11 @@ REP_FRAUD = _struct(("event_dt", TS), ("passport", S), ("fio", S), ("phone", S),
 # Column names of the audit table and the report view are fixed values, too.
 META_LOG = _struct(("event_dt", TS), ("event_type", S), ("event_desription", S))
 REP_FRAUD_STORED = extend(REP_FRAUD, ("load_dt", D))
+# One row a commit of a business date; first_dt, last_dt and loaded: days and number of the
+# transactions that it stored.
 LEDGER = _struct(("terminals_version", I), ("parent_version", I), ("processed_at", TS),
-                 ("business_date", D))
+                 ("business_date", D), ("commit_no", I), ("first_dt", D), ("last_dt", D),
+                 ("loaded", T.LongType()))
 
 REPORT_COLUMNS = ("event_dt", "passport", "fio", "phone", "event_type")
 VIEW_COLUMNS = ("trans_id", "trans_date", "oper_result", "card_num", "amt", "opertype",
