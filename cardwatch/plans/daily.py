@@ -265,7 +265,7 @@ def _log_terminals(spark, wh, rows, days, staged, filled, close_tombstones):
         base, log, _ = _terminal_parts(spark, wh, chain)
         live = state_of(base, log, TERMINAL_KEY, TERMINAL_ATTRS).filter(
             is_open() & (F.col("deleted_flg") == 0))
-        for v in versions.values():
+        for v in set(versions.values()).intersection(_numbers(spark, f"{wh.terminals}/delta")):
             config.remove(spark, f"{wh.terminals}/delta/version={v}")
         (series_log(live, staged, list(versions), list(versions.values()), TERMINAL_KEY,
                     TERMINAL_ATTRS, close_tombstones=close_tombstones)
@@ -338,8 +338,8 @@ def _run_days(spark, wh, files, days, params, close_tombstones) -> list[dict]:
     rows = commits(spark, wh)
     txn, term, bl = ([p for d in days for p in files[d][k]] for k in landing.KINDS)
     for path in (wh.transactions, wh.rejects, wh.blacklist, wh.report):
-        for d in days:
-            config.remove(spark, f"{path}/load_dt={d}")
+        for left in {f"load_dt={d}" for d in days}.intersection(config.names(spark, path)):
+            config.remove(spark, f"{path}/{left}")
 
     # 1. the snapshots' sizes by date
     terminals = landing.read_terminals(spark, "", paths=term)

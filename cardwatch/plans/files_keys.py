@@ -126,7 +126,8 @@ def seeds(spark: SparkSession, sf_dir: str):
             accounts.select(F.col("account").cast("string"), "valid_to",
                             F.col("client").cast("string"), created, nodate),
             clients.select(F.col("client_id").cast("string"), "last_name", "first_name",
-                           F.lit(None).cast("string").alias("patronymic"),
+                           F.when(F.col("client_id") % 4 != 0,
+                                  F.concat(F.lit("of "), F.col("first_name"))).alias("patronymic"),
                            F.lit(None).cast("date").alias("date_of_birth"),
                            "passport_num", "passport_valid_to", "phone", created, nodate))
 
