@@ -3,8 +3,8 @@ one task.
 
 A plain ``Window.partitionBy(account)`` sends every row of an account to one
 task; the NULL account (all unknown cards) or one busy merchant account can
-hold a large share of a day. :func:`with_exact_lags` splits only such hot keys
-(by row count, into time buckets) and stitches the bucket borders, giving
+hold a large share of a day. :func:`with_exact_lags` numbers the rows of such
+keys across tasks and runs the window over equal runs of numbers, giving
 exactly the lags of the unsplit window. :func:`with_lags` is the plain window,
 kept as the baseline the split version is tested against.
 """
@@ -17,8 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import broadcast
 
-from ..functions import epoch_second
-
 
 def total_order(df: DataFrame, order: Sequence[str]) -> list[str]:
     """``order``, then every other column: rows that tie (one transaction in several
@@ -36,13 +34,11 @@ def with_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
 
 
 # --- exact look-back for any distance, hot keys split ----------------------------------
-# A key with more rows than this (per call) is split into time buckets of about
-# this many rows each. Override with `cardwatch.window.hotRows`.
+# A key with more rows than this (per call) is split into runs of this many rows.
+# Override with `cardwatch.window.hotRows`.
 DEFAULT_HOT_ROWS = 2_000_000
 HOT_ROWS_CONF = "cardwatch.window.hotRows"
-# Buckets are cut at quantiles of a key's timestamps, chosen among this many (more where a
-# key has more than half as many buckets). Up to BROADCAST_KEYS hot keys are broadcast.
-QUANTILES = 1024
+# Up to so many hot keys are broadcast.
 BROADCAST_KEYS = 1000
 
 
@@ -51,117 +47,81 @@ def _hot_rows(df: DataFrame) -> int:
     return int(value) if value is not None else DEFAULT_HOT_ROWS
 
 
+def numbered(df: DataFrame, order: Sequence[str], name: str, parts: int) -> DataFrame:
+    """``df`` with ``_number``: 0, 1, 2, ... by ``order`` over all tasks.
+
+    Rows are range partitioned and sorted by the whole order (and a salt, so that equal rows
+    part, too) and written once; a row's number is its place in its partition plus the sizes of
+    the partitions before, one number each."""
+    from .. import config
+    salted = df.withColumn("_salt", F.monotonically_increasing_id())
+    rows = config.materialize(
+        salted.repartitionByRange(parts, *order, "_salt").sortWithinPartitions(*order, "_salt")
+        .drop("_salt").withColumn("_at", F.monotonically_increasing_id()), name)
+    task = F.shiftright("_at", 33)
+    sizes = rows.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_task", F.coalesce(before, F.lit(0)).alias("_start"))
+    # One row a partition: at most ``parts``.
+    return (rows.join(broadcast(starts), task == F.col("_task"))
+            .withColumn("_number", F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1))
+            .drop("_at", "_task", "_start"))
+
+
 def with_exact_lags(df: DataFrame, lags: dict[str, tuple[str | Column, int]], *,
                     partition: Sequence[str] = ("account",),
                     order: Sequence[str] = ("trans_date", "trans_id"),
-                    ts: str = "trans_date", hot_rows: int | None = None) -> DataFrame:
+                    hot_rows: int | None = None) -> DataFrame:
     """``lag`` columns identical to an unsplit ``Window.partitionBy(partition)``,
     without sending a hot key to one task.
 
-    1. A pre-aggregated count per key finds hot keys (more than ``hot_rows``
-       rows); only those are split into time buckets of ~``hot_rows`` rows,
-       cut at approximate timestamp quantiles so buckets hold similar row
-       counts even when a key's rows come in a burst.
-       The hot-key table is broadcast behind a count of its rows; when that count
-       is zero the plain window is used (every key is then one group).
-    2. Lags are computed inside each (key, bucket); every other key is one
-       group, so for it nothing else happens.
-    3. Only the first K rows of a hot bucket (K = largest offset) can look
-       past the bucket start. The last K rows of every hot bucket form a small
-       "tails" table (K rows per bucket, independent of how many rows a bucket
-       has); a lag over the tails gives, for each bucket, the K rows just
-       before it, and those patch the first K rows.
+    1. Where the frame has no more than ``hot_rows`` rows, or a pre-aggregated count per key
+       finds no hot key (more than that), the plain window is used; so it is for all other
+       keys. The hot-key table is broadcast behind a count of its rows.
+    2. The rows of hot keys get numbers by (key, order) across tasks: a burst, one second or
+       NULL times are split like anything else.
+    3. One window runs over each run of ``hot_rows`` numbers. The last K rows of a run
+       (K = largest offset) are copied to the next as context, and a lag that would reach into
+       another key's rows is NULL.
     """
     hot = hot_rows or _hot_rows(df)
     order = total_order(df, order)
-    k = max(off for _, off in lags.values())
     part = list(partition)
-    sources: dict[str, Column] = {}
-    lag_src: dict[str, tuple[str, int]] = {}
-    for name, (c, off) in lags.items():
-        col = F.col(c) if isinstance(c, str) else c
-        key = f"_src_{len(sources)}"
-        for kk, vv in sources.items():
-            if str(vv) == str(col):
-                key = kk
-                break
-        sources.setdefault(key, col)
-        lag_src[name] = (key, off)
-
-    base = df.select("*", *[c.alias(n) for n, c in sources.items()],
-                     epoch_second(ts).alias("_sec"))
-    stats = (base.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-                 .filter(F.col("_n") > hot)
-                 .select(*[F.col(c).alias(f"_h_{c}") for c in part],
-                         F.ceil(F.col("_n") / hot).cast("int").alias("_parts")))
-    from .. import config
-    n_hot, most = stats.agg(F.count(F.lit(1)), F.max("_parts")).first()
+    if df.count() <= hot:
+        return with_lags(df, lags, partition=part, order=order)
+    keys = (df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot)
+              .select(*[F.col(c).alias(f"_h_{c}") for c in part], "_n"))
+    n_hot, n_rows = keys.agg(F.count(F.lit(1)), F.sum("_n")).first()
     if n_hot == 0:
-        # Measured: no key is hot, every key is one group -> the plain window
-        # is already exact and balanced.
         return with_lags(df, lags, partition=part, order=order)
-    # Hot keys are few (at most rows / hot_rows): written once to the shared
-    # scratch folder, so the aggregation is not recomputed by the joins below.
-    stats = config.materialize(stats, "hot_keys")
+    from .. import config
+    # Hot keys are few (at most rows / hot_rows): written once, so the count is not repeated.
+    keys = config.materialize(keys.drop("_n"), "hot_keys")
     on = None
     for c in part:
         e = F.col(c).eqNullSafe(F.col(f"_h_{c}"))
         on = e if on is None else on & e
-    few = broadcast if n_hot <= BROADCAST_KEYS else (lambda df: df)
-    # Row-balanced buckets: each hot key is cut at approximate quantiles of its timestamps
-    # (a mergeable sketch, partially aggregated, over the hot rows only), so a burst inside
-    # a short time span is split too. Of all quantiles a key keeps one for each cut.
-    n_cuts = max(QUANTILES, 2 * most)
-    quantiles = (base.join(few(stats), on, "left_semi").groupBy(*part)
-                     .agg(F.percentile_approx("_sec", [i / n_cuts for i in range(1, n_cuts)],
-                                              max(10000, 2 * n_cuts)).alias("_q"))
-                     .select(*[F.col(c).alias(f"_q_{c}") for c in part], "_q"))
-    q_on = None
-    for c in part:
-        e = F.col(f"_h_{c}").eqNullSafe(F.col(f"_q_{c}"))
-        q_on = e if q_on is None else q_on & e
-    bounds = F.transform(F.sequence(F.lit(1), F.col("_parts") - 1), lambda j: F.get(
-        "_q", F.floor(j * F.lit(n_cuts) / F.col("_parts")).cast("int") - 1))
-    stats = config.materialize(
-        stats.join(quantiles, q_on, "left").select(
-            *[f"_h_{c}" for c in part], F.lit(True).alias("_split"), bounds.alias("_bounds")),
-        "hot_bounds")
-    # Buckets are a monotone function of the second, so each bucket is a
-    # contiguous run of the key's order (NULL timestamps sort into the first).
-    bucket = F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_sec")))
-    tagged = (base.join(few(stats), on, "left")
-                  .withColumn("_hot", F.col("_split").isNotNull())
-                  .withColumn("_bucket", F.when(F.col("_bounds").isNull(), F.lit(0))
-                                          .otherwise(bucket))
-                  .drop(*[f"_h_{c}" for c in part], "_split", "_bounds"))
-    w = Window.partitionBy(*part, "_bucket").orderBy(*order)
-    rows = tagged.select(
-        "*", *[F.lag(src, off).over(w).alias(name) for name, (src, off) in lag_src.items()],
-        F.row_number().over(w).alias("_rn"),
-        F.count(F.lit(1)).over(Window.partitionBy(*part, "_bucket")).alias("_cnt"))
-
-    is_head = F.col("_hot") & (F.col("_rn") <= k)
-    tails = rows.filter(F.col("_hot") & (F.col("_rn") > F.col("_cnt") - k)).select(
-        *part, "_bucket", *order, *sources)
-    wt = Window.partitionBy(*part).orderBy("_bucket", *order)
-    wb = Window.partitionBy(*part, "_bucket").orderBy(*order)
-    ctx_cols = [F.lag(src, j).over(wt).alias(f"_ctx{src}_{j}")
-                for src in sources for j in range(1, k + 1)]
-    ctx = (tails.select(*[F.col(c).alias(f"_x_{c}") for c in part],
-                        F.col("_bucket").alias("_x_bucket"),
-                        F.row_number().over(wb).alias("_trn"), *ctx_cols)
-                .filter(F.col("_trn") == 1).drop("_trn"))
-    on = F.col("_bucket").eqNullSafe(F.col("_x_bucket"))
-    for c in part:
-        on = on & F.col(c).eqNullSafe(F.col(f"_x_{c}"))
-    head = rows.filter(is_head).join(ctx, on, "left")
-    fixed = []
-    for name, (src, off) in lag_src.items():
-        ctx_arr = F.array(*[F.col(f"_ctx{src}_{j}") for j in range(1, k + 1)])
-        fixed.append(F.when(F.col("_rn") > off, F.col(name))
-                      .otherwise(F.element_at(ctx_arr, (F.lit(off) - F.col("_rn") + 1).cast("int")))
-                      .alias(name))
-    keep = [c for c in rows.columns if c not in lag_src]
-    head = head.select(*keep, *fixed)
-    out = rows.filter(~is_head).unionByName(head.select(*rows.columns))
-    return out.drop(*sources, "_sec", "_hot", "_bucket", "_rn", "_cnt")
+    few = broadcast(keys) if n_hot <= BROADCAST_KEYS else keys
+    cold = with_lags(df.join(few, on, "left_anti"), lags, partition=part, order=order)
+
+    k = max(off for _, off in lags.values())
+    size = max(hot, k)
+    parts = max(-(-n_rows // size),
+                int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = numbered(df.join(few, on, "left_semi"), [*part, *order], "hot_rows", parts)
+    run = F.floor(F.col("_number") / size)
+    context = (F.col("_number") % size) >= size - k
+    dealt = (rows.withColumn("_run", run)
+             .withColumn("_for", F.explode(F.when(context, F.array("_run", F.col("_run") + 1))
+                                           .otherwise(F.array("_run")))))
+    w = Window.partitionBy("_for").orderBy("_number")
+    same = {}
+    for off in {off for _, off in lags.values()}:
+        cond = F.lag("_number", off).over(w).isNotNull()
+        for c in part:
+            cond = cond & F.lag(c, off).over(w).eqNullSafe(F.col(c))
+        same[off] = cond
+    hot_part = (dealt.select("*", *[F.when(same[off], F.lag(c, off).over(w)).alias(name)
+                                    for name, (c, off) in lags.items()])
+                .filter(F.col("_for") == F.col("_run")).select(*cold.columns))
+    return cold.unionByName(hot_part)

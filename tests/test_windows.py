@@ -66,21 +66,44 @@ def test_exact_lags_with_hot_key_split_equal_plain_window(spark):
         assert sorted(tuple(r) for r in got.select(*cols).collect()) == want
 
 
-def test_bursts_many_buckets_and_many_hot_keys_stay_exact(spark, monkeypatch):
+def test_bursts_one_second_and_equal_rows_stay_exact(spark, monkeypatch):
     import cardwatch.operators.windows as wmod
-    rows = []
     t0 = dt.datetime(2024, 1, 1, 12)
-    for i in range(600):      # a burst: 540 rows inside two minutes, the rest over a day
-        sec = i % 120 if i < 540 else (i * 97) % 86400
-        rows.append(dict(trans_id=f"{i:05d}", trans_date=t0 + dt.timedelta(seconds=sec),
-                         account="HOT", passport_num="P", amt=i % 13, oper_result="SUCCESS"))
+    rows = []
+    for i in range(900):      # 300 rows in a burst, 300 in one second, 300 without a time
+        when = (t0 + dt.timedelta(seconds=i % 60) if i < 300 else t0 if i < 600 else None)
+        for account in ("HOT", "WARM")[:1 + (i % 3 == 0)]:
+            rows.append(dict(trans_id=f"{i // 4:05d}", trans_date=when, account=account,
+                             passport_num="P", amt=i % 13 if i % 5 else 1,
+                             oper_result="SUCCESS", terminal_city="AB"[i % 2]))
     v = view_rows(spark, rows)
     lags = {"p1": ("amt", 1), "p3": ("amt", 3), "d2": ("trans_date", 2)}
-    cols = ["trans_id", *lags]
-    want = sorted(tuple(r) for r in with_lags(v, lags).select(*cols).collect())
-    got = with_exact_lags(v, lags, hot_rows=50)
-    assert sorted(tuple(r) for r in got.select(*cols).collect()) == want
+    cols = ["trans_id", "account", "amt", "terminal_city", *lags]
+
+    def listed(df):
+        return sorted((tuple(map(str, r)) for r in df.select(*cols).collect()))
+
+    want = listed(with_lags(v, lags))
+    assert listed(with_exact_lags(v, lags, hot_rows=50)) == want
+    assert listed(with_exact_lags(v, lags, hot_rows=1)) == want      # 1,200 runs, copied on
     monkeypatch.setattr(wmod, "BROADCAST_KEYS", 0)
-    monkeypatch.setattr(wmod, "QUANTILES", 4)   # fewer than the buckets of the key
-    got = with_exact_lags(v, lags, hot_rows=20)
-    assert sorted(tuple(r) for r in got.select(*cols).collect()) == want
+    assert listed(with_exact_lags(v, lags, hot_rows=310)) == want
+
+
+def test_numbers_follow_the_order_over_all_tasks(spark):
+    from cardwatch.operators.windows import numbered
+    df = spark.createDataFrame([(k * 7919 % 1000 // 2,) for k in range(1000)], "x int")
+    got = numbered(df.repartition(7), ["x"], "numbered", 5).collect()
+    assert sorted(r["_number"] for r in got) == list(range(1000))
+    assert [r["x"] for r in sorted(got, key=lambda r: r["_number"])] == sorted(
+        r["x"] for r in got)
+
+
+def test_hot_keys_take_one_window_over_runs(spark):
+    v = random_view(spark, n=800, seed=3).cache()
+    split = with_exact_lags(v, {"p": ("amt", 1)}, hot_rows=100)
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [lag") == 2          # other accounts, and runs of the hot ones
+    whole = with_exact_lags(v, {"p": ("amt", 1)}, hot_rows=10**6)
+    assert whole._jdf.queryExecution().optimizedPlan().toString().count("Window [lag") == 1
+    v.unpersist()
