@@ -80,6 +80,67 @@ def owner_dim(cards: DataFrame, accounts: DataFrame, clients: DataFrame, *,
              .drop("_k_account", "_c_client"))
 
 
+def _intervals(dim: DataFrame, key: str, keep: dict[str, Column | str]) -> DataFrame:
+    """The live versions of each key as one array of (from, until, ...), ``until`` exclusive (a
+    version that ends at 23:59:59 holds that whole second)."""
+    cols = [F.col("effective_from").alias("from"),
+            (F.col("effective_to") + F.expr("INTERVAL 1 SECOND")).alias("until"),
+            *[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in keep.items()]]
+    rows = dim.filter("deleted_flg = 0").select(F.col(key).alias("_key"), F.struct(*cols).alias("v"))
+    return (rows.filter("_key IS NOT NULL AND v.from < v.until").groupBy("_key")
+            .agg(F.collect_list("v").alias("_versions")))
+
+
+def _intersect(left: DataFrame, key: str, right: DataFrame, name: str) -> DataFrame:
+    """Every row of ``left``, valid in [_from, _until), cut along the versions that its key has
+    on the right: a row for each version it meets, with their common time and the version as
+    ``name``, and one for each stretch without a version, where ``name`` is NULL."""
+    joined = left.join(right, F.col(key) == F.col("_key"), "left")
+    kind = right.schema["_versions"].dataType.elementType.simpleString()
+    piece = f"STRUCT<from: timestamp_ntz, until: timestamp_ntz, v: {kind}>"
+    met = f"""array_sort(transform(
+        filter(coalesce(_versions, CAST(array() AS ARRAY<{kind}>)),
+               v -> v.from < _until AND v.until > _from),
+        v -> CAST(struct(greatest(v.from, _from), least(v.until, _until), v) AS {piece})))"""
+    state = f"STRUCT<at: timestamp_ntz, gaps: ARRAY<{piece}>>"
+    gaps = f"""aggregate(_met, CAST(struct(_from, array()) AS {state}),
+        (acc, p) -> CAST(struct(greatest(acc.at, p.until), IF(p.from > acc.at,
+            concat(acc.gaps, array(CAST(struct(acc.at, p.from, NULL) AS {piece}))), acc.gaps))
+            AS {state}),
+        acc -> IF(acc.at < _until,
+            concat(acc.gaps, array(CAST(struct(acc.at, _until, NULL) AS {piece}))), acc.gaps))"""
+    keep = [c for c in left.columns if c not in ("_from", "_until")]
+    return (joined.withColumn("_met", F.expr(met))
+            .select(*keep, F.explode(F.concat("_met", F.expr(gaps))).alias("_p"))
+            .select(*keep, F.col("_p.from").alias("_from"), F.col("_p.until").alias("_until"),
+                    F.col("_p.v").alias(name)))
+
+
+def owner_as_of(cards: DataFrame, accounts: DataFrame, clients: DataFrame, *,
+                fio_parts: tuple[str, ...] = ("last_name", "first_name", "patronymic")
+                ) -> DataFrame:
+    """Card -> account -> client attributes with the time in which they hold together, keyed by
+    ``_k_card`` and valid in [_from, _until): the validities of the three are intersected
+    dimension-side, so the fact is joined once. Versions that overlap give a row each, times
+    without an account or client version rows with NULL attributes, as three LEFT joins by
+    transaction time do."""
+    k = (cards.filter("deleted_flg = 0")
+         .select(F.col("card_num").alias("_k_card"), F.col("account").alias("_k_account"),
+                 F.col("effective_from").alias("_from"),
+                 (F.col("effective_to") + F.expr("INTERVAL 1 SECOND")).alias("_until"))
+         .filter("_from < _until"))
+    a = _intervals(accounts, "account", {"_a_account": "account", "valid_to": "valid_to",
+                                         "client": "client"})
+    c = _intervals(clients, "client_id", {
+        "passport_num": "passport_num", "passport_valid_to": "passport_valid_to",
+        "fio": full_name(*fio_parts), "phone": "phone"})
+    with_account = _intersect(k, "_k_account", a, "_a").select(
+        "_k_card", "_from", "_until", "_a._a_account", "_a.valid_to", "_a.client")
+    return _intersect(with_account, "client", c, "_c").select(
+        "_k_card", "_from", "_until", "_a_account", "valid_to", "client", "_c.passport_num",
+        "_c.passport_valid_to", "_c.fio", "_c.phone")
+
+
 def report_view(facts: DataFrame, cards: DataFrame, accounts: DataFrame,
                 clients: DataFrame, terminals: DataFrame, *,
                 day: str | dt.date | None = "latest", history: str = HISTORY_ALL,
@@ -116,17 +177,11 @@ def report_view(facts: DataFrame, cards: DataFrame, accounts: DataFrame,
         owner = broadcast_if_small(owner, broadcast_rows)
         joined = f.join(owner, F.col("card_num") == F.col("_k_card"), "left")
     else:
-        k = _versions(cards, "_k", {"_k_card": "card_num", "_k_account": "account"}, history)
-        a = _versions(accounts, "_a", {"_a_account": "account", "valid_to": "valid_to",
-                                       "client": "client"}, history)
-        c = _versions(clients, "_c", {"_c_client": "client_id",
-                                      "passport_num": "passport_num",
-                                      "passport_valid_to": "passport_valid_to",
-                                      "fio": full_name(*fio_parts), "phone": "phone"}, history)
-        k, a, c = (broadcast_if_small(x, broadcast_rows) for x in (k, a, c))
-        joined = (f.join(k, _on("card_num", "_k_card", "_k", history), "left")
-                   .join(a, _on("_k_account", "_a_account", "_a", history), "left")
-                   .join(c, _on("client", "_c_client", "_c", history), "left"))
+        owner = broadcast_if_small(owner_as_of(cards, accounts, clients, fio_parts=fio_parts),
+                                   broadcast_rows)
+        joined = f.join(owner, (F.col("card_num") == F.col("_k_card"))
+                        & (F.col("trans_date") >= F.col("_from"))
+                        & (F.col("trans_date") < F.col("_until")), "left")
     there = _on("_f_terminal", "_t_id", "_t", history)
     if known:
         there = there & (F.col("_t_known") <= F.col("_f_known"))

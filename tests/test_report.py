@@ -110,3 +110,66 @@ def test_fraud_report_is_invariant_to_input_partitioning(spark):
     got = sorted(tuple(r) for r in fraud_report(v.repartition(7).sortWithinPartitions("amt"),
                                                 bl, max_span_seconds=7200).collect())
     assert got == want and len(want) > 0
+
+
+# --- as-of: one fact join against three -------------------------------------------------------
+def as_of_by_three_joins(facts, cards, accounts, clients):
+    """Plain nested LEFT joins by transaction time, in Python."""
+    def live(rows, key, when):
+        return [r for r in rows if key is not None and r[0] == key and r[-1] == 0
+                and r[-3] <= when and when - dt.timedelta(seconds=1) < r[-2]] or [None]
+    out = []
+    for tid, when, card in facts:
+        for k in live(cards, card, when):
+            for a in live(accounts, k and k[1], when):
+                for c in live(clients, a and a[2], when):
+                    out.append((tid, a and a[0], a and a[1], a and a[2], c and c[1]))
+    return sorted(out, key=str)
+
+
+def test_as_of_with_overlapping_touching_and_missing_versions(spark):
+    import random
+
+    from cardwatch.operators.report import owner_as_of, report_view
+    r = random.Random(12)
+    t0, end = dt.datetime(2024, 1, 1), dt.datetime(9999, 12, 31, 23, 59, 59)
+    day = dt.timedelta(days=1)
+
+    def versions(key, attrs):
+        rows, at = [], r.randint(0, 3)
+        for _ in range(r.randint(0, 4)):
+            until = at + r.randint(0, 4)
+            to = end if r.random() < 0.2 else t0 + until * day - dt.timedelta(seconds=1)
+            rows.append((key, *attrs(), t0 + at * day, to, int(r.random() < 0.1)))
+            at = until + r.choice([-1, 0, 0, 1])       # overlap, touch or leave a hole
+        return rows
+
+    maybe = lambda x: None if r.random() < 0.1 else x
+    cards = [v for k in range(30) for v in versions(f"C{k}", lambda: (maybe(f"A{r.randint(0, 9)}"),))]
+    accounts = [v for k in range(10) for v in versions(
+        f"A{k}", lambda: (dt.date(2024, 1, r.randint(1, 28)), maybe(f"P{r.randint(0, 5)}")))]
+    clients = [v for k in range(6) for v in versions(f"P{k}", lambda: (f"pass{r.randint(0, 99)}",))]
+    clients += clients[:2]                              # a version that stands twice
+    facts = [(f"t{n}", t0 + dt.timedelta(hours=r.randint(0, 300)), maybe(f"C{r.randint(0, 31)}"))
+             for n in range(400)]
+    facts += [(f"e{n}", t0 + n * day - dt.timedelta(microseconds=m), f"C{n % 9}")
+              for n in range(12) for m in (0, 1, 999_999, 1_000_001)]
+    scd = "effective_from timestamp_ntz, effective_to timestamp_ntz, deleted_flg int"
+    f = spark.createDataFrame([(a, b, c, None) for a, b, c in facts],
+                              "trans_id string, trans_date timestamp_ntz, card_num string, "
+                              "terminal string").selectExpr(
+        "*", "'SUCCESS' AS oper_result", "CAST(1 AS DECIMAL(12,2)) AS amt", "'PAYMENT' AS opertype")
+    k = spark.createDataFrame(cards, f"card_num string, account string, {scd}")
+    a = spark.createDataFrame(accounts, f"account string, valid_to date, client string, {scd}")
+    c = spark.createDataFrame(clients, f"client_id string, passport_num string, {scd}").selectExpr(
+        "*", "CAST(NULL AS DATE) AS passport_valid_to", "'n' AS last_name", "'p' AS phone")
+    t = spark.createDataFrame([], f"terminal_id string, terminal_city string, {scd}")
+    got = report_view(f, k, a, c, t, day=None, history="as_of", fio_parts=("last_name",),
+                      distinct=False)
+    rows = sorted(((x["trans_id"], x["account"], x["valid_to"], x["client"], x["passport_num"])
+                   for x in got.collect()), key=str)
+    assert rows == as_of_by_three_joins(facts, cards, accounts, clients)
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Join LeftOuter") == 4            # two between dimensions, owner, terminal
+    empty = owner_as_of(k.limit(0), a, c, fio_parts=("last_name",))
+    assert empty.count() == 0
