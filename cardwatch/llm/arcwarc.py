@@ -17,11 +17,14 @@ Defined cases: null html is an empty payload; a null url becomes ``-``; white sp
 control characters in urls are percent-encoded, as header lines need. Of equal payloads the
 smallest page id is the response; rows that repeat that id are responses too, as are rows of
 a payload that only null ids have. An empty table makes no file. Other columns are not read.
+
+Archives that exist are converted by :func:`convert_files`, also gzipped ones.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import re
@@ -33,7 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, materialize, new_file, open_fs, scratch_path
+from .common import (batches_of, materialize, new_file, open_fs, record_batch,
+                     scratch_path)
 
 #: Fixed values of the two formats.
 V1_FIELDS = "URL IP-address Archive-date Content-type Archive-length"
@@ -47,6 +51,8 @@ DATE = "20240101000000"
 FILE_BYTES = 64 << 20
 GZIP_LEVEL = 1
 READ_BYTES = 64 << 10
+#: Tasks that read files, at most; more files are shared out among them.
+READ_TASKS = 10_000
 
 MANIFEST = pa.schema([("path", pa.string()), ("records", pa.int64())])
 ROW = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()),
@@ -78,9 +84,33 @@ def arc_record(url: str, body: bytes, version: int = 1, mime: str = "text/html",
     return " ".join([*line, str(len(body))]).encode() + b"\n" + body + b"\n"
 
 
+#: URL (old crawlers left spaces in it), IP address, date, and the rest of a header line.
+LINE = re.compile(r"(.*?) ((?:\d{1,3}\.){3}\d{1,3}|[0-9A-Fa-f:]*:[0-9A-Fa-f:.]*|-) (\d{4,14}) (.*)",
+                  re.S)
+
+
+def header_fields(text: str, names: list[str]) -> dict:
+    """The fields of a header line: URL, IP address and date from the left, those after the
+    content type from the right, so that the type may hold spaces
+    (``text/html; charset=utf-8``), as may the URL."""
+    if (m := LINE.fullmatch(text)) and names[:3] == V1_FIELDS.split(" ")[:3]:
+        rest = m[4].rsplit(" ", len(names) - 4)
+        if len(rest) == len(names) - 3:
+            return dict(zip(names, [m[1], m[2], m[3], *rest]))
+    return dict(zip(names, text.rsplit(" ", len(names) - 1)))
+
+
+def plain_arc(stream):
+    """The stream itself, or what it unpacks to where it is an ``.arc.gz``, whose records are
+    gzip members one after the other."""
+    stream = io.BufferedReader(stream) if not hasattr(stream, "peek") else stream
+    return gzip.GzipFile(fileobj=stream) if stream.peek(2)[:2] == b"\x1f\x8b" else stream
+
+
 def read_arc(stream):
-    """(fields by name, body) of each document of an ARC stream, of either version."""
-    names = None
+    """(fields by name, body) of each document of an ARC stream, of either version, plain or
+    gzipped. The version block names the fields; where it doesn't, its number tells them."""
+    names, stream = None, plain_arc(stream)
     while True:
         line = stream.readline()
         if not line:
@@ -95,10 +125,11 @@ def read_arc(stream):
         if names is None:
             if not text.startswith("filedesc://"):
                 raise ValueError("an ARC file starts with a version block")
-            version = int(body.split(b" ", 1)[0])
-            names = {1: V1_FIELDS, 2: V2_FIELDS}[version].split(" ")
+            own = body.decode("utf-8", "replace").splitlines()
+            names = own[1].split() if len(own) > 1 and own[1].startswith("URL ") else \
+                {1: V1_FIELDS, 2: V2_FIELDS}[int(body.split(b" ", 1)[0])].split(" ")
             continue
-        yield dict(zip(names, text.rsplit(" ", len(names) - 1))), body
+        yield header_fields(text, names), body
 
 
 # --- WARC --------------------------------------------------------------------------------
@@ -298,10 +329,57 @@ def write(df: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "u
                                        "path string, records long"), "warc_manifest")
 
 
+def _convert_files(folder, file_bytes):
+    def run(batches):
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                source, at = open_fs(path)
+                stem = re.sub(r"\.arc(\.gz)?$", "", at.rsplit("/", 1)[-1])
+                out, size, records, name = None, 0, 0, None
+                with source.open_input_stream(at, compression=None) as raw:
+                    for nth, (fields, body) in enumerate(read_arc(raw)):
+                        if out is None:
+                            name = new_file(folder, stem, ".warc.gz")
+                            fs, to = open_fs(name)
+                            out, size, records = fs.open_output_stream(to, compression=None), 0, 0
+                        # Two documents of one archive never share an identifier.
+                        data = gzipped(to_warc(fields, body, record_id(path, nth)))
+                        out.write(data)
+                        size, records = size + len(data), records + 1
+                        if size >= file_bytes:
+                            out.close()
+                            yield record_batch(MANIFEST, [name], [records])
+                            out = None
+                if out is not None:
+                    out.close()
+                    yield record_batch(MANIFEST, [name], [records])
+    return run
+
+
+def convert_files(archives: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Convert existing ARC files (``.arc`` or ``.arc.gz``, column ``path``) to WARC files in
+    ``folder``, an archive a task, a document in memory at a time; returns the manifest,
+    written as a table. Null paths are left out; a repeated path is converted once."""
+    batches_of(archives.sparkSession)
+    fs, at = open_fs(folder)
+    fs.create_dir(at, recursive=True)
+    paths = materialize(archives.select("path").filter("path IS NOT NULL").distinct(),
+                        "arc_paths")
+    return materialize(one_a_task(paths).mapInArrow(_convert_files(folder, file_bytes),
+                                                    "path string, records long"),
+                       "warc_manifest")
+
+
+def one_a_task(files: DataFrame) -> DataFrame:
+    """The files (column ``path``) over as many tasks as there are files, up to READ_TASKS. The
+    number is stated, so that paths, being short, are not put together into one task."""
+    return files.repartitionByRange(min(max(1, files.count()), READ_TASKS), "path")
+
+
 def read(manifest: DataFrame) -> DataFrame:
     """Every record of the manifest's files, with its payload checked."""
     batches_of(manifest.sparkSession)
-    return manifest.repartition("path").mapInArrow(
+    return one_a_task(manifest).mapInArrow(
         _read, "page_id long, payload_bytes long, payload_digest string, record_type string, "
                "refers_to long, target_uri string")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -66,12 +67,13 @@ def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
 
 def open_fs(uri: str):
     """(filesystem, path) of a URI in the shared folder: file, hdfs, s3, gs as pyarrow
-    supports them, so that tasks can write and read single files there."""
+    supports them, so that tasks can write and read single files there. Hadoop's names of the
+    S3 scheme are pyarrow's ``s3``."""
     if "://" not in uri and not uri.startswith("file:"):
         return pafs.LocalFileSystem(), uri
     if uri.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-    return pafs.FileSystem.from_uri(uri)
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
 
 
 def new_file(folder: str, stem: str, suffix: str) -> str:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import collections
+import gzip
+import io
 import random
 import re
 
@@ -10,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cardwatch.llm import phrases, tokencounts, whitening
+from cardwatch.llm import arcwarc, common, phrases, tokencounts, whitening
 from cardwatch.llm.wordtokens import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -244,3 +246,61 @@ def test_scores_beyond_64_bits(spark):
     df = spark.createDataFrame([(big, big, big + 5)], "f long, l long, r long")
     (got,) = df.select(*phrases.lowest_cut([("l", "r"), ("r", "l")])).collect()
     assert got["score"] == 2_000_000 * big // (2 * big + 5) and got["l"] == big
+
+
+# --- archives that exist --------------------------------------------------------------------
+def test_header_lines_with_spaces_and_fields_of_their_own():
+    html = "text/html; charset=utf-8"
+    for version in (1, 2):
+        stream = arcwarc.arc_start("a.arc", version) + arcwarc.arc_record(
+            "http://x.org/a b", b"one", version, html, "20010203040506", "1.2.3.4") \
+            + arcwarc.arc_record("dns:x.org", b"two", version, "text/dns")
+        (first, body), (second, _) = arcwarc.read_arc(io.BytesIO(stream))
+        assert (first["URL"], first["IP-address"], first["Archive-date"], first["Content-type"],
+                first["Archive-length"], body) == (
+            "http://x.org/a b", "1.2.3.4", "20010203040506", html, "3", b"one")
+        assert (second["URL"], second["Content-type"]) == ("dns:x.org", "text/dns")
+        packed = io.BytesIO(gzip.compress(stream[:40]) + gzip.compress(stream[40:]))
+        assert [b for _, b in arcwarc.read_arc(packed)] == [b"one", b"two"]
+    body = b"1 0 other\nURL IP-address Archive-date Archive-length\n"
+    own = b"filedesc://o 0.0.0.0 20010101 text/plain %d\n" % len(body) + body \
+        + b"\nhttp://y.org/ 5.6.7.8 20020101000000 4\nbody\n"
+    ((fields, got),) = arcwarc.read_arc(io.BytesIO(own))
+    assert fields == {"URL": "http://y.org/", "IP-address": "5.6.7.8",
+                      "Archive-date": "20020101000000", "Archive-length": "4"} and got == b"body"
+
+
+def test_existing_archives_convert_an_archive_a_task(spark, tmp_path):
+    want = collections.Counter()
+    for k in range(12):
+        data = arcwarc.arc_start(f"{k}.arc", 1 + k % 2)
+        for n in range(k):
+            text = f"<p>{k} {n % 3}</p>".encode()
+            http = b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n" % len(text)
+            data += arcwarc.arc_record(f"http://h{k}/", http + text, 1 + k % 2, "text/html; a=b")
+            want[arcwarc.digest(text)] += 1
+        (tmp_path / f"{k}.arc{'.gz' if k % 3 == 0 else ''}").write_bytes(
+            gzip.compress(data) if k % 3 == 0 else data)
+    paths = [(str(p),) for p in sorted(tmp_path.iterdir())]
+    df = spark.createDataFrame([*paths, (None,), paths[5]], "path string")
+    manifest = arcwarc.convert_files(df, common.scratch_path(spark, "converted"), file_bytes=900)
+    rows = arcwarc.read(manifest)
+    assert rows.rdd.getNumPartitions() == manifest.count() > 12
+    got = rows.collect()
+    assert collections.Counter(r["payload_digest"] for r in got) == want
+    ids = set()
+    for (path,) in manifest.select("path").collect():
+        fs, at = common.open_fs(path)
+        with fs.open_input_stream(at, compression=None) as f:
+            ids |= {arcwarc.parse_warc(r)[0]["WARC-Record-ID"] for r in arcwarc.read_members(f)}
+    assert len(ids) == len(got) == sum(range(12))
+    assert arcwarc.convert_files(df.limit(0), common.scratch_path(spark, "none")).count() == 0
+
+
+def test_hadoop_names_of_s3(monkeypatch):
+    seen = []
+    fake = type("F", (), {"from_uri": staticmethod(seen.append)})
+    monkeypatch.setattr(common.pafs, "FileSystem", fake)
+    for scheme in ("s3a", "s3n", "s3", "hdfs"):
+        common.open_fs(f"{scheme}://b/x")
+    assert seen == ["s3://b/x", "s3://b/x", "s3://b/x", "hdfs://b/x"]
