@@ -1,8 +1,9 @@
 """URL filter by rules and by trust that spreads along links between hosts.
 
 Rules of host and path allow or block some urls; the longest fitting rule wins. Hosts with
-allowed pages are trusted seeds and hosts with blocked pages distrusted ones, each by their
-number of pages. Personalised PageRank carries trust from the trusted seeds along links, and
+allowed pages are trusted seeds and hosts with blocked pages distrusted ones, each with a mass
+of 1 in all, shared out by its own pages, so that no verdict depends on how many other seeds
+there are. Personalised PageRank carries trust from the trusted seeds along links, and
 distrust from the blocked seeds against them (who links to a blocked host is suspect). A url
 without a rule is blocked where distrust is more than ``max_share`` of its host's trust and
 distrust together.
@@ -11,7 +12,7 @@ Edges are the distinct pairs of different hosts with the number of links between
 ``href`` and ``src`` of any case, with a scheme or protocol-relative (``//host``), so the
 iteration moves hosts, not pages. Every few rounds the ranks are written to the shared folder
 and compared with those before: it ends when each graph's have changed by less than ``TOLERANCE``
-in total and no host's by more than ``HOST_TOLERANCE`` of itself, since verdicts compare the small
+of their sum and no host's by more than ``HOST_TOLERANCE`` of itself, since verdicts compare the small
 ranks of far hosts. So every host that links reach has a rank, however far.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and no rule,
@@ -34,7 +35,7 @@ from .common import materialize
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
          ("allow", "com/fr/"), ("block", "com/de/"))
 DAMPING, MAX_SHARE = 0.85, 0.9
-#: The ranks have settled below these: total change of a graph's ranks (whose sum is at most 1),
+#: The ranks have settled below these: total change of a graph's ranks as a share of their sum,
 #: and change of a host's rank as a share of it.
 TOLERANCE, HOST_TOLERANCE = 1e-12, 1e-6
 #: After so many rounds the total change is below TOLERANCE in any graph.
@@ -87,16 +88,16 @@ def settled(last: DataFrame, rank: DataFrame) -> bool:
     both = rank.join(last.withColumnRenamed("rank", "last"), ["graph", "host"], "left")
     change = F.abs(F.col("rank") - F.coalesce("last", F.lit(0.0)))
     rows = both.groupBy("graph").agg(
-        F.sum(change).alias("total"),
+        F.sum(change).alias("total"), F.sum("rank").alias("mass"),
         F.max(F.when(F.col("rank") > 0, change / F.col("rank"))).alias("host")).collect()
-    return all(r["total"] < TOLERANCE and (r["host"] or 0.0) <= HOST_TOLERANCE for r in rows)
+    return all(r["total"] <= TOLERANCE * r["mass"] and (r["host"] or 0.0) <= HOST_TOLERANCE for r in rows)
 
 
 def page_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING) -> DataFrame:
     """Personalised PageRank of several graphs at once.
 
-    ``edges``: (graph, src, dst, n); ``seeds``: (graph, host, mass), of which each graph's
-    sum to 1. Returns (graph, host, rank). The rank of a host without links ends there.
+    ``edges``: (graph, src, dst, n); ``seeds``: (graph, host, mass). Returns (graph, host,
+    rank). The rank of a host without links ends there.
     """
     out = edges.groupBy("graph", "src").agg(F.sum("n").alias("total"))
     e = materialize(edges.join(out, ["graph", "src"]).select(
@@ -120,12 +121,12 @@ def page_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING) -> D
 def host_verdicts(ruled: DataFrame, edges: DataFrame, max_share: float = MAX_SHARE,
                   **kw) -> DataFrame:
     """(host, trust, distrust, blocked) of every host that a seed reaches."""
-    counts = (ruled.filter("ruled IS NOT NULL").groupBy("host", "ruled")
-              .agg(F.count("*").alias("n")))
-    total = counts.groupBy("ruled").agg(F.sum("n").alias("total"))  # two rows
-    seeds = materialize(counts.join(F.broadcast(total), "ruled").select(
-        F.col("ruled").alias("graph"), "host", (F.col("n") / F.col("total")).alias("mass")),
-        "link_seeds")
+    own = ruled.filter("ruled IS NOT NULL").groupBy("host").agg(
+        *[F.avg((F.col("ruled") == g).cast("double")).alias(g) for g in ("allow", "block")])
+    masses = F.explode(F.array(*[F.struct(F.lit(g).alias("graph"), F.col(g).alias("mass"))
+                                 for g in ("allow", "block")])).alias("s")
+    seeds = materialize(own.select("host", masses).select("s.graph", "host", "s.mass")
+                        .filter("mass > 0"), "link_seeds")
     both = edges.select(F.lit("allow").alias("graph"), "src", "dst", "n").unionByName(
         edges.select(F.lit("block").alias("graph"), F.col("dst").alias("src"),
                      F.col("src").alias("dst"), "n"))

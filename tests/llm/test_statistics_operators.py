@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cardwatch.llm import arcwarc, common, phrases, tokencounts, whitening
+from cardwatch.llm import arcwarc, common, linkgraph, phrases, tokencounts, whitening
 from cardwatch.llm.wordtokens import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -304,3 +304,20 @@ def test_hadoop_names_of_s3(monkeypatch):
     for scheme in ("s3a", "s3n", "s3", "hdfs"):
         common.open_fs(f"{scheme}://b/x")
     assert seen == ["s3://b/x", "s3://b/x", "s3://b/x", "hdfs://b/x"]
+
+
+# --- link graph -------------------------------------------------------------------------------
+def test_verdicts_do_not_depend_on_unrelated_seeds(spark):
+    links = "".join(f'<a href="http://n{k}.net/">' for k in range(50))
+    pages = [("http://h.com/fr/1", ""), ("http://h.com/x", links + '<a href="http://bad.com/de/">'),
+             ("http://bad.com/de/1", ""), ("http://bad.com/y", ""), ("http://n3.net/", ""),
+             ("http://spam.net/", '<a href="http://bad.com/de/1">')]
+    seen = set()
+    for n in (0, 2, 300):
+        more = [(f"http://u{k}.org/", "") for k in range(n)] + [
+            (f"http://v{k}.com/de/", "") for k in range(n // 3)]
+        df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages + more)],
+                                   "page_id long, url string, html string")
+        got = linkgraph.judge(df).filter(f"page_id < {len(pages)}").collect()
+        seen.add(tuple(r["verdict"] for r in sorted(got)))
+    assert seen == {("allow", "allow", "block", "block", "allow", "block")}
