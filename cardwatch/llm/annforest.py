@@ -38,13 +38,21 @@ SEED = 11
 SPARE = 16
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Rows divided by a power of two near their largest entry, which is exact and changes no
+    cosine; squares of very large or small entries then neither over- nor underflow. (Entries
+    2^-1000 times the largest may become zero; they are nothing to the cosine.)"""
+    _, e = np.frexp(np.abs(v).max(axis=1, keepdims=True))
+    return np.ldexp(v, -e)
+
+
 class Forest:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, trees: int = TREES,
                  bits: int = BITS, share: float = SHARE):
         """``vectors``: float64 rows, finite and not zero."""
         whole = vectors.view(f"V{vectors.shape[1] * 8}").ravel()
         _, first, entry = np.unique(whole, return_index=True, return_inverse=True)
-        self.vectors = vectors[first]
+        self.vectors = scaled(vectors[first])
         self.norms = np.sqrt((self.vectors * self.vectors).sum(axis=1))
         self.unit = (self.vectors / self.norms[:, None]).astype(np.float32)
         order = np.lexsort((ids, entry))  # each entry's ids, ascending
@@ -92,6 +100,7 @@ class Forest:
 
     def search(self, query_id: int, q: np.ndarray, key: np.ndarray, k: int):
         """(id, score) of the k nearest found, nearest first, ties to smaller ids."""
+        q = scaled(q[None])[0]
         unit = (q / np.sqrt((q * q).sum())).astype(np.float32)
         cand = self.candidates(key, query_id, k)
         near = self.unit[cand] @ unit
@@ -141,6 +150,7 @@ def _search(k, trees, bits, share):
                     continue
                 if forest is None:
                     forest = Forest(np.concatenate(ids), np.concatenate(vecs), trees, bits, share)
+                part = scaled(part)
                 unit = (part / np.sqrt((part * part).sum(axis=1, keepdims=True)))
                 keys = forest.keys(unit.astype(np.float32))
                 for j in range(b - a):

@@ -27,7 +27,11 @@ EMBED = 8
 #: windows of each text.
 TEXTS_PER_LANG = 1500
 WINDOWS_PER_TEXT = 3
-EPOCHS = 6
+#: Passes over the sample, and steps of the optimiser at least: a small sample is passed more
+#: often, so that the network is trained alike at every size.
+EPOCHS, STEPS = 6, 600
+#: Labelled texts of each language, about, that calibrate the score (see `calibrated`).
+CALIBRATION_TEXTS = 150
 #: Windows scored at once (bounds memory for very long texts).
 BLOCK = 512
 HASH_RANGE = 1 << 30
@@ -37,14 +41,15 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def training_windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     lang_col: str = "lang", texts_per_lang: int = TEXTS_PER_LANG):
-    """Windows of a bounded, repeatable sample of the labelled rows not held out.
+def sampled_windows(df: DataFrame, held: bool, texts_per_lang: int, id_col: str = "doc_id",
+                    text_col: str = "text", lang_col: str = "lang"):
+    """(windows, label) of a bounded, repeatable sample of the labelled rows, held out or not.
 
     A row is taken by the hash of its id, with a share that gives each language about
     ``texts_per_lang`` rows; from it, windows at places spread over the whole text.
     """
-    rows = df.filter(~held_out(id_col) & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull()
+    side = held_out(id_col) if held else ~held_out(id_col)
+    rows = df.filter(side & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull()
                      & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("y"))
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -58,8 +63,13 @@ def training_windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.lit(WINDOW)).alias(f"p{k}") for k in range(WINDOWS_PER_TEXT)]
     got = (rows.filter(wanted).select("i", "y", h.alias("h"), *parts)
            .orderBy("h", "i", "p0").limit(2 * texts_per_lang * max(1, len(counts))).collect())
-    return [(r[f"p{k}"].encode(), r["y"]) for r in got for k in range(WINDOWS_PER_TEXT)
-            if r[f"p{k}"]]
+    return [([r[f"p{k}"] for k in range(WINDOWS_PER_TEXT) if r[f"p{k}"]], r["y"]) for r in got]
+
+
+def training_windows(df: DataFrame, texts_per_lang: int = TEXTS_PER_LANG, **cols):
+    """(bytes, label) of the windows of labelled rows that are not held out."""
+    return [(w.encode("utf-8", "surrogatepass"), y)
+            for windows, y in sampled_windows(df, False, texts_per_lang, **cols) for w in windows]
 
 
 def to_windows(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -72,56 +82,71 @@ def to_windows(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return x.reshape(n, WINDOW), used
 
 
-def train(samples, epochs: int = EPOCHS, seed: int = 7) -> dict:
-    """Fit the network to (bytes, label) pairs with Adam; returns its parameters."""
+def started(labels: list, seed: int) -> tuple[dict, np.random.Generator]:
+    """Random parameters of a network for so many labels."""
+    rng = np.random.default_rng(seed)
+    p = {"E": rng.normal(0, 0.5, (256, EMBED)), "b": np.zeros(len(labels)),
+         "V": rng.normal(0, 0.2, (len(WIDTHS) * FILTERS, len(labels)))}
+    for w in WIDTHS:
+        p[f"W{w}"] = rng.normal(0, (w * EMBED) ** -0.5, (w * EMBED, FILTERS))
+        p[f"c{w}"] = np.zeros(FILTERS)
+    return p, rng
+
+
+def gradients(p: dict, x: np.ndarray, y: np.ndarray, weight: np.ndarray):
+    """(loss, gradient of each parameter, class probabilities) of windows ``x`` with label
+    numbers ``y``: the plain convolution, forward and back."""
+    n = len(x)
+    emb = p["E"][x]
+    pooled, where, cols = [], {}, {}
+    for w in WIDTHS:
+        c = np.concatenate([emb[:, j:WINDOW - w + 1 + j] for j in range(w)], axis=2)
+        a = c @ p[f"W{w}"]
+        where[w] = a.argmax(axis=1)
+        cols[w] = c
+        pooled.append(np.take_along_axis(a, where[w][:, None], 1)[:, 0] + p[f"c{w}"])
+    z = np.concatenate(pooled, axis=1)
+    act = np.maximum(z, 0)
+    logit = act @ p["V"] + p["b"]
+    prob = np.exp(logit - logit.max(axis=1, keepdims=True))
+    prob /= prob.sum(axis=1, keepdims=True)
+    loss = -(weight * np.log(np.maximum(prob[np.arange(n), y], 1e-30))).sum() / n
+    d = prob.copy()
+    d[np.arange(n), y] -= 1
+    d *= weight[:, None] / n
+    g = {"V": act.T @ d, "b": d.sum(axis=0), "E": np.zeros_like(p["E"])}
+    dz = (d @ p["V"].T) * (z > 0)
+    for k, w in enumerate(WIDTHS):
+        dw = dz[:, k * FILTERS:(k + 1) * FILTERS]
+        hit = np.take_along_axis(cols[w], where[w][:, :, None], 1)  # n, FILTERS, w*EMBED
+        g[f"W{w}"] = np.einsum("nf,nfk->kf", dw, hit)
+        g[f"c{w}"] = dw.sum(axis=0)
+        de = (dw[:, :, None] * p[f"W{w}"].T[None]).reshape(n, FILTERS, w, EMBED)
+        byte = x[np.arange(n)[:, None, None], where[w][:, :, None] + np.arange(w)]
+        np.add.at(g["E"], byte, de)
+    return loss, g, prob
+
+
+def train(samples, epochs: int = EPOCHS, steps: int = STEPS, seed: int = 7) -> dict:
+    """Fit the network to (bytes, label) pairs with Adam, for ``epochs`` passes and at least
+    ``steps`` steps; returns its parameters."""
     labels = sorted({y for _, y in samples})
     if not labels:
         return {"labels": []}
-    rng = np.random.default_rng(seed)
     X = np.concatenate([to_windows(b[:WINDOW])[0] for b, _ in samples])
     Y = np.array([labels.index(y) for _, y in samples])
     share = np.bincount(Y, minlength=len(labels))
     weight = (len(Y) / (len(labels) * share))[Y]
-    p = {"E": rng.normal(0, 0.5, (256, EMBED)), "b": np.zeros(len(labels)),
-         "V": rng.normal(0, 0.2, (len(WIDTHS) * FILTERS, len(labels)))}
-    for w in WIDTHS:
-        p[f"W{w}"] = rng.normal(0, (w * EMBED) ** -0.5, (w * EMBED, FILTERS))
-        p[f"c{w}"] = np.zeros(FILTERS)
+    p, rng = started(labels, seed)
     p = {k: v.astype(np.float32) for k, v in p.items()}
     m = {k: np.zeros_like(v) for k, v in p.items()}
     v2 = {k: np.zeros_like(v) for k, v in p.items()}
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-steps // -(-len(X) // 128)))):
         order = rng.permutation(len(X))
         for at in range(0, len(order), 128):
             pick = order[at:at + 128]
-            x, y, n = X[pick], Y[pick], len(pick)
-            emb = p["E"][x]
-            pooled, where, cols = [], {}, {}
-            for w in WIDTHS:
-                c = np.concatenate([emb[:, j:WINDOW - w + 1 + j] for j in range(w)], axis=2)
-                a = c @ p[f"W{w}"]
-                where[w] = a.argmax(axis=1)
-                cols[w] = c
-                pooled.append(np.take_along_axis(a, where[w][:, None], 1)[:, 0] + p[f"c{w}"])
-            z = np.concatenate(pooled, axis=1)
-            act = np.maximum(z, 0)
-            logit = act @ p["V"] + p["b"]
-            prob = np.exp(logit - logit.max(axis=1, keepdims=True))
-            prob /= prob.sum(axis=1, keepdims=True)
-            d = prob.copy()
-            d[np.arange(n), y] -= 1
-            d *= weight[pick, None] / n
-            g = {"V": act.T @ d, "b": d.sum(axis=0), "E": np.zeros_like(p["E"])}
-            dz = (d @ p["V"].T) * (z > 0)
-            for k, w in enumerate(WIDTHS):
-                dw = dz[:, k * FILTERS:(k + 1) * FILTERS]
-                hit = np.take_along_axis(cols[w], where[w][:, :, None], 1)  # n, FILTERS, w*EMBED
-                g[f"W{w}"] = np.einsum("nf,nfk->kf", dw, hit)
-                g[f"c{w}"] = dw.sum(axis=0)
-                de = (dw[:, :, None] * p[f"W{w}"].T[None]).reshape(n, FILTERS, w, EMBED)
-                byte = x[np.arange(n)[:, None, None], where[w][:, :, None] + np.arange(w)]
-                np.add.at(g["E"], byte, de)
+            _, g, _ = gradients(p, X[pick], Y[pick], weight[pick])
             step += 1
             for k in p:
                 m[k] = 0.9 * m[k] + 0.1 * g[k]
@@ -211,6 +236,17 @@ def fit(df: DataFrame, **cols) -> dict:
     return train(training_windows(df, **cols))
 
 
+def calibrated(df: DataFrame, model: dict, most: float, **cols) -> float:
+    """A score that labelled texts reach: a little below what a bounded sample of those that
+    the network never saw (held out; one in a hundred may be lower) scores, and never above
+    ``most``. 0, so that nothing is rejected by its score, where there is no such text."""
+    texts = ["".join(w) for w, _ in sampled_windows(df, True, CALIBRATION_TEXTS, **cols)]
+    if not texts or not model["labels"]:
+        return 0.0
+    scores = [s for _, s in text_scores(compiled(model), texts)]
+    return min(most, 0.9 * float(np.quantile(scores, 0.01, method="lower")))
+
+
 def keep_languages(df: DataFrame, model: dict, languages=None, min_score: float = 0.0,
                    text_col: str = "text") -> DataFrame:
     """Rows whose text is identified as one of ``languages`` (None: any learned one) with

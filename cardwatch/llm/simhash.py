@@ -251,17 +251,17 @@ def star_edges(fps: DataFrame, max_bits: int = MAX_BITS, margin: int = 0,
             .mapInArrow(_stars(max_bits), "u long, v long"))
 
 
-def connect(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def connect(edges: DataFrame) -> DataFrame:
     """(u, root) for every node of an edge; root is the smallest node of its component.
 
     Large-star: each node links its larger neighbours to its smallest. Small-star: each
-    node links its smaller neighbours and itself to its smallest. Repeated until nothing
-    changes; each round is written, which cuts the lineage.
+    node links its smaller neighbours and itself to its smallest. Repeated, however long it
+    takes, until nothing changes; each round is written, which cuts the lineage.
     """
     e = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                     .filter("u != v").distinct(), "star_edges")
     seen = None
-    for _ in range(rounds):
+    while True:
         both = e.union(e.select("v", "u"))
         low = materialize(both.groupBy("u").agg(F.min("v").alias("m")).withColumn(
             "m", F.least("m", "u")), "star_low")

@@ -52,6 +52,47 @@ def test_language_accuracy_on_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+@pytest.mark.parametrize("n", [30, 60, 200])
+def test_language_of_small_inputs(spark, n):
+    import corpus_pipeline as c
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(n)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    got = langid.language_id(docs).filter("held_out").join(docs, "doc_id").filter(
+        "lang IS NOT NULL").collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in got]) >= (0.95 if n > 60 else 0.9)
+    kept = {r["doc_id"] for r in c.language_id(spark, docs, SF).collect()}
+    assert kept == {r["doc_id"] for r in docs.filter(r"text RLIKE '\\p{L}'").collect()}
+
+
+def test_language_network_equals_plain_convolution():
+    rng = np.random.default_rng(2)
+    p, _ = langid.started(list("abc"), 5)
+    p = {k: v + rng.normal(0, 0.1, v.shape) for k, v in p.items()}
+    x = rng.integers(0, 256, (6, langid.WINDOW)).astype(np.uint8)
+    y, weight = np.array([0, 1, 2, 0, 1, 2]), np.array([1.0, 2, 0.5, 1, 1, 3])
+    plain = np.zeros((6, 3))
+    for n in range(6):
+        pooled = [max(sum(p["E"][x[n, at + j]] @ p[f"W{w}"][j * langid.EMBED:(j + 1) * langid.EMBED,
+                                                            f] for j in range(w))
+                      for at in range(langid.WINDOW - w + 1)) + p[f"c{w}"][f]
+                  for w in langid.WIDTHS for f in range(langid.FILTERS)]
+        logit = np.maximum(pooled, 0) @ p["V"] + p["b"]
+        plain[n] = np.exp(logit - logit.max()) / np.exp(logit - logit.max()).sum()
+    loss, g, prob = langid.gradients(p, x, y, weight)
+    assert np.allclose(prob, plain)
+    assert np.allclose(langid.probabilities(langid.compiled({"labels": list("abc"), **p}), x), plain)
+    assert np.isclose(loss, -(weight * np.log(plain[np.arange(6), y])).mean())
+    for k, v in p.items():
+        for at in zip(*(rng.choice(np.argwhere(g[k] != 0), 5).T)):
+            step = 1e-6
+            up, down = {**p, k: v.copy()}, {**p, k: v.copy()}
+            up[k][at] += step
+            down[k][at] -= step
+            slope = (langid.gradients(up, x, y, weight)[0]
+                     - langid.gradients(down, x, y, weight)[0]) / (2 * step)
+            assert np.isclose(slope, g[k][at], rtol=1e-3, atol=1e-6), (k, at)
+
+
 def test_language_without_letters_or_labels(spark):
     df = spark.createDataFrame([(1, None, None), (2, "12 !?", "en"), (3, "", "de")],
                                "doc_id long, text string, lang string")
@@ -243,6 +284,23 @@ def test_forest_scores_small_shards_whole(n):
         assert [i for i, _ in forest.search(q, v[q], key, 5)] == [i for _, i in want]
 
 
+def test_forest_with_very_large_and_very_small_vectors(spark):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(300, 16))
+    size = np.array([1e-300, 1e-200, 1.0, 1e200, 1e300])[np.arange(300) % 5]
+    df = spark.createDataFrame([(k, (x * z).tolist()) for k, (x, z) in enumerate(zip(v, size))],
+                               "vec_id long, embedding array<double>")
+    got = annforest.search(df, df.filter("vec_id % 50 IN (0, 1, 2, 3, 4)")).collect()
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    for q in {r["query_id"] for r in got}:
+        mine = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        s = unit @ unit[q]
+        s[q] = -9
+        assert [i for _, i, _ in mine] == np.argsort(-s)[:5].tolist()
+        assert np.allclose([x for _, _, x in mine], np.sort(s)[::-1][:5])
+    assert len(got) == 30 * 5
+
+
 def test_forest_finds_neighbours_of_a_rare_length(spark):
     rng = np.random.default_rng(5)
     v = [rng.normal(size=8 if k % 100 == 0 else 32).tolist() for k in range(3000)]
@@ -451,7 +509,29 @@ def test_simhash_keeps_one_row_of_each_group(spark):
     assert simhash.keep_first_of_group(df.limit(0)).count() == 0
 
 
+def test_stars_join_however_long_the_chain(spark):
+    order = np.random.default_rng(4).permutation(700).tolist()
+    edges = [(a, b) for a, b in zip(order, order[1:])] + [(-5, -7), (-6, -5)]
+    got = simhash.connect(spark.createDataFrame(edges, "u long, v long")).collect()
+    assert {(r["u"], r["root"]) for r in got if r["u"] >= 0} >= {(k, 0) for k in range(1, 700)}
+    assert {r["root"] for r in got if r["u"] < 0} == {-7} and all(
+        r["root"] in (0, -7) for r in got)
+
+
 # --- pipeline -------------------------------------------------------------------------------
+@pytest.mark.parametrize("stage", [0, 1, 2, 3])
+def test_pipeline_stages_keep_odd_columns(spark, stage):
+    import corpus_pipeline as c
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    odd = docs.select("*", F.lit(1).alias("a.b"), F.lit("x").alias("t"), F.lit(None).cast(
+        "string").alias("row"), F.lit(2).alias("fp"))
+    name, run = c.STAGES[stage]
+    assert run(spark, odd, SF).columns == odd.columns
+    assert run(spark, odd.limit(0), SF).count() == 0
+    got = run(spark, odd, SF).collect()
+    assert got and all((r["a.b"], r["t"], r["row"], r["fp"]) == (1, "x", None, 2) for r in got)
+
+
 def test_pipeline_equals_stage_by_stage_brute_force(spark):
     import corpus_pipeline as c
     docs = spark.read.parquet(f"{SF}/documents.parquet")
