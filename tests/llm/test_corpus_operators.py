@@ -232,6 +232,25 @@ def test_packing_places_every_id_once_without_padding(docs, ids):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 16, 211])
+def test_packing_balances_step_groups_over_all_tasks(spark, parts):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(parts)
+    got = packing.pack(docs).groupBy("sequence_id", "tier", "step_group").agg(
+        F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+    assert all(r["n"] == r["end"] == r["tier"] for r in got)
+    tokens, tier = collections.Counter(), {}
+    for r in got:
+        tokens[r["step_group"]] += r["n"]
+        assert tier.setdefault(r["step_group"], r["tier"]) == r["tier"]
+    assert max(tokens.values()) == packing.GROUP_TOKENS
+    short = sum(n for n in tokens.values() if n < packing.GROUP_TOKENS)
+    small = sum(r["n"] for r in got if r["tier"] < min(packing.TIERS))
+    print(parts, sum(tokens.values()), short, small)
+    fans = -(-parts // packing.FAN_IN)
+    assert short < fans * (packing.GROUP_TOKENS + packing.TIERS[-1]) and small < fans * 4096
+    assert short <= 0.05 * sum(tokens.values())
+
+
 def test_pieces_equal_the_library(docs, rows):
     p = pieces.Pieces(wordtokens.tokenizer_path("piece_bpe_32k.model"))
     assert p.cut
