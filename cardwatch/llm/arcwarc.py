@@ -15,8 +15,9 @@ response is found before, from digests alone.
 
 Defined cases: null html is an empty payload; a null url becomes ``-``; white space and
 control characters in urls are percent-encoded, as header lines need. Of equal payloads the
-smallest page id is the response; rows that repeat that id are responses too, as are rows of
-a payload that only null ids have. An empty table makes no file. Other columns are not read.
+smallest page id is the response; where rows repeat that id with that payload, one of them is,
+and the others revisit it. All rows of a payload that only null ids have are responses. No two
+records share an identifier. An empty table makes no file. Other columns are not read.
 
 Archives that exist are converted by :func:`convert_files`, also gzipped ones.
 """
@@ -250,17 +251,19 @@ def _write(folder, version, file_bytes):
 
         nth = 0
         for batch in batches:
-            for pid, url, html, first in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            for pid, url, html, first, again in zip(*(batch.column(k).to_pylist()
+                                                      for k in range(5))):
                 nth += 1
                 arc = f"pages-{shard:06d}.arc"
+                payload = (html or "").encode("utf-8", "replace")
                 stream = io.BytesIO(arc_start(arc, version) + _page_as_arc(
-                    pid, url, (html or "").encode("utf-8", "replace"), version, arc, nth))
-                own = record_id("page", pid) if pid is not None else record_id(
-                    "row", shard, nth)
-                again = first is not None and pid != first
+                    pid, url, payload, version, arc, nth))
+                # Only a response that others revisit needs an identifier that they know.
+                shared = None if first is None else record_id("page", first, digest(payload))
+                own = record_id("row", pid, shard, nth) if again or first is None else shared
                 more = {"X-Refers-To-Page": first} if again else None
                 for record in convert(stream, identifier=own, more=more,
-                                      refers_to=record_id("page", first) if again else None):
+                                      refers_to=shared if again else None):
                     if out is None:
                         name = new_file(folder, f"pages-{shard:06d}", ".warc.gz")
                         fs, at = open_fs(name)
@@ -321,10 +324,24 @@ def write(df: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "u
                                                          F.sha1(html)).alias("d"))
     # Only payloads that repeat need a look at other rows; both join sides are plain scans
     # and tables, so a payload that a third of the pages share can be split.
-    firsts = materialize(pages.filter("d IS NOT NULL").groupBy("d").agg(
-        F.min("p").alias("first"), F.count("*").alias("n")).filter("n > 1").select("d", "first"),
-        "warc_firsts")
-    rows = pages.join(firsts, "d", "left").select("p", "u", "h", "first")
+    firsts = materialize(
+        pages.filter("d IS NOT NULL").groupBy("d", "p").agg(F.count("*").alias("n"))
+        .groupBy("d").agg(F.min("p").alias("first"), F.min_by("n", "p").alias("copies"),
+                          F.sum("n").alias("n")).filter("n > 1").drop("n"), "warc_firsts")
+    joined = pages.join(firsts, "d", "left")
+    rows = joined.withColumn("again", F.coalesce(F.col("p").isNull() & F.col("first").isNotNull()
+                                                 | (F.col("p") != F.col("first")), F.lit(False)))
+    if not firsts.filter("copies > 1").isEmpty():
+        # The first id itself repeats: of its rows, written once so that numbers stay, one is
+        # the response.
+        twin = F.coalesce((F.col("copies") > 1) & (F.col("p") == F.col("first")), F.lit(False))
+        twins = materialize(rows.filter(twin).withColumn("m", F.monotonically_increasing_id()),
+                            "warc_twins")
+        one = twins.groupBy("d").agg(F.min("m").alias("least"))
+        rows = rows.filter(~twin).unionByName(
+            twins.join(one, "d").withColumn("again", F.col("m") != F.col("least"))
+            .drop("m", "least"))
+    rows = rows.select("p", "u", "h", "first", "again")
     return materialize(rows.mapInArrow(_write(folder, version, file_bytes),
                                        "path string, records long"), "warc_manifest")
 

@@ -368,6 +368,28 @@ def test_warc_round_trip(spark):
     assert listed(arcwarc.round_trip(df).drop("target_uri")) == sorted(want, key=str)
     assert arcwarc.round_trip(df, min_bytes=1 << 30).filter(
         "record_type = 'revisit'").isEmpty()
+    # repeated ids: one response a payload, identifiers of their own
+    twins = spark.createDataFrame(
+        [(7, "a", "one"), (7, "b", "one"), (7, "b", "one"), (8, "c", "one"), (7, "a", "two"),
+         (9, "d", "three"), (9, "d", "three"), (None, "e", "three"), (None, "f", "four"),
+         (None, "f", "four")], df.schema).repartition(3)
+    folder = arcwarc.scratch_path(spark, "warc")
+    manifest = arcwarc.write(twins, folder)
+    assert collections.Counter(
+        (r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"])
+        for r in arcwarc.read(manifest).collect()) == {
+        (7, 3, "response", None): 2, (7, 3, "revisit", 7): 2, (8, 3, "revisit", 7): 1,
+        (9, 5, "response", None): 1, (9, 5, "revisit", 9): 1, (None, 5, "revisit", 9): 1,
+        (None, 4, "response", None): 2}
+    ids, known = [], []
+    for r in manifest.collect():
+        fs, at = arcwarc.open_fs(r["path"])
+        with fs.open_input_stream(at, compression=None) as f:
+            for fields, _ in map(arcwarc.parse_warc, arcwarc.read_members(f)):
+                ids.append(fields["WARC-Record-ID"])
+                known += [fields["WARC-Refers-To"]] if "WARC-Refers-To" in fields else []
+    assert len(ids) == len(set(ids)) == 10 and len(known) == 5 and set(known) <= set(ids)
+    assert arcwarc.round_trip(twins, min_bytes=1 << 30).count() == 10
     assert arcwarc.round_trip(df.limit(0)).count() == 0
 
 
