@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import contextlib
+import os
 import tempfile
+import threading
+import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings every job in this package expects. AQE re-plans joins from runtime
@@ -84,24 +88,24 @@ def materialize(df, name: str = "materialized"):
     read it back: lineage is cut (an executor loss re-reads files instead of
     recomputing joins) and every later reader still gets column pruning."""
     path = scratch_path(df.sparkSession, name)
-    if _scopes:
-        _scopes[-1].append(path)
+    if scopes := getattr(_scopes, "stack", None):
+        scopes[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-_scopes: list[list[str]] = []
+_scopes = threading.local()  # of each thread: the open scopes' paths
 
 
 @contextlib.contextmanager
 def scratch_scope(spark: SparkSession):
     """What :func:`materialize` writes inside is removed at the end, also after a failure.
     For work whose results are stored before it ends."""
-    _scopes.append([])
+    _scopes.stack = [*getattr(_scopes, "stack", []), []]
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        for path in _scopes.stack.pop():
             remove(spark, path)
 
 
@@ -145,10 +149,57 @@ def first_line(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def age_seconds(spark: SparkSession, path: str) -> float:
+    fs, p = _hadoop(spark, path)
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that does not exist yet; False where it does. Of several callers
+    at once one wins: O_EXCL on local disks, exclusive creation on HDFS, a conditional write
+    on S3A."""
+    fs, p = _hadoop(spark, path)
+    fs.mkdirs(p.getParent())
+    if fs.getScheme() == "file":
+        try:
+            f = os.open(p.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY, 0o644)
+        except FileExistsError:
+            return False
+        with os.fdopen(f, "w", encoding="utf-8") as out:
+            out.write(text)
+        return True
+    try:
+        out = (fs.createFile(p).overwrite(False)
+               .opt("fs.option.create.conditional.overwrite", "true").build())
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+    except Py4JJavaError as exc:
+        if any(k in str(exc.java_exception) for k in
+               ("AlreadyExists", "AlreadyBeingCreated", "already exists", "412")):
+            return False
+        raise
+    return True
+
+
+def append_file(df, path: str) -> None:
+    """Append a few rows as one file. Several runs may do so at once: each writes to a folder
+    of its own, whose file then moves up (Spark's own append shares one temporary folder)."""
+    spark, own = df.sparkSession, f"{path.rstrip('/')}/_new-{uuid.uuid4().hex}"
+    df.coalesce(1).write.parquet(own)
+    fs, p = _hadoop(spark, path)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name in names(spark, own):
+        if name.startswith("part-"):
+            if not fs.rename(Path(f"{own}/{name}"), Path(p, name)):
+                raise OSError(f"{own}/{name} could not be moved to {path}")
+    remove(spark, own)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local filesystem checks in tests."""
     return path[5:] if path.startswith("file:") else path
 
 
 __all__ = ["build_session", "shared_root", "scratch_path", "scratch_scope", "materialize",
-           "exists", "remove", "names", "first_line", "local_path", "SESSION_DEFAULTS"]
+           "exists", "remove", "names", "first_line", "age_seconds", "create_new", "append_file",
+           "local_path", "SESSION_DEFAULTS"]

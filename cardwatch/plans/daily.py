@@ -11,6 +11,7 @@ Warehouse layout (Parquet, all under one root):
   rejects/load_dt=.../                                    landing rows that do not parse
   meta_log/                                               audit rows (append)
   ledger/                                                 one row per finished date (append)
+  claims/commit=N/                                        who may make commit N, see claims
 
 :func:`run_days` does any number of dates in one pass: the snapshots of all dates are folded
 into one log, and facts, view and rules are keyed by report day. The number of Spark jobs does
@@ -31,7 +32,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,7 @@ from ..schemas import (CHAIN_LENGTH, DIM_ACCOUNTS, DIM_CARDS, DIM_CLIENTS, DIM_T
                        MAX_CHAIN_SPAN_SECONDS, MAX_CITY_GAP_SECONDS, REP_FRAUD,
                        REP_FRAUD_STORED, TERMINAL_LOG, TERMINAL_STATE)
 from ..sources import landing
+from .claims import claimed
 
 TERMINAL_KEY = "terminal_id"
 TERMINAL_ATTRS = ("terminal_type", "terminal_city", "terminal_address")
@@ -57,6 +59,10 @@ class Warehouse:
     root: str
     #: A new base of the terminal history after so many versions.
     compact_every: int = 32
+    #: A run's claim on a commit is lost when it was not renewed for so long; so long a run
+    #: waits for another.
+    claim_seconds: float = 300
+    wait_seconds: float = 6 * 3600
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -81,6 +87,8 @@ class Warehouse:
     def meta_log(self): return self.path("meta_log")
     @property
     def ledger(self): return self.path("ledger")
+    @property
+    def claims(self): return self.path("claims")
 
 
 # --- table io ------------------------------------------------------------------------
@@ -117,14 +125,16 @@ def audit(spark: SparkSession, wh: Warehouse, rows: list[tuple[str, str]]) -> No
     if not rows:
         return
     df = spark.createDataFrame(rows, "event_type string, event_desription string")
-    (df.select(F.localtimestamp().alias("event_dt"), "event_type", "event_desription")
-       .coalesce(1).write.mode("append").parquet(wh.meta_log))
+    config.append_file(df.select(F.localtimestamp().alias("event_dt"), "event_type",
+                                 "event_desription"), wh.meta_log)
 
 
 def commits(spark: SparkSession, wh: Warehouse) -> list:
-    """All rows of the ledger in the order of their commits, one for each date and run."""
-    return sorted(_read(spark, wh.ledger, LEDGER).collect(),
-                  key=lambda r: (r["commit_no"], r["business_date"]))
+    """All rows of the ledger in the order of their commits, one for each date and run. (A
+    commit that a waiting run stored too, see claims, stands there twice.)"""
+    rows = {(r["commit_no"], r["business_date"]): r
+            for r in _read(spark, wh.ledger, LEDGER).collect()}
+    return [rows[k] for k in sorted(rows)]
 
 
 def ledger(spark: SparkSession, wh: Warehouse) -> DataFrame:
@@ -134,6 +144,17 @@ def ledger(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return rows.groupBy("business_date").agg(last).select("r.*")
 
 
+def _next_commit(spark: SparkSession, wh: Warehouse) -> int:
+    return 1 + max((r["commit_no"] for r in commits(spark, wh)), default=0)
+
+
+def _store_commit(spark: SparkSession, wh: Warehouse, rows: list) -> None:
+    """Store a commit's rows, which its claim keeps as text, in the ledger."""
+    text = ", ".join(f"{f.name} string" for f in LEDGER.fields)
+    config.append_file(spark.createDataFrame(rows, text).select(
+        *[F.col(f.name).cast(f.dataType) for f in LEDGER.fields]), wh.ledger)
+
+
 def _current(rows) -> list:
     return list({r["business_date"]: r for r in rows}.values())
 
@@ -322,20 +343,33 @@ def _facts_of(spark, wh, zones: dict, versions: dict, lookback: int) -> DataFram
 
 
 def run_days(spark: SparkSession, wh: Warehouse, files: dict, days: Sequence[dt.date],
-             params: RuleParams | None = None, close_tombstones: bool = False) -> list[dict]:
-    """Land, merge, append and report business dates, ascending, in one pass. ``files`` has
-    the paths by date and kind. More than one date at once must all be
-    later than the committed ones."""
+             params: RuleParams | None = None, close_tombstones: bool = False,
+             only_new: bool = False) -> list[dict]:
+    """Land, merge, append and report business dates, ascending, in one pass; those not later
+    than the committed ones go before, one by one. ``files`` has the paths by date and kind.
+    ``only_new``: without dates that another run has committed by now."""
     params = params or RuleParams()
     for d in days:
         if missing := sorted(set(landing.KINDS) - set(files.get(d, ()))):
             raise FileNotFoundError(f"{landing.tag(d)}: no {', '.join(missing)} file")
-    with config.scratch_scope(spark):
-        return _run_days(spark, wh, files, list(days), params, close_tombstones)
+    left, results = list(days), []
+    while left:
+        with config.scratch_scope(spark), claimed(
+                spark, wh.claims, partial(_next_commit, spark, wh),
+                partial(_store_commit, spark, wh), claim_seconds=wh.claim_seconds,
+                wait_seconds=wh.wait_seconds) as claim:
+            rows = commits(spark, wh)
+            stored = {r["business_date"] for r in rows}
+            if only_new:
+                left = [d for d in left if d not in stored]
+            now = left[:1] if stored and left and left[0] <= max(stored) else left
+            if now:
+                results += _run_days(spark, wh, files, now, params, close_tombstones, rows, claim)
+            left = left[len(now):]
+    return results
 
 
-def _run_days(spark, wh, files, days, params, close_tombstones) -> list[dict]:
-    rows = commits(spark, wh)
+def _run_days(spark, wh, files, days, params, close_tombstones, rows, claim) -> list[dict]:
     txn, term, bl = ([p for d in days for p in files[d][k]] for k in landing.KINDS)
     for path in (wh.transactions, wh.rejects, wh.blacklist, wh.report):
         for left in {f"load_dt={d}" for d in days}.intersection(config.names(spark, path)):
@@ -425,8 +459,10 @@ def _run_days(spark, wh, files, days, params, close_tombstones) -> list[dict]:
         results.append({"date": d, "terminals_version": version, "hits": mine,
                         "transactions": size("facts", d), "passports": size("passports", d),
                         "rejects": size("rejects", d)})
+    done = [tuple(None if v is None else str(v) for v in r) for r in done]
+    claim.commit(done)
+    _store_commit(spark, wh, done)
     audit(spark, wh, log)
-    spark.createDataFrame(done, LEDGER).coalesce(1).write.mode("append").parquet(wh.ledger)
 
     # 7. a new base of the terminal history, every few versions
     if sum(v > max(_bases(spark, wh, chain)) for v in chain) >= wh.compact_every:
@@ -481,7 +517,7 @@ def backfill(spark: SparkSession, wh: Warehouse, landing_root: str,
     step = days_at_once or max(1, len(rest))
     runs += [rest[k:k + step] for k in range(0, len(rest), step)]
     results = [r for run in runs
-               for r in run_days(spark, wh, files, run, params, close_tombstones)]
+               for r in run_days(spark, wh, files, run, params, close_tombstones, only_new=True)]
     if not results:
         audit(spark, wh, [("NO_FILES", "No date is pending")])
     audit(spark, wh, [("--FINISH--", f"Run ended after {len(results)} dates")])
