@@ -1,9 +1,15 @@
 """Language identification by a byte-level convolutional network trained in numpy.
 
 The network: byte embeddings, filters of several widths, rectification, max pooling
-over a fixed-length window, softmax. It learns from windows of labelled texts; a whole
-text is cut into consecutive windows of that length, which are scored in batches, and
-the windows' probabilities, weighted by their bytes, are averaged.
+over a fixed-length window, softmax. A whole text is cut into consecutive windows of that
+length, which are scored in batches, and the windows' probabilities, weighted by their
+bytes, are averaged.
+
+It learns from every window of every labelled text that is not held out. Tasks train side by
+side on rows dealt by the hash of their id, and Spark averages their parameters between
+rounds that read growing shares of the rows, each row once. So the network depends on the
+rows only, not on how they lie in files. What fills less than two tasks is passed as often
+as it takes to train alike.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; an empty
 training set labels everything ``und``. Empty tables give empty results. Equal texts
@@ -17,59 +23,41 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, record_batch
+from .common import batches_of, trimmed
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 EMBED = 8
-#: Bounds of the training sample: about so many texts of each language, and so many
-#: windows of each text.
-TEXTS_PER_LANG = 1500
-WINDOWS_PER_TEXT = 3
-#: Passes over the sample, and steps of the optimiser at least: a small sample is passed more
-#: often, so that the network is trained alike at every size.
-EPOCHS, STEPS = 6, 600
-#: Labelled texts of each language, about, that calibrate the score (see `calibrated`).
-CALIBRATION_TEXTS = 150
+#: Windows of a step of the optimiser, and steps of each task in a pass over all rows.
+STEP, STEPS = 128, 600
+#: Windows that a task mixes before it steps through them.
+MIXED = 8192
+#: Rows are dealt to 16 slots by the hash of their id; a pass over all rows takes these
+#: slots, from and to, between averages.
+SLOTS, ROUNDS = 16, ((0, 1), (1, 2), (2, 4), (4, 8), (8, 16))
+#: A rare language's windows weigh more, at most so many times.
+MOST_WEIGHT = 20.0
+#: Parameters are averaged as integers, so that the order of the sum does not matter.
+FIXED = 1 << 20
+#: Steps of the calibrated score.
+SCORE_STEPS = 10_000
 #: Windows scored at once (bounds memory for very long texts).
 BLOCK = 512
-HASH_RANGE = 1 << 30
 
 
 def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def sampled_windows(df: DataFrame, held: bool, texts_per_lang: int, id_col: str = "doc_id",
-                    text_col: str = "text", lang_col: str = "lang"):
-    """(windows, label) of a bounded, repeatable sample of the labelled rows, held out or not.
-
-    A row is taken by the hash of its id, with a share that gives each language about
-    ``texts_per_lang`` rows; from it, windows at places spread over the whole text.
-    """
+def labelled(df: DataFrame, held: bool, id_col: str = "doc_id", text_col: str = "text",
+             lang_col: str = "lang") -> DataFrame:
+    """Text ``t``, label ``y`` and a hash ``h`` of the id of every labelled row, held out or
+    not."""
     side = held_out(id_col) if held else ~held_out(id_col)
-    rows = df.filter(side & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull()
+    return df.filter(side & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull()
                      & F.col(text_col).rlike(r"\p{L}")).select(
-        F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("y"))
-    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    h = F.pmod(F.xxhash64("i"), F.lit(HASH_RANGE))
-    wanted = F.lit(False)
-    for y, n in sorted(counts.items()):
-        wanted = wanted | ((F.col("y") == y) & (h < int(HASH_RANGE * min(1.0, texts_per_lang / n))))
-    size = F.length("t")
-    parts = [F.substring(F.col("t"), (F.lit(1) + F.floor(
-        F.greatest(size - WINDOW, F.lit(0)) * (k / max(1, WINDOWS_PER_TEXT - 1)))).cast("int"),
-        F.lit(WINDOW)).alias(f"p{k}") for k in range(WINDOWS_PER_TEXT)]
-    got = (rows.filter(wanted).select("i", "y", h.alias("h"), *parts)
-           .orderBy("h", "i", "p0").limit(2 * texts_per_lang * max(1, len(counts))).collect())
-    return [([r[f"p{k}"] for k in range(WINDOWS_PER_TEXT) if r[f"p{k}"]], r["y"]) for r in got]
-
-
-def training_windows(df: DataFrame, texts_per_lang: int = TEXTS_PER_LANG, **cols):
-    """(bytes, label) of the windows of labelled rows that are not held out."""
-    return [(w.encode("utf-8", "surrogatepass"), y)
-            for windows, y in sampled_windows(df, False, texts_per_lang, **cols) for w in windows]
+        F.col(text_col).alias("t"), F.col(lang_col).alias("y"), F.xxhash64(id_col).alias("h"))
 
 
 def to_windows(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -127,32 +115,101 @@ def gradients(p: dict, x: np.ndarray, y: np.ndarray, weight: np.ndarray):
     return loss, g, prob
 
 
-def train(samples, epochs: int = EPOCHS, steps: int = STEPS, seed: int = 7) -> dict:
-    """Fit the network to (bytes, label) pairs with Adam, for ``epochs`` passes and at least
-    ``steps`` steps; returns its parameters."""
-    labels = sorted({y for _, y in samples})
+def flat(p: dict) -> np.ndarray:
+    return np.concatenate([p[k].ravel() for k in sorted(p)])
+
+
+def shaped(p: dict, values: np.ndarray) -> dict:
+    """``values`` as parameters of the shapes of ``p``."""
+    out, at = {}, 0
+    for k in sorted(p):
+        out[k] = values[at:at + p[k].size].reshape(p[k].shape).astype(np.float32)
+        at += p[k].size
+    return out
+
+
+class Adam:
+    """A network that is fitted step by step."""
+
+    def __init__(self, p: dict):
+        self.p = {k: v.astype(np.float32) for k, v in p.items()}
+        self.m = {k: np.zeros_like(v) for k, v in self.p.items()}
+        self.v = {k: np.zeros_like(v) for k, v in self.p.items()}
+        self.step = 0
+
+    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, order: np.ndarray) -> None:
+        for at in range(0, len(order), STEP):
+            pick = order[at:at + STEP]
+            _, g, _ = gradients(self.p, x[pick], y[pick], weight[pick])
+            self.step += 1
+            for k in self.p:
+                self.m[k] = 0.9 * self.m[k] + 0.1 * g[k]
+                self.v[k] = 0.999 * self.v[k] + 0.001 * g[k] ** 2
+                self.p[k] = (self.p[k] - 0.004 * (self.m[k] / (1 - 0.9 ** self.step)) / (
+                    np.sqrt(self.v[k] / (1 - 0.999 ** self.step)) + 1e-8)).astype(np.float32)
+
+
+def _trained(p: dict, labels: list, weights: np.ndarray, seed: int, passes: int):
+    """One task's part of a round: its parameters (in FIXED, times its windows) and windows.
+    With several passes all its windows are held; see `fit` for their bound."""
+    number = {y: k for k, y in enumerate(labels)}
+
+    def run(batches):
+        net, rng, seen = Adam(p), np.random.default_rng(seed), 0
+        held, size = [], 0
+
+        def learn(times):
+            x, y, w = map(np.concatenate, zip(*held))
+            for _ in range(times):
+                net.fit(x, y, w, rng.permutation(len(x)))
+
+        for batch in batches:
+            for t, y in zip(batch.column("t").to_pylist(), batch.column("y").to_pylist()):
+                windows, used = to_windows(t.encode("utf-8", "surrogatepass"))
+                k, n = number[y], len(windows)
+                held.append((windows, np.full(n, k), weights[k] * used / WINDOW))
+                size, seen = size + n, seen + n
+                if passes == 1 and size >= MIXED:
+                    learn(1)
+                    held, size = [], 0
+        if held:
+            learn(passes)
+        if seen:
+            v = np.round(flat(net.p).astype(np.float64) * FIXED).astype(np.int64) * seen
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(v), dtype=np.int32)), pa.array(v),
+                 pa.array(np.full(len(v), seen))], names=["k", "v", "n"])
+    return run
+
+
+def fit(df: DataFrame, seed: int = 7, **cols) -> dict:
+    """The network fitted to all labelled rows of ``df`` that are not held out. Only its
+    parameters (about 4,000 numbers) reach the driver. A single task passes its windows
+    several times, fewer than ``2 * STEP * STEPS`` of them."""
+    rows = labelled(df, False, **cols)
+    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.sum(F.ceil(
+        F.octet_length("t") / WINDOW)).alias("n")).collect()}
+    labels, total = sorted(counts), sum(counts.values())
     if not labels:
         return {"labels": []}
-    X = np.concatenate([to_windows(b[:WINDOW])[0] for b, _ in samples])
-    Y = np.array([labels.index(y) for _, y in samples])
-    share = np.bincount(Y, minlength=len(labels))
-    weight = (len(Y) / (len(labels) * share))[Y]
-    p, rng = started(labels, seed)
-    p = {k: v.astype(np.float32) for k, v in p.items()}
-    m = {k: np.zeros_like(v) for k, v in p.items()}
-    v2 = {k: np.zeros_like(v) for k, v in p.items()}
-    step = 0
-    for _ in range(max(epochs, -(-steps // -(-len(X) // 128)))):
-        order = rng.permutation(len(X))
-        for at in range(0, len(order), 128):
-            pick = order[at:at + 128]
-            _, g, _ = gradients(p, X[pick], Y[pick], weight[pick])
-            step += 1
-            for k in p:
-                m[k] = 0.9 * m[k] + 0.1 * g[k]
-                v2[k] = 0.999 * v2[k] + 0.001 * g[k] ** 2
-                p[k] = (p[k] - 0.004 * (m[k] / (1 - 0.9 ** step))
-                        / (np.sqrt(v2[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
+    weights = np.array([min(MOST_WEIGHT, total / (len(labels) * counts[y])) for y in labels])
+    parts = max(1, total // (STEP * STEPS))
+    passes = 1 if parts > 1 else -(-STEPS // -(-total // STEP))
+    p, _ = started(labels, seed)
+    batches_of(df.sparkSession, 256)
+    for at, (low, high) in enumerate(ROUNDS if parts > 1 else [(0, SLOTS)]):
+        slot = F.pmod("h", F.lit(SLOTS))
+        got = (rows.filter((slot >= low) & (slot < high)).repartition(parts, "h")
+               .sortWithinPartitions("h", "t", "y")
+               .mapInArrow(trimmed(_trained(p, labels, weights, seed + at, passes)),
+                           "k int, v long, n long")
+               .groupBy("k").agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v"),
+                                 F.sum("n").alias("n")).collect())
+        if got:
+            values = np.zeros(len(got))
+            for r in got:
+                values[r["k"]] = int(r["v"]) / r["n"] / FIXED
+            p = shaped(p, values)
     return {"labels": labels, **p}
 
 
@@ -229,22 +286,23 @@ def identify(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
         F.col(f"`{text_col}`"), F.lit("")).alias("t")).withColumn(
         "letters", F.col("t").rlike(r"\p{L}"))
     schema = src.select("row").schema.add("lang_pred", "string").add("score", "double")
-    return src.mapInArrow(_scored(spark.sparkContext.broadcast(net)), schema)
-
-
-def fit(df: DataFrame, **cols) -> dict:
-    return train(training_windows(df, **cols))
+    return src.mapInArrow(trimmed(_scored(spark.sparkContext.broadcast(net))), schema)
 
 
 def calibrated(df: DataFrame, model: dict, most: float, **cols) -> float:
-    """A score that labelled texts reach: a little below what a bounded sample of those that
-    the network never saw (held out; one in a hundred may be lower) scores, and never above
+    """A score that labelled texts reach: a little below what all those that the network never
+    saw (held out; one in a hundred may be lower) score, in whole SCORE_STEPS, and never above
     ``most``. 0, so that nothing is rejected by its score, where there is no such text."""
-    texts = ["".join(w) for w, _ in sampled_windows(df, True, CALIBRATION_TEXTS, **cols)]
-    if not texts or not model["labels"]:
+    if not model["labels"]:
         return 0.0
-    scores = [s for _, s in text_scores(compiled(model), texts)]
-    return min(most, 0.9 * float(np.quantile(scores, 0.01, method="lower")))
+    counts = sorted(map(tuple, identify(labelled(df, True, **cols).select("t"), model, "t")
+                        .groupBy(F.floor(F.col("score") * SCORE_STEPS)).count().collect()))
+    rank = (sum(n for _, n in counts) - 1) // 100
+    for step, n in counts:
+        if rank < n:
+            return min(most, 0.9 * step / SCORE_STEPS)
+        rank -= n
+    return 0.0
 
 
 def keep_languages(df: DataFrame, model: dict, languages=None, min_score: float = 0.0,
