@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_of, materialize, row_hash
+from .common import batches_of, materialize, row_hash, trimmed
 
 WORDS = 4
 MAX_BITS = 4
@@ -79,7 +79,7 @@ def with_fingerprints(df: DataFrame, keys: DataFrame, words: int = WORDS) -> Dat
     """``keys``: the key columns to keep and the text as ``t``."""
     batches_of(df.sparkSession)
     schema = keys.drop("t").schema.add("fp", "long")
-    return keys.mapInArrow(_fingerprints(words), schema)
+    return keys.mapInArrow(trimmed(_fingerprints(words)), schema)
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -232,7 +232,7 @@ def star_edges(fps: DataFrame, max_bits: int = MAX_BITS, margin: int = 0,
     forest = [build_tree((sample >> np.uint64(s)) & m, leaf, 17 + k)
               for k, (s, m) in enumerate(views)]
     dealt = materialize(fps.select("fp").mapInArrow(
-        _deal(spark.sparkContext.broadcast(forest), views, margin),
+        trimmed(_deal(spark.sparkContext.broadcast(forest), views, margin)),
         "view int, leaf long, fp long"), "simhash_dealt")
     # Large shards only: their number is below views * rows / shard_rows.
     large = materialize(dealt.groupBy("view", "leaf").count().filter(F.col("count") > shard_rows)
@@ -248,7 +248,7 @@ def star_edges(fps: DataFrame, max_bits: int = MAX_BITS, margin: int = 0,
         F.greatest("tile", "other").alias("tile_b"), "fp")
     key = ["view", "leaf", "tile_a", "tile_b"]
     return (plain.unionByName(tiles).repartition(*key).sortWithinPartitions(*key)
-            .mapInArrow(_stars(max_bits), "u long, v long"))
+            .mapInArrow(trimmed(_stars(max_bits)), "u long, v long"))
 
 
 def connect(edges: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytehash import anchors, mixed, prefix, spans
-from .common import batches_of, materialize, record_batch
+from .common import batches_of, materialize, record_batch, trimmed
 
 LENGTH = 200
 GRAM = 64
@@ -422,12 +422,12 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     batches_of(df.sparkSession)
     docs = _keyed(df, id_col, text_col)
     rows = materialize(docs.filter(F.octet_length("b") >= length).mapInArrow(
-        _anchor_rows(length, gram, chunk), ANCHOR_DDL), "suffix_anchors")
+        trimmed(_anchor_rows(length, gram, chunk)), ANCHOR_DDL), "suffix_anchors")
     own = rows.filter("gram IS NULL").select("doc_id", "th", "first", F.col("seg").alias("last"))
     met = materialize(
         rows.filter("gram IS NOT NULL").repartition("gram", "salt")
-        .sortWithinPartitions("gram", "salt", "seg").mapInArrow(_meet(length, hot_group),
-                                                                PIECE_DDL), "suffix_pieces")
+        .sortWithinPartitions("gram", "salt", "seg").mapInArrow(
+            trimmed(_meet(length, hot_group)), PIECE_DDL), "suffix_pieces")
     across = met.filter("gram IS NULL").select("doc_id", "th", "first",
                                                (F.col("first") + F.col("n")).alias("last"))
     names = ["gram", "first", "n", "rel", "cov", "hot"]
@@ -442,11 +442,11 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             wanted.hint("merge").alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
             & (F.col("d.th") == F.col("w.th"))).select(
             "d.doc_id", "d.th", "d.b", "w.ps").mapInArrow(
-            lambda batches: then(_cut_pieces(length)(batches)), ddl)
+            trimmed(lambda batches: then(_cut_pieces(length)(batches))), ddl)
 
     few, many = (met.filter(f"gram IS NOT NULL AND hot = {k}") for k in (0, 1))
     found = cut(few, iter, PIECE_DDL + ", piece binary").repartition("gram").sortWithinPartitions("gram").mapInArrow(
-        _sort_groups(length), SPAN_DDL)
+        trimmed(_sort_groups(length)), SPAN_DDL)
     out = own.unionByName(across).unionByName(found)
     if not many.isEmpty():  # no gram has very many pieces: nothing to count
         strings = cut(many, _string_hashes(length),
@@ -504,7 +504,7 @@ def repeat_digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per document: bytes, bytes and runs removed, SHA-256 of what is left."""
     got = _with_cuts(_keyed(df, id_col, text_col), repeated_spans(df, id_col, text_col, **kw))
     return got.select("doc_id", "b", "cuts").mapInArrow(
-        _digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        trimmed(_digests), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def _kept_text(batches):
@@ -525,7 +525,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     got = _with_cuts(docs, repeated_spans(df, id_col, text_col, **kw)).select(
         "row", F.coalesce(F.col("row").getField(text_col), F.lit("")).cast("binary").alias("b"),
         "cuts")
-    out = got.mapInArrow(_kept_text, got.select("row").schema.add("kept", "string"))
+    out = got.mapInArrow(trimmed(_kept_text), got.select("row").schema.add("kept", "string"))
     names = [F.when(F.col("row").getField(c).isNotNull(), F.col("kept")).alias(c)
              if c == text_col else F.col("row").getField(c).alias(c) for c in df.columns]
     return out.select(*names)

@@ -11,6 +11,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -596,3 +597,63 @@ def test_pipeline_equals_stage_by_stage_brute_force(spark):
     last = c.pack(spark, out, SF)
     assert {r["doc_id"] for r in last.select("doc_id").collect()} == set(ids)
     assert c.run(spark, SF).count() == last.count()
+
+
+# --- memory and samples ----------------------------------------------------------------------
+def test_packing_leaves_no_tables_in_its_worker(monkeypatch):
+    import types
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(50))) for k in range(40)]
+    want = {i: wordtokens.encoder(wordtokens.tokenizer_path()).id_bytes(t) for i, t in rows}
+    monkeypatch.setattr(packing, "TABLE_ENTRIES", 100)
+    monkeypatch.setattr(packing, "TaskContext", types.SimpleNamespace(
+        get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    path = wordtokens.tokenizer_path()
+    enc, most = wordtokens.encoder(path), 0
+
+    def batches():
+        nonlocal most
+        for r in rows:
+            yield pa.record_batch([pa.array([r[0]]), pa.array([r[1]])], names=["i", "t"])
+            most = max(most, enc.entries())
+    got = [x for b in packing._packed(path, 2, packing.TIERS, 1 << 21, 1 << 15)(batches())
+           for x in b.to_pylist()]
+    assert most <= 100 + 200 and enc.entries() == 0
+    assert b"".join(x["ids"] for x in sorted(got, key=lambda x: (x["doc_id"], x["start"]))) == \
+        b"".join(want[i] for i, _ in rows)
+
+
+def test_language_learns_from_every_window(spark, monkeypatch):
+    # The only window that tells is one of many in its text, and any text may be the only one.
+    seen = []
+
+    def noted(p, x, y, weight):
+        seen.extend(zip(x.tobytes().decode("latin-1")[k * langid.WINDOW:(k + 1) * langid.WINDOW]
+                        for k in range(len(x))))
+        return 0.0, {k: np.zeros_like(v) for k, v in p.items()}, None
+    monkeypatch.setattr(langid, "gradients", noted)
+    texts = ["".join(chr(97 + (k + j // langid.WINDOW) % 26) for j in range(langid.WINDOW * 30))
+             for k in range(5)]
+    train = langid._trained(langid.started(["a"], 1)[0], ["a"], np.ones(1), 1, 1)
+    (out,) = train([pa.record_batch([pa.array(texts), pa.array(["a"] * 5)], names=["t", "y"])])
+    assert len(seen) == 150 and out.column("n")[0].as_py() == 150
+    assert sorted(w for (w,) in seen) == sorted(
+        t[k:k + langid.WINDOW] for t in texts for k in range(0, len(t), langid.WINDOW))
+
+
+def test_language_in_several_tasks_does_not_depend_on_files(spark, monkeypatch):
+    monkeypatch.setattr(langid, "STEPS", 30)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    one, two = (langid.fit(x) for x in (docs.orderBy("lang"), docs.repartition(7, "text")))
+    assert all(np.array_equal(one[k], two[k]) for k in one)
+    got = langid.identify(docs.filter(langid.held_out()), one).select("row.lang", "lang_pred")
+    assert np.mean([a == b for a, b in got.collect()]) > 0.9
+
+
+def test_language_score_is_calibrated_on_all_held_out_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs)
+    scores = sorted(r["score"] for r in langid.identify(
+        docs.filter(langid.held_out()), model).collect())
+    low = scores[(len(scores) - 1) // 100]
+    got = langid.calibrated(docs, model, 1.0)
+    assert 0.9 * (low - 1e-4) <= got <= 0.9 * low
