@@ -10,9 +10,11 @@ stand where their first word stands and are ranked anew; two of them side by sid
 of three words, counted with the same tiles, and once more one of four. A phrase can only be
 frequent if both its shorter ends are, so nothing is lost on the way.
 
-Counts and the places of what is counted travel in one shuffle by word or pair, and the
-frequent ones back in one by block; nothing is broadcast or collected. Each level's blocks and
-frequent ones are written to the shared folder.
+Counts and the places of what is counted travel in one shuffle, by word or, of pairs, by the
+part that a hash deals them to, a block's pairs of a part in one packed row; the frequent ones
+go back in one shuffle by block. Parts grow in number with the blocks, so a part stays small.
+Nothing is broadcast or collected. Each level's blocks and frequent ones are written to the
+shared folder.
 
 ``score`` is the least, over the cuts of a phrase, of ``floor(2000000 * a / (l + r))`` with the
 frequencies of the phrase and both sides. A phrase goes if a longer candidate holds it and has
@@ -26,8 +28,6 @@ without frequent phrases, give empty results. Other columns are not read.
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import itertools
 from collections import defaultdict
 
@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_of, materialize
+from .common import batches_of, materialize, record_batch, trimmed
 
 #: Words of a block, about; side of a tile; a tile with this share of its cells is dense.
 BLOCK_WORDS, TILE, DENSE = 1_000_000, 1024, 1 / 64
@@ -89,22 +89,38 @@ def piece_parts(words: list[bytes], most: int):
 #: and count; and a row with the block itself, as those numbers in order (0: none).
 BLOCK = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("pos", pa.int32()),
                    ("word", pa.string()), ("c", pa.int64()), ("seq", pa.binary())])
-LEVEL = pa.schema([("block", pa.int64()), ("pos", pa.int32()), ("a", pa.int64()),
-                   ("b", pa.int64()), ("c", pa.int64()), ("seq", pa.binary())])
-LEVEL_SCHEMA = "block long, pos int, a long, b long, c long, seq binary"
+#: Of pairs, a row has those of one block and part (by hash), packed: their first number in
+#: the block, then left ids, right ids and counts, in the order of their numbers.
+LEVEL = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("pos", pa.int32()),
+                   ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()),
+                   ("seq", pa.binary())])
+LEVEL_SCHEMA = "block long, part int, pos int, a binary, b binary, c binary, seq binary"
+#: What a part's count gives: frequent pairs (block null), and of each block their numbers,
+#: ids and frequencies, packed.
+FOUND = pa.schema([("block", pa.int64()), ("id", pa.int64()), ("a", pa.int64()),
+                   ("b", pa.int64()), ("f", pa.int64()), ("at", pa.binary()),
+                   ("ids", pa.binary()), ("fs", pa.binary())])
+FOUND_SCHEMA = ("block long, id long, a long, b long, f long, at binary, ids binary, fs binary")
+#: Parts of a level at least, and blocks for each part.
+PARTS, PART_BLOCKS = 64, 2
 SLICE = 65_536
 
 
 def packed(seq: np.ndarray) -> bytes:
-    """Numbers below 2^31, byte by byte in four planes, compressed."""
-    planes = np.ascontiguousarray(seq.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    """Numbers of 64 bits, byte by byte in eight planes, compressed."""
+    planes = np.ascontiguousarray(seq.astype("<i8").view(np.uint8).reshape(-1, 8).T)
     return len(seq).to_bytes(8, "little") + zstandard.ZstdCompressor(1).compress(planes.tobytes())
 
 
 def unpacked(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[8:]), np.uint8)
     n = int.from_bytes(data[:8], "little")
-    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view("<i8").ravel()
+
+
+def steps(x: np.ndarray) -> np.ndarray:
+    """Differences of neighbours, the first to 0; np.cumsum gives ``x`` back."""
+    return np.diff(x, prepend=0)
 
 
 def level_rows(schema: pa.Schema, items: dict, seq: np.ndarray, **same):
@@ -155,18 +171,9 @@ def _blocks(most):
                         yield from held.pop(full).rows(next(number), full)
         for lang in sorted(held):
             yield from held[lang].rows(next(number), lang)
-        given_back()
     return run
 
 
-def given_back() -> None:
-    """Return what a finished task's arrays have left with this worker's allocators, so that
-    idle workers stay small."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 # --- counting pairs of ids in tiles ----------------------------------------------------------
 def tile_counts(a: np.ndarray, b: np.ndarray, tile: int = TILE, dense: float = DENSE):
     """(left, right, count, which): the different pairs (a[i], b[i]), and which of them each
@@ -208,7 +215,13 @@ def shortened(seq: np.ndarray) -> np.ndarray:
     return seq[keep]
 
 
-def pair_rows(block: int, ids: np.ndarray, f: np.ndarray):
+def part_of(a: np.ndarray, b: np.ndarray, parts: int) -> np.ndarray:
+    h = (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+         + b.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+    return ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+
+
+def pair_rows(block: int, ids: np.ndarray, f: np.ndarray, parts: int):
     """Rows of the pairs of ids side by side in a block (0: not frequent); ``f`` has their
     frequencies, by whose rank the tiles are laid out."""
     both = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
@@ -218,36 +231,107 @@ def pair_rows(block: int, ids: np.ndarray, f: np.ndarray):
     rank[order] = np.arange(len(names))
     ranks = rank[np.searchsorted(names, ids)]
     a, b, c, which = tile_counts(ranks[both], ranks[both + 1])
+    a, b = names[order][a], names[order][b]
+    part = part_of(a, b, parts)
+    dealt = np.lexsort((b, a, part))
+    number = np.empty(len(a), np.int64)
+    number[dealt] = np.arange(1, len(a) + 1)
+    a, b, c, part = a[dealt], b[dealt], c[dealt], part[dealt]
+    cut = [0, *(np.flatnonzero(np.diff(part)) + 1), len(part)] if len(part) else [0]
+    rows = [(block, int(part[lo]), int(lo) + 1, packed(steps(a[lo:hi])), packed(b[lo:hi]),
+             packed(c[lo:hi]), None) for lo, hi in zip(cut, cut[1:])]
     seq = np.zeros(max(0, len(ids) - 1), np.int64)
-    seq[both] = which + 1
-    return level_rows(LEVEL, {"a": names[order][a], "b": names[order][b], "c": c},
-                      shortened(seq), block=block)
-
-
-def _advance(batches):
-    """From rows (pos, id, f) of a block's frequent words or pairs, then the block itself."""
-    block, held = None, []
-    for batch in batches:
-        at = batch.column("block").to_numpy()
-        kind = batch.column("kind").to_numpy()
-        cut = [0, *(np.flatnonzero((at[1:] != at[:-1]) | (kind[1:] != kind[:-1])) + 1), len(at)]
-        for lo, hi in zip(cut, cut[1:]):
-            if lo == hi:
-                continue
-            if at[lo] != block:
-                block, held = at[lo], []
-            if kind[lo] == 0:
-                held.append([batch.column(c).slice(lo, hi - lo).to_numpy().copy()
-                             for c in ("pos", "id", "f")])
-            elif held:
-                pos, ids, f = map(np.concatenate, zip(*held))
-                seq = unpacked(batch.column("seq")[lo].as_py())
-                size = max(int(seq.max(initial=0)), int(pos.max())) + 1
-                new, freq = np.zeros(size, np.int64), np.zeros(size, np.int64)
-                new[pos], freq[pos] = ids, f
-                seq = shortened(np.where(new[seq] > 0, seq, 0))
-                yield from pair_rows(int(block), new[seq], freq[seq])
-    given_back()
+    seq[both] = number[which]
+    rows.append((block, None, None, None, None, None, packed(shortened(seq))))
+    yield record_batch(LEVEL, *zip(*rows))
+
+
+def _counted(least: int, parts: int, replies: bool):
+    """From a level's rows, sorted by part: the part's frequent pairs, then where they stand."""
+    def count(part, held):
+        blocks, pos, a, b, c = zip(*held)
+        a = [np.cumsum(unpacked(x)) for x in a]
+        sizes = np.array([len(x) for x in a])
+        a = np.concatenate(a)
+        b, c = (np.concatenate([unpacked(y) for y in x]) for x in (b, c))
+        order = np.lexsort((b, a))
+        x, y = a[order], b[order]
+        new = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
+        first = np.flatnonzero(new)
+        f = np.add.reduceat(c[order], first)
+        ok = f >= least
+        if not ok.any():
+            return
+        local = np.cumsum(ok)
+        x, y, f_ok = x[first][ok], y[first][ok], f[ok]
+        n = len(x)
+        none = [pa.nulls(n, pa.binary())] * 3
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(n, pa.int64()), pa.array((local[ok] - 1) * parts + part + 1), pa.array(x),
+             pa.array(y), pa.array(f_ok), *none], schema=FOUND)
+        if not replies:
+            return
+        which = np.empty(len(a), np.int64)
+        which[order] = np.cumsum(new) - 1
+        ids = np.where(ok, (local - 1) * parts + part + 1, 0)
+        rows = []
+        for block, start, lo, size in zip(blocks, pos, np.cumsum(sizes) - sizes, sizes):
+            mine = which[lo:lo + size]
+            at = np.flatnonzero(ok[mine])
+            if len(at):
+                mine = mine[at]
+                rows.append((block, None, None, None, None, packed(steps(at + start)),
+                             packed(steps(ids[mine])), packed(f[mine])))
+        if rows:
+            yield record_batch(FOUND, *zip(*rows))
+
+    def run(batches):
+        last, held = None, []
+        for batch in batches:
+            for part, *row in zip(*(batch.column(k).to_pylist() for k in (
+                    "part", "block", "pos", "a", "b", "c"))):
+                if part != last and held:
+                    yield from count(last, held)
+                    held = []
+                last = part
+                held.append(row)
+        if held:
+            yield from count(last, held)
+    return run
+
+
+def _advance(parts):
+    """From a block's frequent words or pairs, one a row or many packed, then the block."""
+    def run(batches):
+        block, held = None, []
+        for batch in batches:
+            at = batch.column("block").to_numpy()
+            kind = batch.column("kind").to_numpy()
+            cut = [0, *(np.flatnonzero((at[1:] != at[:-1]) | (kind[1:] != kind[:-1])) + 1),
+                   len(at)]
+            for lo, hi in zip(cut, cut[1:]):
+                if lo == hi:
+                    continue
+                if at[lo] != block:
+                    block, held = at[lo], []
+                if kind[lo] == 0:
+                    cols = [batch.column(c).slice(lo, hi - lo)
+                            for c in ("pos", "id", "f", "at", "ids", "fs")]
+                    if cols[0].null_count == 0:
+                        held.append([c.to_numpy().astype(np.int64) for c in cols[:3]])
+                    else:
+                        for x, y, z in zip(*(c.to_pylist() for c in cols[3:])):
+                            held.append([np.cumsum(unpacked(x)), np.cumsum(unpacked(y)),
+                                         unpacked(z)])
+                elif held:
+                    pos, ids, f = map(np.concatenate, zip(*held))
+                    seq = unpacked(batch.column("seq")[lo].as_py())
+                    size = max(int(seq.max(initial=0)), int(pos.max())) + 1
+                    new, freq = np.zeros(size, np.int64), np.zeros(size, np.int64)
+                    new[pos], freq[pos] = ids, f
+                    seq = shortened(np.where(new[seq] > 0, seq, 0))
+                    yield from pair_rows(int(block), new[seq], freq[seq], parts)
+    return run
 
 
 def frequent(level: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
@@ -267,17 +351,34 @@ def table_of(found: DataFrame, keys: list[str]) -> DataFrame:
     return found.groupBy("id", *keys, "f").agg(F.lit(1).alias("_")).drop("_")
 
 
-def advance(level: DataFrame, found: DataFrame) -> DataFrame:
+def frequent_pairs(level: DataFrame, least: int, parts: int, name: str,
+                   replies: bool = True) -> DataFrame:
+    """The level's pairs with frequency ``least`` and more, counted part by part."""
+    return materialize(level.filter("seq IS NULL").drop("seq").repartition(parts, "part")
+                       .sortWithinPartitions("part", "block", "pos").mapInArrow(
+        trimmed(_counted(least, parts, replies)), FOUND_SCHEMA), name)
+
+
+def pairs_of(found: DataFrame) -> DataFrame:
+    return found.filter("block IS NULL").select("id", "a", "b", "f")
+
+
+def advance(level: DataFrame, found: DataFrame, parts: int) -> DataFrame:
     """The blocks one level up."""
-    rows = found.select("block", F.lit(0).alias("kind"), "pos", "id", "f",
-                        F.lit(None).cast("binary").alias("seq"))
-    none = F.lit(0).cast("long")
+    none, number = F.lit(None).cast("binary"), F.lit(None).cast("long")
+    if "ids" in found.columns:
+        rows = found.filter("block IS NOT NULL").select(
+            "block", F.lit(0).alias("kind"), F.lit(None).cast("int").alias("pos"),
+            number.alias("id"), number.alias("f"), "at", "ids", "fs", none.alias("seq"))
+    else:
+        rows = found.select("block", F.lit(0).alias("kind"), "pos", "id", "f", none.alias("at"),
+                            none.alias("ids"), none.alias("fs"), none.alias("seq"))
     blocks = level.filter("seq IS NOT NULL").select(
-        "block", F.lit(1).alias("kind"), F.lit(0).alias("pos"), none.alias("id"),
-        none.alias("f"), "seq")
+        "block", F.lit(1).alias("kind"), F.lit(0).alias("pos"), number.alias("id"),
+        number.alias("f"), none.alias("at"), none.alias("ids"), none.alias("fs"), "seq")
     return materialize(rows.unionByName(blocks).repartition("block")
-                       .sortWithinPartitions("block", "kind").mapInArrow(_advance, LEVEL_SCHEMA),
-                       "phrase_level")
+                       .sortWithinPartitions("block", "kind").mapInArrow(
+        trimmed(_advance(parts)), LEVEL_SCHEMA), "phrase_level")
 
 
 # --- phrases --------------------------------------------------------------------------------
@@ -313,7 +414,7 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     texts = df.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     level = materialize(texts.mapInArrow(
-        _blocks(block_words),
+        trimmed(_blocks(block_words)),
         "block long, lang string, pos int, word string, c long, seq binary"), "phrase_blocks")
     batches_of(df.sparkSession, ID_ROWS)
     totals = level.groupBy("lang").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"))
@@ -325,27 +426,26 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     there = frequent(level, ["lang", "word"], least, "frequent_words")
     one = materialize(table_of(there, ["lang", "word"]), "words")
-    level = advance(level, there)
+    parts = max(PARTS, level.filter("seq IS NOT NULL").count() // PART_BLOCKS)
+    level = advance(level, there, parts)
 
-    pair = ["a", "b"]
-    there = frequent(level, pair, least, "frequent_pairs")
-    two = materialize(table_of(there, pair)
+    there = frequent_pairs(level, least, parts, "frequent_pairs")
+    two = materialize(pairs_of(there)
                       .join(of(one, "a", lang="lang", w1="word", f1="f"), "a")
                       .join(of(one, "b", last="word", f2="f"), "b")
                       .withColumn("phrase", F.concat_ws(" ", "w1", "last")), "pairs")
-    level = advance(level, there)
+    level = advance(level, there, parts)
 
-    there = frequent(level, pair, least, "frequent_triples")
+    there = frequent_pairs(level, least, parts, "frequent_triples")
     three = materialize(
-        table_of(there, pair)
+        pairs_of(there)
         .join(of(two, "a", lang="lang", start="phrase", f1="f1", head="f"), "a")
         .join(of(two, "b", last="last", f2="f2", tail="f"), "b")
         .withColumn("phrase", F.concat_ws(" ", "start", "last")), "triples")
-    level = advance(level, there)
+    level = advance(level, there, parts)
 
     four = materialize(
-        level.filter("seq IS NULL").groupBy(*pair).agg(F.sum("c").alias("f"))
-        .filter(F.col("f") >= least)
+        pairs_of(frequent_pairs(level, least, parts, "frequent_quadruples", False))
         .join(of(three, "a", lang="lang", start="phrase", f1="f1", head="head", t="f"), "a")
         .join(of(three, "b", last="last", f2="f2", tail="tail", u="f"), "b")
         .withColumn("phrase", F.concat_ws(" ", "start", "last")), "quadruples")
